@@ -1,0 +1,86 @@
+"""End-to-end jobs.
+
+* ``prepare``        interactions → visitor index → ratings → quintile scores
+* ``train``          prepare, fit on everything, save model + index + params
+* ``recommend``      top-N lists for every visitor as text lines
+* ``evaluate``       holdout, fit on train, decision + ranking metrics per split
+* ``sweep``          ``evaluate`` over a parameter grid on one shared split
+
+Materialisation points: the cleaned interactions and the ratings are
+persisted (MEMORY_AND_DISK; recomputation is deterministic because ids come
+from a checkpointed index and the split is a hash), the index is checkpointed.
+The driver receives only counts per partition/bucket, the cut values, the
+catalogue size and the final result rows.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from dwellrec.functions.exprs import SCORE_BINS, TOP_N
+from dwellrec.operators import model as als
+from dwellrec.operators.export import lines_from_lists
+from dwellrec.operators.index import attach_user_ids, build_user_index
+from dwellrec.operators.score import apply_scores, cut_values, quintile_cuts
+from dwellrec.sources.interactions import clean
+from dwellrec.sources.model_store import load_store, save_store
+
+
+@dataclass
+class Prepared:
+    user_index: DataFrame   # visitor_trace, user, n_rows
+    ratings: DataFrame      # user, item, rating (raw strength)
+    scored: DataFrame       # user, item, score
+    cuts: list[float]
+    n: int
+
+    def release(self) -> None:
+        self.ratings.unpersist()
+
+
+def prepare(interactions: DataFrame, bins: int = SCORE_BINS) -> Prepared:
+    inter = clean(interactions).persist(StorageLevel.MEMORY_AND_DISK)
+    index = build_user_index(inter)
+    ratings = attach_user_ids(inter, index).persist(StorageLevel.MEMORY_AND_DISK)
+    cuts_df, n = quintile_cuts(ratings, "rating", bins)   # first action fills the cache
+    cuts = cut_values(cuts_df)
+    inter.unpersist()
+    scored = apply_scores(ratings, cuts)
+    return Prepared(index, ratings, scored, cuts, n)
+
+
+def train(interactions: DataFrame, model_dir: str | None = None,
+          params: als.AlsParams = als.AlsParams(), bins: int = SCORE_BINS,
+          mode: str = "errorifexists"):
+    """Fit on all scored ratings; save to ``model_dir`` when given.
+    Returns (model, Prepared)."""
+    prep = prepare(interactions, bins)
+    model = als.fit(prep.scored, params)
+    if model_dir:
+        save_store(model_dir, model, prep.user_index, params.as_dict(), prep.cuts, mode)
+    return model, prep
+
+
+def recommend(model, user_index: DataFrame, n: int = TOP_N) -> DataFrame:
+    """(user, visitor_trace, value) text lines for every user of the model."""
+    return lines_from_lists(als.recommend_all(model, n), user_index)
+
+
+def recommend_from_store(spark, model_dir: str, n: int = TOP_N) -> DataFrame:
+    model, index, _ = load_store(spark, model_dir)
+    return recommend(model, index, n)
+
+
+def recommend_lines(interactions: DataFrame, params: als.AlsParams = als.AlsParams(),
+                    n: int = TOP_N) -> DataFrame:
+    """The flagship job without a store: prepare, fit, top-N lines."""
+    model, prep = train(interactions, None, params)
+    return recommend(model, prep.user_index.select("visitor_trace", "user"), n)
+
+
+def single_column_lines(lines: DataFrame) -> DataFrame:
+    return lines.select(F.col("value"))

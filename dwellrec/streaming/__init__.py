@@ -1,0 +1,6 @@
+"""Intentionally empty.
+
+The studied workload reads batch tables only: it has no stream source,
+watermark, trigger or streaming state, so there is no streaming operator to
+rebuild. Batch jobs in ``dwellrec.plans`` cover every input it reads.
+"""
