@@ -11,6 +11,9 @@
 * ``running_totals`` — per-group prefix sums in a numeric order, in two levels
   (bucket totals, then within-bucket windows) so no window partition holds a
   whole hot group.
+* ``prefix_sums`` — the same result; one plain window when the largest group
+  is known to be small (at most ``WINDOW_ROWS_LIMIT`` rows), the two-level
+  form otherwise.
 """
 
 from __future__ import annotations
@@ -18,21 +21,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from dwellrec.session import checkpoint_root
 
-
-def _offsets_frame(spark: SparkSession, counts: dict[int, int]) -> DataFrame:
-    rows, acc = [], 0
-    for p in sorted(counts):
-        rows.append((int(p), int(acc)))
-        acc += int(counts[p])
-    schema = T.StructType([T.StructField("_p", T.IntegerType(), False),
-                           T.StructField("_off", T.LongType(), False)])
-    return spark.createDataFrame(rows, schema)
+# a window partition of at most this many rows is cheap in one task
+WINDOW_ROWS_LIMIT = 65536
 
 
 def dense_ids(df: DataFrame, key: str, id_col: str = "id",
@@ -44,8 +39,7 @@ def dense_ids(df: DataFrame, key: str, id_col: str = "id",
     row order are frozen: a lost executor re-reads the same files, and every
     later read gives each key the same id.
     """
-    spark = df.sparkSession
-    checkpoint_root(spark)
+    checkpoint_root(df.sparkSession)
     base = df.where(F.col(key).isNotNull())
     keys = base.groupBy(key).agg(*aggs) if aggs else base.select(key).distinct()
     frozen = keys.orderBy(key).checkpoint(eager=True)
@@ -55,12 +49,15 @@ def dense_ids(df: DataFrame, key: str, id_col: str = "id",
         F.monotonically_increasing_id().alias("_m"),
     )
     counts = {r["_p"]: r["count"] for r in tagged.groupBy("_p").count().collect()}
-    # one row per non-empty partition: a size bound independent of the data
-    offsets = F.broadcast(_offsets_frame(spark, counts))
+    # one start offset per partition (a literal array: size bound = partitions)
+    offsets, acc = [], 0
+    for p in range(max(counts) + 1 if counts else 0):
+        offsets.append(acc)
+        acc += int(counts.get(p, 0))
+    start = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets] or [F.lit(0)]),
+                         F.col("_p") + 1)
     local = F.col("_m") - F.shiftleft(F.col("_p").cast("bigint"), 33)
-    out_cols = [c for c in frozen.columns]
-    return (tagged.join(offsets, "_p")
-            .select(*out_cols, (F.col("_off") + local).alias(id_col)))
+    return tagged.select(*frozen.columns, (start + local).alias(id_col))
 
 
 def _split_points(df: DataFrame, col: str, n_buckets: int):
@@ -84,7 +81,6 @@ def rank_values(df: DataFrame, col: str, ranks: Sequence[int] | None = None,
     ``rank_fn(n)`` may compute the ranks from the row count instead.
     Returns (DataFrame[k INT, rank BIGINT, value DOUBLE], n).
     """
-    spark = df.sparkSession
     vals = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
     n, splits = _split_points(vals, "v", n_buckets)
     if rank_fn is not None:
@@ -105,20 +101,21 @@ def rank_values(df: DataFrame, col: str, ranks: Sequence[int] | None = None,
         b = next(b for b in sorted(bucket_counts)
                  if before[b] < r <= before[b] + bucket_counts[b])
         targets.append((k, r, float(b), r - before[b]))
-    tschema = T.StructType([
-        T.StructField("k", T.IntegerType(), False),
-        T.StructField("rank", T.LongType(), False),
-        T.StructField("_b", T.DoubleType(), False),
-        T.StructField("_local", T.LongType(), False)])
-    tdf = F.broadcast(spark.createDataFrame(targets, tschema))  # len(ranks) rows
     wanted = sorted({t[2] for t in targets})
     cand = (bucketed.where(F.col("_b").isin(wanted))
             .groupBy("_b", "v").agg(F.count(F.lit(1)).alias("c")))
     w = Window.partitionBy("_b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     cand = cand.withColumn("_cum", F.sum("c").over(w))
-    out = (cand.join(tdf, "_b")
-           .where((F.col("_cum") >= F.col("_local")) & (F.col("_cum") - F.col("c") < F.col("_local")))
-           .select("k", "rank", F.col("v").alias("value")))
+    # the value at local rank r of bucket b is the row whose cumulative count
+    # first reaches r; one output row per target (targets are literals)
+    hits = [cand.where((F.col("_b") == F.lit(b)) & (F.col("_cum") >= F.lit(loc))
+                       & (F.col("_cum") - F.col("c") < F.lit(loc)))
+            .select(F.lit(k).cast("int").alias("k"), F.lit(r).cast("bigint").alias("rank"),
+                    F.col("v").alias("value"))
+            for k, r, b, loc in targets]
+    out = hits[0]
+    for h in hits[1:]:
+        out = out.unionByName(h)
     return out, n
 
 
@@ -144,3 +141,19 @@ def running_totals(df: DataFrame, part: Sequence[str], bucket: str, order: str,
     out = inner.join(totals, part + [bucket])
     return out.select(*df.columns, *[
         (F.col(f"_{v}_bb") + F.col(f"_{v}_bi")).alias(f"{v}_run") for v in values])
+
+
+def prefix_sums(df: DataFrame, part: Sequence[str], order: str, values: Sequence[str],
+                max_part_rows: int, bucketize, inclusive: bool = False) -> DataFrame:
+    """Add ``<v>_run`` like ``running_totals``. ``max_part_rows`` is an upper
+    bound on rows per ``part``; ``bucketize(df)`` adds a ``_bucket`` column
+    non-decreasing in ``order`` (used only above the limit)."""
+    part = list(part)
+    if max_part_rows <= WINDOW_ROWS_LIMIT:
+        hi = 0 if inclusive else -1
+        w = Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, hi)
+        return df.select("*", *[F.coalesce(F.sum(v).over(w), F.lit(0)).alias(f"{v}_run")
+                                for v in values])
+    bucketed = bucketize(df)
+    out = running_totals(bucketed, part, "_bucket", order, values, inclusive)
+    return out.drop("_bucket")

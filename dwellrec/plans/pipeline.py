@@ -6,9 +6,11 @@
 * ``evaluate``       holdout, fit on train, decision + ranking metrics per split
 * ``sweep``          ``evaluate`` over a parameter grid on one shared split
 
-Materialisation points: the cleaned interactions and the ratings are
-persisted (MEMORY_AND_DISK; recomputation is deterministic because ids come
-from a checkpointed index and the split is a hash), the index is checkpointed.
+Materialisation points: the sorted visitor keys are checkpointed and the
+id-attached ratings written as Parquet, both in the shared checkpoint folder
+(lineage cut; an executor loss re-reads files); the cleaned interactions are
+persisted only while the index is built. Negative samples and per-user AUC
+are written the same way by their operators.
 The driver receives only counts per partition/bucket, the cut values, the
 catalogue size and the final result rows.
 """
@@ -27,6 +29,7 @@ from dwellrec.operators.export import lines_from_lists
 from dwellrec.operators.index import attach_user_ids, build_user_index
 from dwellrec.operators.score import apply_scores, cut_values, quintile_cuts
 from dwellrec.sources.interactions import clean
+from dwellrec.session import materialize
 from dwellrec.sources.model_store import load_store, save_store
 
 
@@ -43,12 +46,17 @@ class Prepared:
 
 
 def prepare(interactions: DataFrame, bins: int = SCORE_BINS) -> Prepared:
+    """The cleaned interactions are read twice (index, id join) and persisted
+    meanwhile. The id-attached ratings are written once as a Parquet table in
+    the shared checkpoint folder: later stages (three selection passes, ALS,
+    metrics) scan those files instead of re-running the source joins, and
+    their plans stay shallow."""
     inter = clean(interactions).persist(StorageLevel.MEMORY_AND_DISK)
     index = build_user_index(inter)
-    ratings = attach_user_ids(inter, index).persist(StorageLevel.MEMORY_AND_DISK)
-    cuts_df, n = quintile_cuts(ratings, "rating", bins)   # first action fills the cache
-    cuts = cut_values(cuts_df)
+    ratings = materialize(attach_user_ids(inter, index), "ratings")
     inter.unpersist()
+    cuts_df, n = quintile_cuts(ratings, "rating", bins)
+    cuts = cut_values(cuts_df)
     scored = apply_scores(ratings, cuts)
     return Prepared(index, ratings, scored, cuts, n)
 

@@ -26,6 +26,8 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
     # top-k filters on row_number() get a partial group limit before the shuffle
     "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
+    # checkpointed rows are written with the RDD serializer
+    "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
 }
 
 
@@ -72,3 +74,13 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder (for model stores etc.)."""
     return os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def materialize(df, name: str):
+    """Write ``df`` as a Parquet table under the shared checkpoint folder and
+    read it back: the lineage is cut (a lost executor re-reads files, later
+    plans start from a scan) and later reads are columnar and pruned."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -54,3 +54,17 @@ def test_negatives_grouped_by_split(spark):
     assert counts == {"a": 2, "b": 1}
     a_items = [r.item for r in got.where(F.col("split") == "a").collect()]
     assert 1 not in a_items and 2 not in a_items
+
+
+def test_negatives_two_level_path(spark, monkeypatch):
+    import dwellrec.operators.negatives as N
+    import dwellrec.operators.ranking as R
+    monkeypatch.setattr(R, "WINDOW_ROWS_LIMIT", 0)
+    monkeypatch.setattr(N, "DRAW_CHUNK", 7)
+    rnd = random.Random(12)
+    items = sorted(rnd.sample(range(500), 40))
+    positives = [(u, rnd.choice(items)) for u in range(10) for _ in range(rnd.randrange(1, 30))]
+    pos_df = spark.createDataFrame(positives, "user INT, item INT")
+    cat = spark.createDataFrame([(i, j) for j, i in enumerate(items)], "item INT, item_ix BIGINT")
+    got = sorted(tuple(r) for r in sample_negatives(pos_df, cat, len(items), seed=5).collect())
+    assert got == _brute(positives, items, 5)
