@@ -33,7 +33,9 @@ def run_once(spark, sf_dir):
     from dwellrec.operators.index import item_catalogue
     from dwellrec.operators.negatives import sample_negatives
     from dwellrec.operators.split import hash_split
+    from dwellrec.plans import evaluate as E
     from dwellrec.plans import pipeline as P
+    from dwellrec.session import materialize
     from dwellrec.sources.interactions import from_tables
 
     t = {}
@@ -59,7 +61,7 @@ def run_once(spark, sf_dir):
     t["top10_all_users"] = time.time() - s
 
     s = time.time()
-    preds = als.predict_pairs(model, lab).persist()
+    preds = materialize(als.predict_pairs(model, lab), "predictions")
     pairs = M.weighted_pairs(lab.select("split", "user", "item", "score"), preds, "bag",
                              by=["split"])
     M.decision_metrics(M.confusion_counts(pairs, by=["split"])).collect()
@@ -68,20 +70,15 @@ def run_once(spark, sf_dir):
     s = time.time()
     cat = item_catalogue(prep.scored)
     negs = sample_negatives(lab.select("split", "user", "item"), cat, cat.count(),
-                            by=["split"]).persist()
-    negs.count()
+                            by=["split"])
     t["negative_sampling"] = time.time() - s
 
     s = time.time()
-    pos = lab.select("split", "user", "item").join(preds, ["user", "item"])
-    neg = negs.join(als.predict_pairs(model, negs), ["user", "item"])
-    M.mean_auc(M.user_auc(pos.select("split", "user", "pred"),
-                          neg.select("split", "user", "pred"), by=["split"]),
-               by=["split"]).collect()
+    M.mean_auc(M.user_auc(E.scored_positives(lab, preds), E.scored_negatives(model, negs),
+                          by=["split"]), by=["split"]).collect()
     t["mean_auc"] = time.time() - s
 
-    for df in (negs, preds, lab):
-        df.unpersist()
+    lab.unpersist()
     prep.release()
     return t
 

@@ -107,15 +107,15 @@ def rank_values(df: DataFrame, col: str, ranks: Sequence[int] | None = None,
     w = Window.partitionBy("_b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     cand = cand.withColumn("_cum", F.sum("c").over(w))
     # the value at local rank r of bucket b is the row whose cumulative count
-    # first reaches r; one output row per target (targets are literals)
-    hits = [cand.where((F.col("_b") == F.lit(b)) & (F.col("_cum") >= F.lit(loc))
-                       & (F.col("_cum") - F.col("c") < F.lit(loc)))
-            .select(F.lit(k).cast("int").alias("k"), F.lit(r).cast("bigint").alias("rank"),
-                    F.col("v").alias("value"))
-            for k, r, b, loc in targets]
-    out = hits[0]
-    for h in hits[1:]:
-        out = out.unionByName(h)
+    # first reaches r; a row may answer several targets (ties), so the hits
+    # are an array of (k, rank) structs, exploded
+    hits = F.array(*[
+        F.when((F.col("_b") == F.lit(b)) & (F.col("_cum") >= F.lit(loc))
+               & (F.col("_cum") - F.col("c") < F.lit(loc)),
+               F.struct(F.lit(k).cast("int").alias("k"), F.lit(r).cast("bigint").alias("rank")))
+        for k, r, b, loc in targets])
+    out = (cand.select(F.explode(F.filter(hits, lambda x: x.isNotNull())).alias("t"), "v")
+           .select("t.k", "t.rank", F.col("v").alias("value")))
     return out, n
 
 

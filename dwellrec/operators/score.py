@@ -48,8 +48,11 @@ def quintile_scores(ratings: DataFrame, col: str = "rating", bins: int = SCORE_B
     return apply_scores(ratings, cuts, col, out), cuts
 
 
-def dataset_stats(scored: DataFrame, user: str = "user", item: str = "item") -> DataFrame:
-    """One row: ratings, distinct users, distinct items."""
+def dataset_stats(scored: DataFrame, user: str = "user", item: str = "item",
+                  approx: bool = False) -> DataFrame:
+    """One row: ratings, distinct users, distinct items (HyperLogLog++
+    estimates with ``approx``, one pass without a distinct shuffle)."""
+    distinct = F.approx_count_distinct if approx else F.count_distinct
     return scored.agg(F.count(F.lit(1)).alias("ratings"),
-                      F.count_distinct(user).alias("users"),
-                      F.count_distinct(item).alias("items"))
+                      distinct(user).alias("users"),
+                      distinct(item).alias("items"))

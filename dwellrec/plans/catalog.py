@@ -277,12 +277,14 @@ def q_als_explicit(spark, sf_dir):
 
 def q_als_evaluate(spark, sf_dir):
     from dwellrec.plans.evaluate import evaluate_prepared
-    return evaluate_prepared(prepared(spark, sf_dir), _als_params())
+    return evaluate_prepared(prepared(spark, sf_dir),
+                             _als_params(num_user_blocks=10, num_item_blocks=10))
 
 
 def q_als_sweep(spark, sf_dir):
     from dwellrec.plans.evaluate import sweep_prepared
-    grid = [_als_params(rank=5), _als_params(rank=10, alpha=2.0)]
+    grid = [_als_params(rank=5, num_user_blocks=10, num_item_blocks=10),
+            _als_params(rank=10, alpha=2.0, num_user_blocks=10, num_item_blocks=10)]
     return sweep_prepared(prepared(spark, sf_dir), grid)
 
 

@@ -92,3 +92,8 @@ def recommend_lines(interactions: DataFrame, params: als.AlsParams = als.AlsPara
 
 def single_column_lines(lines: DataFrame) -> DataFrame:
     return lines.select(F.col("value"))
+
+
+def peek(df: DataFrame, n: int = 3) -> DataFrame:
+    """A few rows for a look (the studied job printed take(3) samples)."""
+    return df.limit(n)
