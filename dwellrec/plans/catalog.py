@@ -514,9 +514,11 @@ GROUP BY t."user", u.visitor_trace"""
     return {
         "scan_interactions": W + base + "\nSELECT visitor_trace, poi, rating FROM interactions",
         "ingest_counts": W + base + """
-SELECT COUNT(*) AS rows, count_if(visitor_trace IS NULL) AS null_visitor,
-       count_if(poi IS NULL) AS null_item, count_if(rating IS NULL OR isnan(rating)) AS null_rating,
-       count_if(visitor_trace IS NULL OR poi IS NULL OR rating IS NULL OR isnan(rating)) AS dropped
+SELECT COUNT(*) AS rows,
+       CAST(count_if(visitor_trace IS NULL) AS BIGINT) AS null_visitor,
+       CAST(count_if(poi IS NULL) AS BIGINT) AS null_item,
+       CAST(count_if(rating IS NULL OR isnan(rating)) AS BIGINT) AS null_rating,
+       CAST(count_if(visitor_trace IS NULL OR poi IS NULL OR rating IS NULL OR isnan(rating)) AS BIGINT) AS dropped
 FROM raw""",
         "user_index": W + base + '\nSELECT visitor_trace, "user", n_rows FROM user_index',
         "item_catalogue": W + base + _NEG + "\nSELECT item, item_ix FROM catalogue",

@@ -57,17 +57,36 @@ def rows_of_duck(con, sql):
     return cols, sorted(tuple(_norm(r[i]) for i in ix) for r in data)
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "float": "FLOAT", "boolean": "BOOLEAN", "smallint": "SMALLINT"}
+
+
+def spark_types(df):
+    return {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+            for f in df.schema.fields}
+
+
+def duck_types(con, sql):
+    rel = con.sql(sql)
+    return {n: str(t) for n, t in zip(rel.columns, rel.types)}
+
+
 def compare(spark, con, sf_dir, name, fn, sql):
     t = time.time()
-    sc, sr = rows_of_spark(fn(spark, sf_dir))
+    df = fn(spark, sf_dir)
+    st = spark_types(df)
+    sc, sr = rows_of_spark(df)
     ts = time.time() - t
     t = time.time()
     dc, dr = rows_of_duck(con, sql)
+    dt = duck_types(con, sql)
     td = time.time() - t
-    ok = sc == dc and len(sr) == len(dr) and sr == dr
+    ok = sc == dc and len(sr) == len(dr) and sr == dr and st == dt
     detail = ""
     if not ok:
-        if sc != dc:
+        if st != dt and sc == dc:
+            detail = f"types spark={st} duck={dt}"
+        elif sc != dc:
             detail = f"columns spark={sc} duck={dc}"
         elif len(sr) != len(dr):
             detail = f"rows spark={len(sr)} duck={len(dr)}"
