@@ -81,7 +81,9 @@ def rank_values(df: DataFrame, col: str, ranks: Sequence[int] | None = None,
     ``rank_fn(n)`` may compute the ranks from the row count instead.
     Returns (DataFrame[k INT, rank BIGINT, value DOUBLE], n).
     """
-    vals = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
+    # NULL and NaN have no rank here (callers drop them at ingest)
+    vals = (df.select(F.col(col).cast("double").alias("v"))
+            .where(F.col("v").isNotNull() & ~F.isnan(F.col("v"))))
     n, splits = _split_points(vals, "v", n_buckets)
     if rank_fn is not None:
         ranks = rank_fn(n)

@@ -235,6 +235,19 @@ def _als_params(**kw):
     return AlsParams(**base)
 
 
+def q_holdout_random_split(spark, sf_dir):
+    """Row-level seeded split over a checkpointed input (row-count check)."""
+    from dwellrec.operators.split import random_split
+    train, test = random_split(prepared(spark, sf_dir).scored, (0.9, 0.1), SPLIT_SEED)
+    return (train.withColumn("split", F.lit("train"))
+            .unionByName(test.withColumn("split", F.lit("test"))))
+
+
+def q_dataset_stats_approx(spark, sf_dir):
+    """HyperLogLog++ distinct counts (row-count check: estimates)."""
+    return dataset_stats(prepared(spark, sf_dir).scored, approx=True)
+
+
 def q_als_recommendation_lines(spark, sf_dir):
     from dwellrec.operators import model as als
     prep = prepared(spark, sf_dir)
@@ -329,6 +342,8 @@ QUERIES = {
     "topn_all_users": q_topn_all_users,
     "recommendation_lines": q_recommendation_lines,
     "topn_lists_ascending": q_topn_lists_ascending,
+    "holdout_random_split": q_holdout_random_split,
+    "dataset_stats_approx": q_dataset_stats_approx,
     "als_recommendation_lines": q_als_recommendation_lines,
     "als_pair_predictions": q_als_pair_predictions,
     "als_topn": q_als_topn,
