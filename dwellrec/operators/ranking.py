@@ -18,6 +18,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -49,12 +50,13 @@ def dense_ids(df: DataFrame, key: str, id_col: str = "id",
         F.monotonically_increasing_id().alias("_m"),
     )
     counts = {r["_p"]: r["count"] for r in tagged.groupBy("_p").count().collect()}
-    # one start offset per partition (a literal array: size bound = partitions)
+    # one start offset per partition (size bound = partitions), passed as one
+    # JSON literal that constant folding turns into an array literal
     offsets, acc = [], 0
     for p in range(max(counts) + 1 if counts else 0):
         offsets.append(acc)
         acc += int(counts.get(p, 0))
-    start = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets] or [F.lit(0)]),
+    start = F.element_at(F.from_json(F.lit(json.dumps(offsets or [0])), "array<bigint>"),
                          F.col("_p") + 1)
     local = F.col("_m") - F.shiftleft(F.col("_p").cast("bigint"), 33)
     return tagged.select(*frozen.columns, (start + local).alias(id_col))

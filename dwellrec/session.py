@@ -31,6 +31,26 @@ DEFAULT_CONF = {
 }
 
 
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
+               max_partitions: int = 200_000) -> dict:
+    """Shuffle and scan sizing for an input of ``input_bytes``.
+
+    Shuffle partitions start at input/target (AQE coalesces small ones and
+    splits skewed ones at run time), so a partition of the largest shuffle
+    stays near ``target_partition_bytes`` and fits executor memory; scans are
+    split at the same size. The visitor hot-key threshold follows the
+    partition count (a key above one partition's share is hot).
+    """
+    parts = max(8, min(max_partitions, -(-int(input_bytes) // target_partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
+
+
 def build_session(master: str | None = None, app: str = "dwellrec",
                   shuffle_partitions: int | None = None,
                   conf: dict | None = None) -> SparkSession:
