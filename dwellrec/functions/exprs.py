@@ -21,6 +21,12 @@ from pyspark.sql import functions as F
 #     "accuracy    = ", "precision   = ", "recall      = ", "fallout     = ",
 #     "sensitivity = ", "specificity = ", "f           = "
 #   metric number format ...................... "%02.4f" (4 decimals)
+#   metric report block ....................... "\n", then each label, value
+#                                               and "\n", in the order above
+#   one-line metric form ...................... " " + accuracy, precision,
+#                                               "  " + recall, fallout,
+#                                               sensitivity, specificity, f,
+#                                               joined by the delimiter
 #   recommendation line ....................... visitor, "\u0001", then
 #                                               "(item,score)" joined by ";"
 # ---------------------------------------------------------------------------
