@@ -17,6 +17,7 @@ catalogue size and the final result rows.
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -45,19 +46,25 @@ class Prepared:
         self.ratings.unpersist()
 
 
-def prepare(interactions: DataFrame, bins: int = SCORE_BINS) -> Prepared:
+def prepare(interactions: DataFrame, bins: int = SCORE_BINS,
+            timings: dict | None = None) -> Prepared:
     """The cleaned interactions are read twice (index, id join) and persisted
     meanwhile. The id-attached ratings are written once as a Parquet table in
     the shared checkpoint folder: later stages (three selection passes, ALS,
     metrics) scan those files instead of re-running the source joins, and
     their plans stay shallow."""
+    t0 = time.time()
     inter = clean(interactions).persist(StorageLevel.MEMORY_AND_DISK)
     index = build_user_index(inter)
     ratings = materialize(attach_user_ids(inter, index), "ratings")
     inter.unpersist()
+    t1 = time.time()
     cuts_df, n = quintile_cuts(ratings, "rating", bins)
     cuts = cut_values(cuts_df)
     scored = apply_scores(ratings, cuts)
+    if timings is not None:
+        timings["user_index_and_ratings"] = t1 - t0
+        timings["quintile_cuts"] = time.time() - t1
     return Prepared(index, ratings, scored, cuts, n)
 
 
