@@ -82,3 +82,21 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["user", "visitor_trace", "value"]
     assert df.count() > 0
+
+
+def test_recommend_all_matches_brute_force_factors(spark, trained):
+    import numpy as np
+    _, _, model = trained
+    uf = {r.id: np.array(r.features, dtype=np.float64) for r in model.userFactors.collect()}
+    itf = {r.id: np.array(r.features, dtype=np.float64) for r in model.itemFactors.collect()}
+    items = sorted(itf)
+    mat = np.stack([itf[i] for i in items])
+    got = {r.user: [(x.item, x.rating) for x in r.recommendations]
+           for r in als.recommend_all(model, 10).collect()}
+    assert set(got) == set(uf)
+    for u, vec in uf.items():
+        scores = mat @ vec
+        expect = np.sort(scores)[::-1][:10]
+        assert np.allclose([s for _, s in got[u]], expect, atol=1e-4)
+        for item, s in got[u]:
+            assert abs(scores[items.index(item)] - s) < 1e-4
