@@ -49,3 +49,11 @@ def test_hot_visitor_paths_agree(spark, skewed, monkeypatch):
     assert plain[0] == hot[0]
     assert plain[1] == hot[1]
     assert plain[2] == hot[2]
+
+
+def test_hot_visitor_plan_uses_broadcasts(spark, skewed):
+    ix = build_user_index(skewed)
+    df = attach_user_ids(skewed, ix, partitions=64)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+    assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
