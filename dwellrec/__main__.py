@@ -7,8 +7,9 @@
 * ``recommend`` top-N lines for every visitor from a saved model
 
 Input is a catalog table (``--table``), a file path (``--path``, with
-``--format``), or the TPC-H-style test tables (``--sf-dir``); column names
-are given with ``--visitor-col/--item-col/--rating-col``.
+``--format``), the TPC-H-style test tables (``--sf-dir``), or tab-separated
+integer-id files (``--tsv``, optionally ``--shift`` and ``--raw-scores``);
+column names are given with ``--visitor-col/--item-col/--rating-col``.
 """
 
 from __future__ import annotations
@@ -20,6 +21,15 @@ import sys
 from dwellrec.functions.exprs import TOP_N
 
 
+def _prepared(spark, a):
+    """Prepared ratings: legacy integer-id files (``--tsv``) or interactions."""
+    from dwellrec.plans.pipeline import prepare, prepare_ratings
+    if a.tsv:
+        from dwellrec.sources.interactions import read_tsv
+        return prepare_ratings(read_tsv(spark, a.tsv), None if a.raw_scores else 5, a.shift)
+    return prepare(_input(spark, a))
+
+
 def _input(spark, a):
     from dwellrec.sources.interactions import from_tables, read_table
     if a.sf_dir:
@@ -50,6 +60,10 @@ def _add_input(p):
     p.add_argument("--visitor-col")
     p.add_argument("--item-col")
     p.add_argument("--rating-col")
+    p.add_argument("--tsv", help="tab-separated user, item, rating files (integer ids)")
+    p.add_argument("--shift", type=float, help="subtract this from --tsv ratings")
+    p.add_argument("--raw-scores", action="store_true",
+                   help="with --tsv: use the (shifted) rating itself, no quintile scores")
 
 
 def _add_params(p, many: bool, blocks: int | None):
@@ -97,8 +111,7 @@ def main(argv=None) -> int:
     spark = build_session()
     if a.cmd == "evaluate":
         from dwellrec.plans.evaluate import evaluate_prepared, sweep_prepared
-        from dwellrec.plans.pipeline import prepare
-        prep = prepare(_input(spark, a))
+        prep = _prepared(spark, a)
         grid = _params(a)
         rows = (evaluate_prepared(prep, grid[0], test_fraction=a.test_fraction, mode=a.mode)
                 if len(grid) == 1 else
@@ -108,12 +121,13 @@ def main(argv=None) -> int:
         else:
             rows.show(truncate=False)
     elif a.cmd == "train":
-        from dwellrec.plans.pipeline import recommend, train
+        from dwellrec.plans.pipeline import fit_prepared, recommend
         params = _params(argparse.Namespace(**{**vars(a), "rank": [a.rank],
                                                "max_iter": [a.max_iter],
                                                "reg_param": [a.reg_param],
                                                "alpha": [a.alpha]}))[0]
-        model, prep = train(_input(spark, a), a.model_dir, params)
+        prep = _prepared(spark, a)
+        model = fit_prepared(prep, a.model_dir, params)
         if a.lines:
             recommend(model, prep.user_index, a.n).select("value").write.text(a.lines)
     else:

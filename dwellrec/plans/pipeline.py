@@ -1,6 +1,7 @@
 """End-to-end jobs.
 
 * ``prepare``        interactions → visitor index → ratings → quintile scores
+* ``prepare_ratings`` the same for inputs with integer ids (legacy files)
 * ``train``          prepare, fit on everything, save model + index + params
 * ``recommend``      top-N lists for every visitor as text lines
 * ``evaluate``       holdout, fit on train, decision + ranking metrics per split
@@ -29,7 +30,7 @@ from dwellrec.operators import model as als
 from dwellrec.operators.export import lines_from_lists
 from dwellrec.operators.index import attach_user_ids, build_user_index
 from dwellrec.operators.score import apply_scores, cut_values, quintile_cuts
-from dwellrec.sources.interactions import clean
+from dwellrec.sources.interactions import clean, shift_ratings
 from dwellrec.session import materialize
 from dwellrec.sources.model_store import load_store, save_store
 
@@ -68,16 +69,43 @@ def prepare(interactions: DataFrame, bins: int = SCORE_BINS,
     return Prepared(index, ratings, scored, cuts, n)
 
 
+def prepare_ratings(ratings: DataFrame, bins: int | None = SCORE_BINS,
+                    offset: float | None = None) -> Prepared:
+    """For inputs that already carry integer ids (user INT, item INT, rating
+    DOUBLE), e.g. the tab-separated legacy files: optional shift of the
+    strength by ``offset``, then quintile scores (``bins=None`` keeps the
+    strength itself as the score). The index maps each id to its own text."""
+    clean_rows = ratings.where(F.col("user").isNotNull() & F.col("item").isNotNull()
+                               & F.col("rating").isNotNull() & ~F.isnan("rating"))
+    if offset is not None:
+        clean_rows = shift_ratings(clean_rows, offset)
+    rated = materialize(clean_rows.select("user", "item", "rating"), "ratings")
+    index = (rated.select("user").distinct()
+             .select(F.col("user").cast("string").alias("visitor_trace"), "user"))
+    if bins is None:
+        n = rated.count()
+        return Prepared(index, rated, rated.withColumnRenamed("rating", "score"), [], n)
+    cuts_df, n = quintile_cuts(rated, "rating", bins)
+    cuts = cut_values(cuts_df)
+    return Prepared(index, rated, apply_scores(rated, cuts), cuts, n)
+
+
 def train(interactions: DataFrame, model_dir: str | None = None,
           params: als.AlsParams = als.AlsParams(), bins: int = SCORE_BINS,
           mode: str = "errorifexists"):
     """Fit on all scored ratings; save to ``model_dir`` when given.
     Returns (model, Prepared)."""
     prep = prepare(interactions, bins)
+    return fit_prepared(prep, model_dir, params, mode), prep
+
+
+def fit_prepared(prep: Prepared, model_dir: str | None = None,
+                 params: als.AlsParams = als.AlsParams(), mode: str = "errorifexists"):
+    """Fit on all scored ratings of ``prep``; save to ``model_dir`` when given."""
     model = als.fit(prep.scored, params)
     if model_dir:
         save_store(model_dir, model, prep.user_index, params.as_dict(), prep.cuts, mode)
-    return model, prep
+    return model
 
 
 def recommend(model, user_index: DataFrame, n: int = TOP_N) -> DataFrame:

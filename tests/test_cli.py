@@ -17,3 +17,19 @@ def test_cli_evaluate_train_recommend(spark):
     a = sorted(r.value for r in spark.read.text(lines).collect())
     b = sorted(r.value for r in spark.read.text(again).collect())
     assert a == b and len(a) == 150
+
+
+def test_cli_tsv_legacy_path(spark):
+    # tab-separated integer ids written from the test tables' ratings
+    from dwellrec.plans.catalog import prepared
+    src = scratch_path(spark, "tsv-src")
+    (prepared(spark, SF_SMALL).ratings.selectExpr("user", "item", "rating")
+     .write.csv(src, sep="\t"))
+    store, lines = scratch_path(spark, "tsv-store"), scratch_path(spark, "tsv-lines")
+    assert main(["train", "--tsv", src, "--shift", "5", "--raw-scores", "--rank", "3",
+                 "--max-iter", "3", store, "--lines", lines]) == 0
+    assert spark.read.text(lines).count() == 150
+    out = scratch_path(spark, "tsv-eval")
+    assert main(["evaluate", "--tsv", src, "--rank", "3", "--max-iter", "3",
+                 "--output", out]) == 0
+    assert spark.read.parquet(out).count() == 2
