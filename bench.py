@@ -1,6 +1,7 @@
 """Benchmark the headline job steps; prints ONE JSON line on stdout.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
+BENCH_SHUFFLE_PARTITIONS (default 2 x cpus),
 BENCH_REPEATS (default 3; the median per step is reported, after one warm-up
 run on the smallest tables).
 
@@ -96,7 +97,8 @@ def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeats = max(1, int(os.environ.get("BENCH_REPEATS", "3")))
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus),
+    partitions = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", max(8, 2 * cpus)))
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=partitions,
                           conf={"spark.driver.memory": "12g"})
     # warm-up on the smallest tables (JIT, class loading)
     warm = "/root/testdata/sf0.001"
