@@ -27,7 +27,8 @@ def _prepared(spark, a):
     if a.tsv:
         from dwellrec.sources.interactions import read_tsv
         return prepare_ratings(read_tsv(spark, a.tsv), None if a.raw_scores else 5, a.shift)
-    return prepare(_input(spark, a))
+    # persist the interactions only when they come from the test-table joins
+    return prepare(_input(spark, a), cache_input=bool(a.sf_dir))
 
 
 def _input(spark, a):

@@ -48,17 +48,22 @@ class Prepared:
 
 
 def prepare(interactions: DataFrame, bins: int = SCORE_BINS,
-            timings: dict | None = None) -> Prepared:
-    """The cleaned interactions are read twice (index, id join) and persisted
-    meanwhile. The id-attached ratings are written once as a Parquet table in
+            timings: dict | None = None, cache_input: bool = True) -> Prepared:
+    """The cleaned interactions are read twice (index, id join). When they
+    come from joins (``cache_input``) they are persisted meanwhile; a plain
+    table is simply scanned twice (the index pass reads only the visitor
+    column). The id-attached ratings are written once as a Parquet table in
     the shared checkpoint folder: later stages (three selection passes, ALS,
-    metrics) scan those files instead of re-running the source joins, and
-    their plans stay shallow."""
+    metrics) scan those files instead of the source, and their plans stay
+    shallow."""
     t0 = time.time()
-    inter = clean(interactions).persist(StorageLevel.MEMORY_AND_DISK)
+    inter = clean(interactions)
+    if cache_input:
+        inter = inter.persist(StorageLevel.MEMORY_AND_DISK)
     index = build_user_index(inter)
     ratings = materialize(attach_user_ids(inter, index), "ratings")
-    inter.unpersist()
+    if cache_input:
+        inter.unpersist()
     t1 = time.time()
     cuts_df, n = quintile_cuts(ratings, "rating", bins)
     cuts = cut_values(cuts_df)
