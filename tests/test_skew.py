@@ -57,3 +57,20 @@ def test_hot_visitor_plan_uses_broadcasts(spark, skewed):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
     assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_hot_set_is_bounded_by_partitions(spark, skewed):
+    from dwellrec.operators.index import hot_threshold
+    ix = build_user_index(skewed)
+    total = ix.agg(F.sum("n_rows")).first()[0]
+    for parts in (2, 8, 64, 512):
+        hot = ix.where(F.col("n_rows") > hot_threshold(total, parts)).count()
+        assert hot < parts
+
+
+def test_scale_conf_sizes_partitions():
+    from dwellrec.session import scale_conf
+    c = scale_conf(100 * 2**40)
+    assert int(c["spark.sql.shuffle.partitions"]) == 200_000
+    assert int(scale_conf(10 * 2**30)["spark.sql.shuffle.partitions"]) == 40
+    assert int(scale_conf(1000)["spark.sql.shuffle.partitions"]) == 8
