@@ -37,7 +37,7 @@ def run_once(spark, sf_dir):
     from dwellrec.operators.negatives import sample_negatives
     from dwellrec.operators.split import hash_split
     from dwellrec.plans import evaluate as E
-    from dwellrec.plans import pipeline as P
+    from dwellrec.plans import jobs as P
     from dwellrec.session import materialize, scratch_path
     from dwellrec.sources.interactions import from_tables
     from dwellrec.sources.model_store import load_store, save_store
@@ -112,7 +112,7 @@ def main():
         sf = float(sf)
     except ValueError:
         pass
-    print(json.dumps({"metric": "als_pipeline_total", "value": total, "unit": "sec",
+    print(json.dumps({"metric": "als_job_total", "value": total, "unit": "sec",
                       "queries": steps, "sf": sf, "cpus": cpus, "repeats": repeats}))
     spark.stop()
 

@@ -23,7 +23,7 @@ from dwellrec.functions.exprs import TOP_N
 
 def _prepared(spark, a):
     """Prepared ratings: legacy integer-id files (``--tsv``) or interactions."""
-    from dwellrec.plans.pipeline import prepare, prepare_ratings
+    from dwellrec.plans.jobs import prepare, prepare_ratings
     if a.tsv:
         from dwellrec.sources.interactions import read_tsv
         return prepare_ratings(read_tsv(spark, a.tsv), None if a.raw_scores else 5, a.shift)
@@ -122,7 +122,7 @@ def main(argv=None) -> int:
         else:
             rows.show(truncate=False)
     elif a.cmd == "train":
-        from dwellrec.plans.pipeline import fit_prepared, recommend
+        from dwellrec.plans.jobs import fit_prepared, recommend
         params = _params(argparse.Namespace(**{**vars(a), "rank": [a.rank],
                                                "max_iter": [a.max_iter],
                                                "reg_param": [a.reg_param],
@@ -132,7 +132,7 @@ def main(argv=None) -> int:
         if a.lines:
             recommend(model, prep.user_index, a.n).select("value").write.text(a.lines)
     else:
-        from dwellrec.plans.pipeline import recommend_from_store
+        from dwellrec.plans.jobs import recommend_from_store
         recommend_from_store(spark, a.model_dir, a.n).select("value").write.text(a.output)
     return 0
 

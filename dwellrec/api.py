@@ -32,8 +32,8 @@ from dwellrec.operators.ranking import rank_values as select_ranks  # noqa: F401
 from dwellrec.operators.score import dataset_stats, quintile_cuts, quintile_scores  # noqa: F401
 from dwellrec.operators.split import hash_split, random_split  # noqa: F401
 from dwellrec.plans.evaluate import evaluate, scored_negatives, scored_positives, sweep  # noqa: F401
-from dwellrec.plans.pipeline import prepare, prepare_ratings, recommend, train  # noqa: F401
-from dwellrec.plans.pipeline import recommend_from_store as recommend_all  # noqa: F401
+from dwellrec.plans.jobs import prepare, prepare_ratings, recommend, train  # noqa: F401
+from dwellrec.plans.jobs import recommend_from_store as recommend_all  # noqa: F401
 from dwellrec.sources.interactions import from_tables, read_table, read_tsv  # noqa: F401
 from dwellrec.sources.model_store import load_store, save_store  # noqa: F401
 from dwellrec.sources.sinks import write_parquet, write_text  # noqa: F401

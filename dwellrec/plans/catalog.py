@@ -33,7 +33,7 @@ from dwellrec.operators.negatives import NEG_SEED, sample_negatives
 from dwellrec.operators.score import dataset_stats, quintile_cuts
 from dwellrec.operators.split import SPLIT_SEED, hash_split, split_label_sql
 from dwellrec.operators.topn import pair_scores, quantised_factors, top_n
-from dwellrec.plans import pipeline as P
+from dwellrec.plans import jobs as P
 from dwellrec.sources.interactions import dropped_counts, from_tables, shift_ratings, table
 
 PRICE = "l_extendedprice"

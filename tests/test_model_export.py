@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from dwellrec.operators import model as als
 from dwellrec.operators.export import lines_from_ranked
-from dwellrec.plans import pipeline as P
+from dwellrec.plans import jobs as P
 from dwellrec.session import scratch_path
 from dwellrec.sources.interactions import from_tables
 from dwellrec.sources.model_store import load_store, save_store
