@@ -38,11 +38,13 @@ def run_once(spark, sf_dir):
     from dwellrec.operators.split import hash_split
     from dwellrec.plans import evaluate as E
     from dwellrec.plans import jobs as P
-    from dwellrec.session import materialize, scratch_path
+    from dwellrec.session import (drop_materialized, materialize, materialized_mark,
+                                  scratch_path)
     from dwellrec.sources.interactions import from_tables
     from dwellrec.sources.model_store import load_store, save_store
 
     t = {}
+    mark = materialized_mark(spark)
     prep = P.prepare(from_tables(spark, sf_dir), timings=t)
 
     s = time.time()
@@ -88,6 +90,7 @@ def run_once(spark, sf_dir):
 
     lab.unpersist()
     prep.release()
+    drop_materialized(spark, since=mark)
     return t
 
 

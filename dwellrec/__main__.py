@@ -108,8 +108,9 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv=None) -> int:
     a = parser().parse_args(argv)
-    from dwellrec.session import build_session
+    from dwellrec.session import build_session, drop_materialized, materialized_mark
     spark = build_session()
+    mark = materialized_mark(spark)
     if a.cmd == "evaluate":
         from dwellrec.plans.evaluate import evaluate_prepared, sweep_prepared
         prep = _prepared(spark, a)
@@ -120,7 +121,7 @@ def main(argv=None) -> int:
         if a.output:
             rows.write.parquet(a.output)
         else:
-            rows.show(truncate=False)
+            rows.cache().show(truncate=False)
     elif a.cmd == "train":
         from dwellrec.plans.jobs import fit_prepared, recommend
         params = _params(argparse.Namespace(**{**vars(a), "rank": [a.rank],
@@ -134,6 +135,8 @@ def main(argv=None) -> int:
     else:
         from dwellrec.plans.jobs import recommend_from_store
         recommend_from_store(spark, a.model_dir, a.n).select("value").write.text(a.output)
+    # outputs are written: remove the intermediate tables of this command
+    drop_materialized(spark, since=mark)
     return 0
 
 

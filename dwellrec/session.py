@@ -96,11 +96,36 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex}")
 
 
+_MATERIALIZED: dict[str, list[str]] = {}
+
+
 def materialize(df, name: str):
     """Write ``df`` as a Parquet table under the shared checkpoint folder and
     read it back: the lineage is cut (a lost executor re-reads files, later
-    plans start from a scan) and later reads are columnar and pruned."""
+    plans start from a scan) and later reads are columnar and pruned. The
+    path is remembered so ``drop_materialized`` can remove it when done."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    _MATERIALIZED.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.parquet(path)
+
+
+def materialized_mark(spark: SparkSession) -> int:
+    """A marker for ``drop_materialized(spark, since=...)``."""
+    return len(_MATERIALIZED.get(spark.sparkContext.applicationId, []))
+
+
+def drop_materialized(spark: SparkSession, since: int = 0) -> int:
+    """Delete the intermediate tables this application wrote with
+    ``materialize`` after the marker ``since`` (all by default); call once
+    no DataFrame built on them is needed. Returns how many were removed."""
+    written = _MATERIALIZED.get(spark.sparkContext.applicationId, [])
+    paths = written[since:]
+    del written[since:]
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        hp.getFileSystem(conf).delete(hp, True)
+    return len(paths)

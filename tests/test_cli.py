@@ -33,3 +33,16 @@ def test_cli_tsv_legacy_path(spark):
     assert main(["evaluate", "--tsv", src, "--rank", "3", "--max-iter", "3",
                  "--output", out]) == 0
     assert spark.read.parquet(out).count() == 2
+
+
+def test_drop_materialized_removes_intermediates(spark):
+    import os
+    from dwellrec.session import drop_materialized, materialize, materialized_mark
+    keep = materialize(spark.range(5), "kept")
+    mark = materialized_mark(spark)
+    df = materialize(spark.range(10), "tmp-table")
+    path = df.inputFiles()[0].split("/part-")[0].replace("file:", "")
+    assert os.path.isdir(path)
+    assert drop_materialized(spark, since=mark) == 1
+    assert not os.path.exists(path)
+    assert keep.count() == 5          # written before the mark: untouched
