@@ -100,3 +100,13 @@ def test_recommend_all_matches_brute_force_factors(spark, trained):
         assert np.allclose([s for _, s in got[u]], expect, atol=1e-4)
         for item, s in got[u]:
             assert abs(scores[items.index(item)] - s) < 1e-4
+
+
+def test_als_checkpoints_into_session_folder(spark, trained):
+    import glob
+    from dwellrec.session import checkpoint_root
+    root = checkpoint_root(spark).replace("file:", "")
+    before = set(glob.glob(root + "/rdd-*"))
+    prep, _, _ = trained
+    als.fit(prep.scored, als.AlsParams(rank=3, max_iter=4, checkpoint_interval=2))
+    assert set(glob.glob(root + "/rdd-*")) - before
