@@ -74,3 +74,27 @@ def test_scale_conf_sizes_partitions():
     assert int(c["spark.sql.shuffle.partitions"]) == 200_000
     assert int(scale_conf(10 * 2**30)["spark.sql.shuffle.partitions"]) == 40
     assert int(scale_conf(1000)["spark.sql.shuffle.partitions"]) == 8
+
+
+def test_results_independent_of_partitioning(spark, skewed):
+    from dwellrec.plans.jobs import prepare
+
+    def run(parts):
+        old = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+        try:
+            prep = prepare(skewed)
+            lab = hash_split(prep.scored)
+            cat = item_catalogue(prep.scored)
+            negs = sample_negatives(lab.select("split", "user", "item"), cat, by=["split"])
+            pos = lab.select("split", "user",
+                             surrogate_pred(F.col("user"), F.col("item")).alias("pred"))
+            neg = negs.select("split", "user",
+                              surrogate_pred(F.col("user"), F.col("item")).alias("pred"))
+            return (sorted(prep.user_index.select("visitor_trace", "user").collect()),
+                    prep.cuts, sorted(negs.collect()),
+                    sorted(M.user_auc(pos, neg, by=["split"]).collect()))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", old)
+
+    assert run(3) == run(23)
