@@ -25,7 +25,6 @@ from dwellrec.functions.exprs import (
 )
 from dwellrec.operators import metrics as M
 from dwellrec.operators.export import format_line, lines_from_ranked, sort_lists_ascending
-from dwellrec.operators.index import item_catalogue
 from dwellrec.operators.negatives import NEG_SEED, sample_negatives
 from dwellrec.operators.score import dataset_stats, quintile_cuts
 from dwellrec.operators.split import SPLIT_SEED, hash_split
@@ -66,9 +65,7 @@ def _pairs(spark, sf_dir, mode="bag") -> DataFrame:
 
 
 def _negatives(spark, sf_dir) -> DataFrame:
-    prep = prepared(spark, sf_dir)
-    cat = item_catalogue(prep.scored)
-    n_items = cat.count()
+    cat, n_items = prepared(spark, sf_dir).catalogue()
     lab = labelled(spark, sf_dir)
     return sample_negatives(lab.select("split", "user", "item"), cat, n_items,
                             NEG_SEED, by=["split"])
@@ -109,7 +106,7 @@ def q_user_index(spark, sf_dir):
 
 
 def q_item_catalogue(spark, sf_dir):
-    return item_catalogue(prepared(spark, sf_dir).scored)
+    return prepared(spark, sf_dir).catalogue()[0]
 
 
 def q_indexed_ratings(spark, sf_dir):

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from dwellrec.functions.exprs import SCORE_BINS, TOP_N
 from dwellrec.operators import model as als
 from dwellrec.operators.export import lines_from_lists
-from dwellrec.operators.index import attach_user_ids, build_user_index
+from dwellrec.operators.index import attach_user_ids, build_user_index, item_catalogue
 from dwellrec.operators.score import apply_scores, cut_values, quintile_cuts
 from dwellrec.sources.interactions import clean, shift_ratings
 from dwellrec.session import materialize
@@ -42,6 +42,14 @@ class Prepared:
     scored: DataFrame       # user, item, score
     cuts: list[float]
     n: int
+    _catalogue: tuple | None = None
+
+    def catalogue(self) -> tuple[DataFrame, int]:
+        """(item catalogue, number of items), built once per preparation."""
+        if self._catalogue is None:
+            cat = item_catalogue(self.scored)
+            self._catalogue = (cat, cat.count())
+        return self._catalogue
 
     def release(self) -> None:
         self.ratings.unpersist()
