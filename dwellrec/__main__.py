@@ -93,6 +93,8 @@ def parser() -> argparse.ArgumentParser:
     ev.add_argument("--test-fraction", type=float, default=0.1)
     ev.add_argument("--mode", choices=("bag", "row"), default="bag")
     ev.add_argument("--output", help="write the metric rows as Parquet here")
+    ev.add_argument("--report", action="store_true",
+                    help="print the text report per parameter set and side")
     tr = sub.add_parser("train", help="fit on everything and save the model store")
     _add_input(tr)
     _add_params(tr, many=False, blocks=None)
@@ -120,6 +122,16 @@ def main(argv=None) -> int:
                 sweep_prepared(prep, grid, test_fraction=a.test_fraction, mode=a.mode))
         if a.output:
             rows.write.parquet(a.output)
+        elif a.report:
+            from dwellrec.operators.metrics import metrics_report
+            from pyspark.sql import functions as F
+            rep = metrics_report(rows).orderBy("rank", "max_iter", "reg_param", "alpha",
+                                               F.col("split").desc())
+            for r in rep.collect():     # one row per parameter set and side
+                print(f"rank={r.rank} iterations={r.max_iter} lambda={r.reg_param} "
+                      f"alpha={r.alpha} [{r.split}] rows={r.rows} negatives={r.negatives}")
+                print(r.report, end="")
+                print(f"AUC : {r.mean_auc}")
         else:
             rows.cache().show(truncate=False)
     elif a.cmd == "train":
