@@ -55,12 +55,13 @@ def typed(df: DataFrame, visitor: str = "visitor_trace", item: str = "poi",
 
 
 def read_table(spark: SparkSession, name_or_path: str, fmt: str | None = None,
-               **columns) -> DataFrame:
-    """A catalog table (``spark.table``) or a file path (``spark.read``)."""
+               options: dict | None = None, **columns) -> DataFrame:
+    """A catalog table (``spark.table``) or a file path (``spark.read`` with
+    reader ``options``); ``columns`` names the visitor/item/rating columns."""
     if fmt is None and "/" not in name_or_path:
         df = spark.table(name_or_path)
     else:
-        df = spark.read.format(fmt or "parquet").load(name_or_path)
+        df = spark.read.format(fmt or "parquet").options(**(options or {})).load(name_or_path)
     return typed(df, **columns)
 
 

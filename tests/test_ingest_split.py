@@ -56,3 +56,13 @@ def test_hash_split_partitions_rows_and_keeps_pairs_together(spark):
     again = hash_split(df.repartition(3)).where("split = 'test'").select("user", "item")
     assert sorted(again.collect()) == sorted(
         hash_split(df).where("split = 'test'").select("user", "item").collect())
+
+
+def test_read_table_csv_with_options(spark):
+    from dwellrec.sources.interactions import read_table
+    d = tempfile.mkdtemp(prefix="csv-", dir="/tmp")
+    p = os.path.join(d, "v.csv")
+    with open(p, "w") as f:
+        f.write("who,what,secs\na,1,2.5\nb,2,3.0\n")
+    df = read_table(spark, p, "csv", {"header": "true"}, visitor="who", item="what", rating="secs")
+    assert sorted(tuple(r) for r in df.collect()) == [("a", 1, 2.5), ("b", 2, 3.0)]
