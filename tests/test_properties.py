@@ -41,3 +41,37 @@ def test_hash_split_is_a_partition(spark, pairs, fraction):
     side = {}
     for r in rows:
         assert side.setdefault((r.user, r.item), r.split) == r.split
+
+
+PRED = st.one_of(st.sampled_from([0.0, 0.5, 1.0, float("nan")]),
+                 st.floats(min_value=-2, max_value=2, allow_nan=False))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 3), PRED), min_size=1, max_size=60),
+       st.lists(st.tuples(st.integers(0, 3), PRED), min_size=1, max_size=60))
+def test_user_auc_equals_pairwise_definition(spark, pos, neg):
+    from dwellrec.operators.metrics import user_auc
+    got = {r.user: r.auc for r in user_auc(
+        spark.createDataFrame(pos, "user INT, pred DOUBLE"),
+        spark.createDataFrame(neg, "user INT, pred DOUBLE")).collect()}
+    expect = {}
+    for u in {x for x, _ in pos} & {x for x, _ in neg}:
+        P = [p for x, p in pos if x == u]
+        N = [n for x, n in neg if x == u]
+        expect[u] = sum(1 for p in P for n in N if p > n) / (len(P) * len(N))
+    assert got == expect
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 6), st.integers(0, 14)), min_size=1, max_size=80),
+       st.integers(min_value=1, max_value=10**6))
+def test_negatives_equal_sequential_definition(spark, positives, seed):
+    from dwellrec.operators.negatives import sample_negatives
+    from test_negatives import _brute
+    items = list(range(0, 30, 2))          # 15 catalogue items, positions 0..14
+    positives = [(u, items[i]) for u, i in positives]
+    cat = spark.createDataFrame([(it, j) for j, it in enumerate(items)], "item INT, item_ix BIGINT")
+    got = sorted(tuple(r) for r in sample_negatives(
+        spark.createDataFrame(positives, "user INT, item INT"), cat, len(items), seed).collect())
+    assert got == _brute(positives, items, seed)
