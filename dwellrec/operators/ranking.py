@@ -2,8 +2,8 @@
 
 * ``dense_ids``   — 0-based dense id in ascending key order (``row_number()
   over (order by key) - 1`` on distinct keys). Range-partitioned sort, frozen
-  with a reliable checkpoint, then per-partition offsets. Only one count per
-  partition reaches the driver.
+  with the partition positions as a Parquet table in the shared folder, then
+  per-partition offsets. Only one count per partition reaches the driver.
 * ``rank_values`` — the values at given 1-based ranks of a numeric column
   (ties allowed). Bucket counts over quantile split points locate the ranks;
   only the (at most len(ranks)) buckets holding them are sorted, with equal
@@ -25,7 +25,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dwellrec.session import checkpoint_root
+from dwellrec.session import materialize
 
 # a window partition of at most this many rows is cheap in one task
 WINDOW_ROWS_LIMIT = 65536
@@ -36,20 +36,21 @@ def dense_ids(df: DataFrame, key: str, id_col: str = "id",
     """Distinct non-null ``key`` values with a dense 0-based BIGINT id in
     ascending key order, plus optional per-key aggregates.
 
-    The sorted keys are checkpointed (shared folder) so partition ids and
-    row order are frozen: a lost executor re-reads the same files, and every
-    later read gives each key the same id.
+    The keys are range-partitioned and sorted; each row's partition id and
+    position within its partition are taken right after the sort and written
+    with it as a Parquet table in the shared checkpoint folder, so they are
+    frozen: a lost executor re-reads files, and every later read gives each
+    key the same id (a retried write task recomputes the same values, since
+    the sorted keys are distinct). Rows per partition are then counted from
+    the small ``_p`` column alone.
     """
-    checkpoint_root(df.sparkSession)
     base = df.where(F.col(key).isNotNull())
     keys = base.groupBy(key).agg(*aggs) if aggs else base.select(key).distinct()
-    frozen = keys.orderBy(key).checkpoint(eager=True)
-    tagged = frozen.select(
-        "*",
-        F.spark_partition_id().alias("_p"),
-        F.monotonically_increasing_id().alias("_m"),
-    )
-    counts = {r["_p"]: r["count"] for r in tagged.groupBy("_p").count().collect()}
+    cols = keys.columns
+    ordered = keys.orderBy(key).select(
+        *cols, F.spark_partition_id().alias("_p"), F.monotonically_increasing_id().alias("_m"))
+    frozen = materialize(ordered, "dense-keys")
+    counts = {r["_p"]: r["count"] for r in frozen.groupBy("_p").count().collect()}
     # one start offset per partition (size bound = partitions), passed as one
     # JSON literal that constant folding turns into an array literal
     offsets, acc = [], 0
@@ -59,7 +60,7 @@ def dense_ids(df: DataFrame, key: str, id_col: str = "id",
     start = F.element_at(F.from_json(F.lit(json.dumps(offsets or [0])), "array<bigint>"),
                          F.col("_p") + 1)
     local = F.col("_m") - F.shiftleft(F.col("_p").cast("bigint"), 33)
-    return tagged.select(*frozen.columns, (start + local).alias(id_col))
+    return frozen.select(*cols, (start + local).alias(id_col))
 
 
 def _split_points(df: DataFrame, col: str, n_buckets: int):

@@ -7,10 +7,10 @@
 * ``evaluate``       holdout, fit on train, decision + ranking metrics per split
 * ``sweep``          ``evaluate`` over a parameter grid on one shared split
 
-Materialisation points: the sorted visitor keys are checkpointed and the
-id-attached ratings written as Parquet, both in the shared checkpoint folder
-(lineage cut; an executor loss re-reads files); the cleaned interactions are
-persisted only while the index is built. Negative samples and per-user AUC
+Materialisation points: the sorted visitor keys (with their positions) and
+the id-attached ratings are written as Parquet tables in the shared
+checkpoint folder (lineage cut; an executor loss re-reads files); the cleaned
+interactions are persisted only while the index is built. Negative samples and per-user AUC
 are written the same way by their operators.
 The driver receives only counts per partition/bucket, the cut values, the
 catalogue size and the final result rows.

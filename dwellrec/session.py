@@ -26,7 +26,7 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
     # top-k filters on row_number() get a partial group limit before the shuffle
     "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
-    # checkpointed rows are written with the RDD serializer
+    # RDD checkpoints (random_split, ALS) are written with the RDD serializer
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
 }
 
