@@ -24,13 +24,24 @@ from dwellrec.functions.exprs import (
     surrogate_pred,
 )
 from dwellrec.operators import metrics as M
+from dwellrec.operators import model as als
 from dwellrec.operators.export import format_line, lines_from_ranked, sort_lists_ascending
+from dwellrec.operators.model import AlsParams
 from dwellrec.operators.negatives import NEG_SEED, sample_negatives
 from dwellrec.operators.score import dataset_stats, quintile_cuts
-from dwellrec.operators.split import SPLIT_SEED, hash_split
+from dwellrec.operators.split import SPLIT_SEED, hash_split, random_split
 from dwellrec.operators.topn import pair_scores, quantised_factors, top_n
 from dwellrec.plans import jobs as P
-from dwellrec.sources.interactions import dropped_counts, from_tables, shift_ratings, table
+from dwellrec.plans.evaluate import evaluate_prepared, sweep_prepared
+from dwellrec.session import scratch_path
+from dwellrec.sources.interactions import (
+    clean,
+    dropped_counts,
+    from_tables,
+    shift_ratings,
+    table,
+)
+from dwellrec.sources.model_store import save_store
 
 PRICE = "l_extendedprice"
 QUANTITY = "l_quantity"
@@ -93,7 +104,6 @@ def _topn(spark, sf_dir) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def q_scan_interactions(spark, sf_dir):
-    from dwellrec.sources.interactions import clean
     return clean(from_tables(spark, sf_dir, PRICE))
 
 
@@ -222,16 +232,18 @@ def q_topn_lists_ascending(spark, sf_dir):
 # Model queries (Spark ML ALS; row-count check only)
 # ---------------------------------------------------------------------------
 
-def _als_params(**kw):
-    from dwellrec.operators.model import AlsParams
-    base = dict(rank=10, max_iter=10, reg_param=1.0, alpha=1.0)
-    base.update(kw)
-    return AlsParams(**base)
+def _als_params(**kw) -> AlsParams:
+    """Rank 10, lambda 1, alpha 1 as in the studied jobs; 10 iterations."""
+    return AlsParams(**{**dict(rank=10, max_iter=10, reg_param=1.0, alpha=1.0), **kw})
+
+
+def _eval_params(**kw) -> AlsParams:
+    """The evaluation job's layout (10 × 10 blocks, checkpoint every 10)."""
+    return AlsParams.for_evaluation(**{**dict(rank=10, max_iter=10), **kw})
 
 
 def q_holdout_random_split(spark, sf_dir):
     """Row-level seeded split over a checkpointed input (row-count check)."""
-    from dwellrec.operators.split import random_split
     train, test = random_split(prepared(spark, sf_dir).scored, (0.9, 0.1), SPLIT_SEED)
     return (train.withColumn("split", F.lit("train"))
             .unionByName(test.withColumn("split", F.lit("test"))))
@@ -243,28 +255,23 @@ def q_dataset_stats_approx(spark, sf_dir):
 
 
 def q_als_recommendation_lines(spark, sf_dir):
-    from dwellrec.operators import model as als
     prep = prepared(spark, sf_dir)
     m = als.fit(prep.scored, _als_params())
     return P.recommend(m, prep.user_index, TOP_N)
 
 
 def q_als_pair_predictions(spark, sf_dir):
-    from dwellrec.operators import model as als
     lab = labelled(spark, sf_dir)
-    m = als.fit(lab.where(F.col("split") == "train"), _als_params(num_user_blocks=10,
-                                                                   num_item_blocks=10))
+    m = als.fit(lab.where(F.col("split") == "train"), _eval_params())
     return als.predict_pairs(m, lab.where(F.col("split") == "test"))
 
 
 def q_als_topn(spark, sf_dir):
-    from dwellrec.operators import model as als
     m = als.fit(prepared(spark, sf_dir).scored, _als_params())
     return als.flatten_recommendations(als.recommend_all(m, TOP_N))
 
 
 def q_als_topn_subset(spark, sf_dir):
-    from dwellrec.operators import model as als
     lab = labelled(spark, sf_dir)
     m = als.fit(prepared(spark, sf_dir).scored, _als_params())
     return als.flatten_recommendations(
@@ -272,33 +279,25 @@ def q_als_topn_subset(spark, sf_dir):
 
 
 def q_als_explicit(spark, sf_dir):
-    from dwellrec.operators import model as als
     lab = labelled(spark, sf_dir)
-    m = als.fit(lab.where(F.col("split") == "train"), _als_params(implicit_prefs=False,
-                                                                   reg_param=0.1))
-    preds = als.predict_pairs(m, lab.where(F.col("split") == "test"))
-    pairs = M.weighted_pairs(lab.where(F.col("split") == "test").select("split", "user", "item", "score"),
-                             preds, "bag", by=["split"])
+    test = lab.where(F.col("split") == "test")
+    m = als.fit(lab.where(F.col("split") == "train"),
+                _als_params(implicit_prefs=False, reg_param=0.1))
+    pairs = M.weighted_pairs(test.select("split", "user", "item", "score"),
+                             als.predict_pairs(m, test), "bag", by=["split"])
     return M.rmse(pairs, "raw", by=["split"])
 
 
 def q_als_evaluate(spark, sf_dir):
-    from dwellrec.plans.evaluate import evaluate_prepared
-    return evaluate_prepared(prepared(spark, sf_dir),
-                             _als_params(num_user_blocks=10, num_item_blocks=10))
+    return evaluate_prepared(prepared(spark, sf_dir), _eval_params())
 
 
 def q_als_sweep(spark, sf_dir):
-    from dwellrec.plans.evaluate import sweep_prepared
-    grid = [_als_params(rank=5, num_user_blocks=10, num_item_blocks=10),
-            _als_params(rank=10, alpha=2.0, num_user_blocks=10, num_item_blocks=10)]
+    grid = [_eval_params(rank=5), _eval_params(rank=10, alpha=2.0)]
     return sweep_prepared(prepared(spark, sf_dir), grid)
 
 
 def q_als_save_reload_topn(spark, sf_dir):
-    from dwellrec.operators import model as als
-    from dwellrec.session import scratch_path
-    from dwellrec.sources.model_store import save_store
     prep = prepared(spark, sf_dir)
     params = _als_params()
     m = als.fit(prep.scored, params)
