@@ -68,3 +68,14 @@ def test_negatives_two_level_path(spark, monkeypatch):
     cat = spark.createDataFrame([(i, j) for j, i in enumerate(items)], "item INT, item_ix BIGINT")
     got = sorted(tuple(r) for r in sample_negatives(pos_df, cat, len(items), seed=5).collect())
     assert got == _brute(positives, items, 5)
+
+
+def test_negatives_exclude_known_items(spark):
+    items = list(range(20))
+    rows = [("test", 1, 3)]
+    known = [(1, i) for i in range(0, 20, 2)]          # even items are known
+    cat = spark.createDataFrame([(i, i) for i in items], "item INT, item_ix BIGINT")
+    got = sample_negatives(spark.createDataFrame(rows, "split STRING, user INT, item INT"),
+                           cat, 20, seed=4, by=["split"],
+                           exclude=spark.createDataFrame(known, "user INT, item INT")).collect()
+    assert len(got) == 1 and got[0].item % 2 == 1 and got[0].item != 3
