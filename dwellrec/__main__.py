@@ -104,6 +104,8 @@ def parser() -> argparse.ArgumentParser:
     rc.add_argument("model_dir")
     rc.add_argument("output")
     rc.add_argument("--n", type=int, default=TOP_N)
+    rc.add_argument("--parquet", action="store_true",
+                    help="write the structured lists as Parquet instead of text lines")
     return ap
 
 
@@ -143,6 +145,11 @@ def main(argv=None) -> int:
         model = fit_prepared(prep, a.model_dir, params)
         if a.lines:
             recommend(model, prep.user_index, a.n).select("value").write.text(a.lines)
+    elif a.parquet:
+        from dwellrec.plans.jobs import recommendation_lists
+        from dwellrec.sources.model_store import load_store
+        model, index, _ = load_store(spark, a.model_dir)
+        recommendation_lists(model, index, a.n).write.parquet(a.output)
     else:
         from dwellrec.plans.jobs import recommend_from_store
         recommend_from_store(spark, a.model_dir, a.n).select("value").write.text(a.output)

@@ -127,6 +127,13 @@ def recommend(model, user_index: DataFrame, n: int = TOP_N) -> DataFrame:
     return lines_from_lists(als.recommend_all(model, n), user_index)
 
 
+def recommendation_lists(model, user_index: DataFrame, n: int = TOP_N) -> DataFrame:
+    """Structured form: (user, visitor_trace, recommendations
+    ARRAY<STRUCT<item INT, rating FLOAT>>), lists in descending order."""
+    return als.recommend_all(model, n).join(
+        user_index.select("user", "visitor_trace"), "user")
+
+
 def recommend_from_store(spark, model_dir: str, n: int = TOP_N) -> DataFrame:
     model, index, _ = load_store(spark, model_dir)
     return recommend(model, index, n)

@@ -17,6 +17,10 @@ def test_cli_evaluate_train_recommend(spark):
     a = sorted(r.value for r in spark.read.text(lines).collect())
     b = sorted(r.value for r in spark.read.text(again).collect())
     assert a == b and len(a) == 150
+    pq = scratch_path(spark, "cli-pq")
+    assert main(["recommend", store, pq, "--parquet", "--n", "5"]) == 0
+    lists = spark.read.parquet(pq).collect()
+    assert len(lists) == 150 and all(len(r.recommendations) == 5 for r in lists)
 
 
 def test_cli_tsv_legacy_path(spark):
