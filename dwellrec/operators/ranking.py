@@ -12,8 +12,8 @@
   (bucket totals, then within-bucket windows) so no window partition holds a
   whole hot group.
 * ``prefix_sums`` — the same result; one plain window when the largest group
-  is known to be small (at most ``WINDOW_ROWS_LIMIT`` rows), the two-level
-  form otherwise.
+  is known to be small (at most ``WINDOW_ROWS_LIMIT`` rows, tunable with
+  ``spark.dwellrec.windowRowsLimit``), the two-level form otherwise.
 """
 
 from __future__ import annotations
@@ -28,9 +28,14 @@ from pyspark.sql import functions as F
 from dwellrec.session import materialize
 
 # a window partition of at most this many rows is cheap in one task
+# (session setting spark.dwellrec.windowRowsLimit overrides it)
 WINDOW_ROWS_LIMIT = 65536
 
 
+def window_rows_limit(spark) -> int:
+    return int(spark.conf.get("spark.dwellrec.windowRowsLimit", str(WINDOW_ROWS_LIMIT)))
+
+
 def dense_ids(df: DataFrame, key: str, id_col: str = "id",
               aggs: Sequence = ()) -> DataFrame:
     """Distinct non-null ``key`` values with a dense 0-based BIGINT id in
@@ -154,7 +159,7 @@ def prefix_sums(df: DataFrame, part: Sequence[str], order: str, values: Sequence
     bound on rows per ``part``; ``bucketize(df)`` adds a ``_bucket`` column
     non-decreasing in ``order`` (used only above the limit)."""
     part = list(part)
-    if max_part_rows <= WINDOW_ROWS_LIMIT:
+    if max_part_rows <= window_rows_limit(df.sparkSession):
         hi = 0 if inclusive else -1
         w = Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, hi)
         return df.select("*", *[F.coalesce(F.sum(v).over(w), F.lit(0)).alias(f"{v}_run")

@@ -79,3 +79,19 @@ def test_negatives_exclude_known_items(spark):
                            cat, 20, seed=4, by=["split"],
                            exclude=spark.createDataFrame(known, "user INT, item INT")).collect()
     assert len(got) == 1 and got[0].item % 2 == 1 and got[0].item != 3
+
+
+def test_thresholds_from_session_settings(spark):
+    rnd = random.Random(21)
+    items = sorted(rnd.sample(range(300), 25))
+    positives = [(u, rnd.choice(items)) for u in range(6) for _ in range(rnd.randrange(1, 20))]
+    cat = spark.createDataFrame([(i, j) for j, i in enumerate(items)], "item INT, item_ix BIGINT")
+    spark.conf.set("spark.dwellrec.windowRowsLimit", "0")
+    spark.conf.set("spark.dwellrec.broadcastCatalogueRows", "0")
+    try:
+        got = sorted(tuple(r) for r in sample_negatives(
+            spark.createDataFrame(positives, "user INT, item INT"), cat, len(items), seed=9).collect())
+    finally:
+        spark.conf.unset("spark.dwellrec.windowRowsLimit")
+        spark.conf.unset("spark.dwellrec.broadcastCatalogueRows")
+    assert got == _brute(positives, items, 9)
