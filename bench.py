@@ -69,6 +69,7 @@ def run_once(spark, sf_dir):
     reloaded, _, _ = load_store(spark, store)
     reloaded.userFactors.count()
     t["model_save_reload"] = time.time() - s
+    model = reloaded          # like evaluate: later steps read the saved factors
 
     s = time.time()
     preds = materialize(als.predict_pairs(model, lab), "predictions")

@@ -111,6 +111,11 @@ def materialize(df, name: str):
     return spark.read.parquet(path)
 
 
+def track_materialized(spark: SparkSession, path: str) -> None:
+    """Remember an intermediate path written by other means (e.g. a model)."""
+    _MATERIALIZED.setdefault(spark.sparkContext.applicationId, []).append(path)
+
+
 def materialized_mark(spark: SparkSession) -> int:
     """A marker for ``drop_materialized(spark, since=...)``."""
     return len(_MATERIALIZED.get(spark.sparkContext.applicationId, []))

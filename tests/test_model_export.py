@@ -110,3 +110,11 @@ def test_als_checkpoints_into_session_folder(spark, trained):
     prep, _, _ = trained
     als.fit(prep.scored, als.AlsParams(rank=3, max_iter=4, checkpoint_interval=2))
     assert set(glob.glob(root + "/rdd-*")) - before
+
+
+def test_frozen_model_predicts_the_same(spark, trained):
+    prep, _, model = trained
+    frozen = als.freeze(model, spark)
+    a = sorted(als.predict_pairs(model, prep.scored).collect())
+    b = sorted(als.predict_pairs(frozen, prep.scored).collect())
+    assert a == b
