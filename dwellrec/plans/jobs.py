@@ -115,10 +115,13 @@ def train(interactions: DataFrame, model_dir: str | None = None,
 
 def fit_prepared(prep: Prepared, model_dir: str | None = None,
                  params: als.AlsParams = als.AlsParams(), mode: str = "errorifexists"):
-    """Fit on all scored ratings of ``prep``; save to ``model_dir`` when given."""
+    """Fit on all scored ratings of ``prep``; when ``model_dir`` is given,
+    save the store there and return the reloaded model (its factors are then
+    files, not ALS lineage)."""
     model = als.fit(prep.scored, params)
     if model_dir:
         save_store(model_dir, model, prep.user_index, params.as_dict(), prep.cuts, mode)
+        model = load_store(prep.scored.sparkSession, model_dir)[0]
     return model
 
 
