@@ -1,18 +1,17 @@
-"""End-to-end jobs.
+"""End-to-end jobs (evaluation and sweeps are in ``evaluate.py``).
 
-* ``prepare``        interactions → visitor index → ratings → quintile scores
-* ``prepare_ratings`` the same for inputs with integer ids (legacy files)
-* ``train``          prepare, fit on everything, save model + index + params
-* ``recommend``      top-N lists for every visitor as text lines
-* ``evaluate``       holdout, fit on train, decision + ranking metrics per split
-* ``sweep``          ``evaluate`` over a parameter grid on one shared split
+* ``prepare``          interactions → visitor index → ratings → quintile scores
+* ``prepare_ratings``  the same for inputs with integer ids (legacy files)
+* ``train``            prepare, fit on everything, save model + index + params
+* ``recommend``        top-N lines for every visitor (``recommendation_lists``
+                       for the structured form, ``recommend_from_store`` from
+                       a saved store)
 
 Materialisation points: the sorted visitor keys (with their positions) and
 the id-attached ratings are written as Parquet tables in the shared
-checkpoint folder (lineage cut; an executor loss re-reads files). Negative samples and per-user AUC
-are written the same way by their operators.
-The driver receives only counts per partition/bucket, the cut values, the
-catalogue size and the final result rows.
+checkpoint folder, and a saved model is reloaded before use (lineage cut; an
+executor loss re-reads files). The driver receives only counts per
+partition/bucket, the cut values, the catalogue size and the final rows.
 """
 
 from __future__ import annotations
@@ -29,8 +28,8 @@ from dwellrec.operators import model as als
 from dwellrec.operators.export import lines_from_lists
 from dwellrec.operators.index import attach_user_ids, build_user_index, item_catalogue
 from dwellrec.operators.score import apply_scores, cut_values, quintile_cuts
-from dwellrec.sources.interactions import clean, shift_ratings
 from dwellrec.session import materialize
+from dwellrec.sources.interactions import clean, shift_ratings
 from dwellrec.sources.model_store import load_store, save_store
 
 
@@ -51,6 +50,7 @@ class Prepared:
         return self._catalogue
 
     def release(self) -> None:
+        """Drop cached copies (files stay until ``drop_materialized``)."""
         self.ratings.unpersist()
 
 
@@ -149,10 +149,6 @@ def recommend_lines(interactions: DataFrame, params: als.AlsParams = als.AlsPara
     return recommend(model, prep.user_index.select("visitor_trace", "user"), n)
 
 
-def single_column_lines(lines: DataFrame) -> DataFrame:
-    return lines.select(F.col("value"))
-
-
 def peek(df: DataFrame, n: int = 3) -> DataFrame:
     """A few rows for a look (the studied job printed take(3) samples)."""
     return df.limit(n)
