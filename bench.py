@@ -38,8 +38,7 @@ def run_once(spark, sf_dir):
     from dwellrec.operators.split import hash_split
     from dwellrec.plans import evaluate as E
     from dwellrec.plans import jobs as P
-    from dwellrec.session import (drop_materialized, materialize, materialized_mark,
-                                  scratch_path)
+    from dwellrec.session import drop_materialized, materialized_mark, scratch_path
     from dwellrec.sources.interactions import from_tables
     from dwellrec.sources.model_store import load_store, save_store
 
@@ -72,9 +71,8 @@ def run_once(spark, sf_dir):
     model = reloaded          # like evaluate: later steps read the saved factors
 
     s = time.time()
-    preds = materialize(als.predict_pairs(model, lab), "predictions")
-    pairs = M.weighted_pairs(lab.select("split", "user", "item", "score"), preds, "bag",
-                             by=["split"])
+    facts = M.weighted_facts(lab.select("split", "user", "item", "score"), "bag", by=["split"])
+    pairs = als.predict_rows(model, facts)
     M.decision_metrics(M.confusion_counts(pairs, by=["split"])).collect()
     t["decision_metrics"] = time.time() - s
 
@@ -85,7 +83,7 @@ def run_once(spark, sf_dir):
     t["negative_sampling"] = time.time() - s
 
     s = time.time()
-    M.mean_auc(M.user_auc(E.scored_positives(lab, preds), E.scored_negatives(model, negs),
+    M.mean_auc(M.user_auc(E.scored_positives(model, lab), E.scored_negatives(model, negs),
                           by=["split"]), by=["split"]).collect()
     t["mean_auc"] = time.time() - s
 

@@ -24,7 +24,13 @@ from pyspark.sql import DataFrame
 from dwellrec.functions.exprs import DECISION_THRESHOLD
 from dwellrec.operators import metrics as _m
 from dwellrec.operators.index import attach_user_ids, build_user_index, item_catalogue  # noqa: F401
-from dwellrec.operators.metrics import mean_auc, rmse, user_auc, weighted_pairs  # noqa: F401
+from dwellrec.operators.metrics import (  # noqa: F401
+    mean_auc,
+    rmse,
+    user_auc,
+    weighted_facts,
+    weighted_pairs,
+)
 from dwellrec.operators.model import AlsParams, fit, predict_pairs  # noqa: F401
 from dwellrec.operators.negatives import sample_negatives  # noqa: F401
 from dwellrec.operators.ranking import dense_ids as global_rank  # noqa: F401
@@ -56,7 +62,6 @@ def format_metrics(metrics: DataFrame, delimiter: str = ",") -> DataFrame:
 def ranking_metrics(lab: DataFrame, negs: DataFrame, model) -> DataFrame:
     """Mean per-user AUC per side: ``lab`` (split, user, item, ...) rows are
     the positives, ``negs`` the sampled negatives (see ``sample_negatives``)."""
-    preds = predict_pairs(model, lab)
-    per_user = user_auc(scored_positives(lab, preds), scored_negatives(model, negs),
+    per_user = user_auc(scored_positives(model, lab), scored_negatives(model, negs),
                         by=["split"])
     return mean_auc(per_user, by=["split"])
