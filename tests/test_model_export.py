@@ -118,3 +118,11 @@ def test_frozen_model_predicts_the_same(spark, trained):
     a = sorted(als.predict_pairs(model, prep.scored).collect())
     b = sorted(als.predict_pairs(frozen, prep.scored).collect())
     assert a == b
+
+
+def test_prepare_cached_input_gives_same_result(spark):
+    a = P.prepare(from_tables(spark, SF_SMALL))
+    b = P.prepare(from_tables(spark, SF_SMALL), cache_input=True)
+    assert a.cuts == b.cuts and a.n == b.n
+    assert sorted(a.scored.collect()) == sorted(b.scored.collect())
+    assert sorted(a.user_index.collect()) == sorted(b.user_index.collect())
