@@ -30,3 +30,14 @@ def test_every_oracle_has_a_query():
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_model_query_runs(spark, name):
     assert QUERIES[name](spark, SF_SMALL).count() > 0
+
+
+def test_query_names_follow_naming_rules():
+    import os
+    import re
+    for name in QUERIES:
+        assert re.fullmatch(r"[a-z][a-z0-9_]*", name)
+        assert "pipeline" not in name and not re.match(r"op\d+_", name)
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    for dirpath, dirnames, _ in os.walk(root):
+        assert "llm" not in dirnames
