@@ -115,7 +115,9 @@ def main():
     except ValueError:
         pass
     print(json.dumps({"metric": "als_job_total", "value": total, "unit": "sec",
-                      "queries": steps, "sf": sf, "cpus": cpus, "repeats": repeats}))
+                      "queries": steps, "sf": sf, "cpus": cpus, "repeats": repeats,
+                      "spark": spark.version, "shuffle_partitions": partitions,
+                      "driver_memory": spark.conf.get("spark.driver.memory", None)}))
     spark.stop()
 
 
