@@ -171,6 +171,6 @@ o AS (SELECT *, CAST(sum(length) OVER (PARTITION BY file ORDER BY page_id) - len
 f AS (SELECT *, file % 11 = 0 AND off + length > {CUT_AT} AS lost FROM o)
 SELECT file, off AS offset, length, page_id AS record_id,
        CASE WHEN lost THEN 'missing' ELSE 'changed' END AS kind, digest,
-       CASE WHEN lost THEN NULL ELSE found END AS found
+       CASE WHEN lost THEN '' ELSE found END AS found
 FROM f WHERE lost OR digest <> found
 """

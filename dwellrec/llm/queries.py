@@ -9,13 +9,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from dwellrec.llm import (
+    crf_quality,
     decontam,
     digest_merge,
+    ecoc_langid,
     external_shuffle,
     fixity,
     length_buckets,
     line_chunks,
     simhash,
+    tool_chat,
 )
 from dwellrec.llm.common import as_text, table
 
@@ -27,7 +30,9 @@ def op1_decontamination(spark, sf_dir):
 def op2_fixity(spark, sf_dir):
     """The pages as one replica against a copy of them that has rotted."""
     pages = table(spark, sf_dir, "pages")
-    return fixity.audit(fixity.records(pages), fixity.cut_short(fixity.records(fixity.damaged(pages))))
+    found = fixity.audit(fixity.records(pages),
+                         fixity.cut_short(fixity.records(fixity.damaged(pages))))
+    return found.withColumn("found", F.coalesce("found", F.lit("")))
 
 
 def op3_packing(spark, sf_dir):
@@ -38,6 +43,33 @@ def op4_line_dedup(spark, sf_dir):
     return line_chunks.dedup_lines(table(spark, sf_dir, "documents"))
 
 
+def _fold(n: int, k: int):
+    """Whether crc32 of doc_id as text is k modulo n (false for a null id)."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % n == k, F.lit(False))
+
+
+def op5_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = crf_quality.learnable(table(spark, sf_dir, "labels").select("doc_id", "quality"))
+    scored = crf_quality.score(docs, crf_quality.fit(docs, labels))
+    return scored.select("doc_id", _fold(5, 0).alias("held_out"), "score",
+                         (F.col("score") >= 0.3).cast("int").alias("predicted"), "good_lines")
+
+
+def op6_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = ecoc_langid.fit(ecoc_langid.learnable(docs))
+    found, (lang, score, ambiguous) = ecoc_langid.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", _fold(4, 2).alias("held_out"), F.col(lang).alias("lang_pred"),
+                        F.col(score).alias("score"), F.col(ambiguous).alias("ambiguous"))
+
+
+def op7_tool_chat(spark, sf_dir):
+    log = tool_chat.tool_log(table(spark, sf_dir, "conversations"))
+    lines = tool_chat.format_log(log, tool_chat.reply_tools(spark))
+    return lines.withColumn("call_id", F.coalesce("call_id", F.lit("")))
+
+
 def op8_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -60,6 +92,9 @@ QUERIES = {
     "op2_fixity": op2_fixity,
     "op3_packing": op3_packing,
     "op4_line_dedup": op4_line_dedup,
+    "op5_quality": op5_quality,
+    "op6_language_id": op6_language_id,
+    "op7_tool_chat": op7_tool_chat,
     "op8_simhash": op8_simhash,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_sharding": op10_sharding,
@@ -95,5 +130,6 @@ ORACLE = {
     "op2_fixity": fixity.audit_sql(),
     "op3_packing": length_buckets.pack_sql(),
     "op4_line_dedup": line_chunks.dedup_lines_sql(),
+    "op7_tool_chat": tool_chat.tool_log_sql(),
     "op9_exact_dedup": OP9_SQL,
 }
