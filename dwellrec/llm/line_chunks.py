@@ -7,11 +7,12 @@ far it is shifted. Chunks of two or more lines are the unit of removal.
 
 1. Digests of all multi-line chunks are counted (map-side first), with the
    first occurrence of each: the least (doc_id, row key, position).
-2. Chunks whose digest repeats meet the first occurrence's bytes; only those
-   with the same bytes are removed. The first occurrence always stays, and so
-   does a chunk whose digest collides with different bytes.
-3. The positions to remove are joined to the texts, which are cut again by the
-   same expression and put together without them.
+2. The positions of repeated digests are joined to the texts (the only shuffle
+   of texts), and the result is written.
+3. The bytes of every repeated chunk meet those of its first occurrence; a
+   chunk whose bytes differ (a digest collision) is taken off the list.
+4. The texts are cut again by the same expression and put together without the
+   chunks on the list. The first occurrence always stays.
 
 A digest held by a third of all rows: its narrow count row is broadcast (fewer
 than ``partitions`` such digests exist), and its bytes are met over a salted
@@ -73,32 +74,48 @@ def chunked(rows: DataFrame, window: int = WINDOW, divisor: int = DIVISOR) -> Da
             F.array_join(F.slice("lines", x["s"], x["n"]), "\n").alias("body"))).alias("chunks"))
 
 
-def _multi_line(docs: DataFrame, min_lines: int, window: int, divisor: int) -> DataFrame:
-    one = chunked(docs, window, divisor).select("k", "doc_id", F.explode("chunks").alias("c"))
+def _places(docs: DataFrame, min_lines: int, window: int, divisor: int) -> DataFrame:
+    """(digest, at) of every multi-line chunk."""
+    # explode_outer: for explode, the optimizer would infer a filter on the
+    # array's size and evaluate the whole cutting expression once more in it
+    one = chunked(docs, window, divisor).select("k", "doc_id", F.explode_outer("chunks").alias("c"))
     return one.where(F.col("c.n") >= min_lines).select(
-        F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "k", F.col("c.pos").alias("pos")).alias("at"),
-        F.unhex(F.md5("c.body")).alias("digest"), F.col("c.body").alias("body"))
+        F.unhex(F.md5("c.body")).alias("digest"),
+        F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "k", F.col("c.pos").alias("pos")).alias("at"))
 
 
-def repeated_chunks(docs: DataFrame, min_lines: int = MIN_LINES, window: int = WINDOW,
-                    divisor: int = DIVISOR) -> DataFrame:
-    """docs (k, doc_id, t) → (k, pos) of the chunks to remove."""
-    chunks = _multi_line(docs, min_lines, window, divisor)
-    # occurrences of a row that is repeated whole are at the same place: count them once
-    seen = materialize(chunks.select("digest", "at"), "chunk-digests").distinct()
+def _candidates(docs: DataFrame, min_lines: int, window: int, divisor: int) -> DataFrame:
+    """(k, refs): for each text with repeated digests, the map from a chunk's
+    position to its digest, the digest's count and whether it is the first."""
+    seen = materialize(_places(docs, min_lines, window, divisor), "chunk-digests")
     counts = materialize(seen.groupBy("digest").agg(F.count("*").alias("n"), F.min("at").alias("first"))
                          .where("n > 1"), "repeated-digests")
     total = counts.agg(F.sum("n")).first()[0] or 0
-    limit = max(1, total // partitions(docs.sparkSession))
-    rows = materialize(join_groups(chunks, counts, ["digest"], "n", total), "repeated-chunks")
+    refs = join_groups(seen, counts, ["digest"], "n", total)
+    entry = F.struct(F.col("at.pos").alias("key"), F.struct(
+        "digest", "n", (F.col("at") == F.col("first")).alias("is_first")).alias("value"))
+    return materialize(refs.groupBy("at.k").agg(F.map_from_entries(F.collect_set(entry)).alias("refs")),
+                       "chunk-candidates")
+
+
+def _unequal(joined: DataFrame, window: int, divisor: int) -> DataFrame:
+    """(k, wrong): positions whose bytes differ from the digest's first chunk."""
+    cut = chunked(joined.where("refs is not null"), window, divisor)
+    found = F.filter("chunks", lambda c: F.map_contains_key("refs", c["pos"]))
+    found = F.transform(found, lambda c: F.struct(
+        c["pos"].alias("pos"), c["body"].alias("body"), F.element_at("refs", c["pos"]).alias("ref")))
+    rows = cut.select("k", F.explode_outer(found).alias("c")).select(
+        "k", "c.pos", "c.body", "c.ref.digest", "c.ref.n", "c.ref.is_first")
+    rows = materialize(rows, "candidate-chunks")
+    limit = max(1, rows.count() // partitions(joined.sparkSession))
     salts = F.ceil(F.col("n") / F.lit(limit)).cast("int")
-    first = (rows.where("at = first").select("digest", "body", salts.alias("salts")).distinct()
-             .select("digest", F.col("body").alias("first_body"),
-                     F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")))
-    others = rows.where("at <> first").select(
-        "digest", "body", "at", F.pmod(F.xxhash64("at"), salts).cast("int").alias("salt"))
-    same = others.join(first, ["digest", "salt"]).where("body = first_body")
-    return same.select("at.k", "at.pos")
+    # a row that is repeated whole brings its first chunks several times
+    first = (rows.where("is_first").groupBy("digest", salts.alias("salts"))
+             .agg(F.min("body").alias("first_body")).select("digest", "first_body", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")))
+    others = rows.where("not is_first").select(
+        "digest", "body", "k", "pos", F.pmod(F.xxhash64("k", "pos"), salts).cast("int").alias("salt"))
+    differ = others.join(first, ["digest", "salt"]).where("body <> first_body")
+    return materialize(differ.groupBy("k").agg(F.collect_set("pos").alias("wrong")), "unequal-chunks")
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -107,11 +124,14 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     removed_lines, text (without the removed chunks)."""
     src = docs.select(row_key(doc_id, text).alias("k"), quoted(doc_id).alias("doc_id"),
                       as_text(text).alias("t"))
-    gone = repeated_chunks(src, min_lines, window, divisor)
-    gone = materialize(gone.groupBy("k").agg(F.collect_set("pos").alias("gone")), "removed-chunks")
-    cut = chunked(src.join(gone, "k", "left"), window, divisor)
+    candidates = _candidates(src, min_lines, window, divisor)
+    joined = materialize(src.join(candidates, "k", "left"), "texts-with-candidates")
+    wrong = _unequal(joined.select("k", "doc_id", "t", "refs"), window, divisor)
+    cut = chunked(joined.join(wrong, "k", "left"), window, divisor)
+    others = F.map_keys(F.map_filter("refs", lambda k, v: ~v["is_first"]))
     none = F.array().cast("array<int>")
-    parts = cut.select("doc_id", "n_lines", "chunks", F.coalesce("gone", none).alias("gone"))
+    gone = F.array_except(F.coalesce(others, none), F.coalesce("wrong", none))
+    parts = cut.select("doc_id", "n_lines", "chunks", gone.alias("gone"))
     parts = parts.select("doc_id", "n_lines", "gone", F.size("chunks").alias("n_chunks"), F.filter(
         "chunks", lambda c: ~F.array_contains("gone", c["pos"])).alias("kept"))
     left = F.aggregate("kept", F.lit(0), lambda s, c: s + c["n"])
