@@ -137,12 +137,22 @@ def _platt(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
     return a / scale, b, right
 
 
+def _least_hashes(ids: DataFrame, per_lang: int) -> DataFrame:
+    """(doc_id, lang, r): about the ``per_lang`` least id hashes of a language,
+    never more. A language's count tells below which hash a quarter more than
+    that lie, so that its window holds no more rows, whatever its share."""
+    counts = materialize(ids.groupBy("lang").agg(F.count("*").alias("n")), "langid-counts")
+    below = F.lit(1.25 * per_lang * (1 << 30)) / F.col("n")
+    few = ids.join(counts, "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < below)
+    w = Window.partitionBy("lang").orderBy(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)), "doc_id")
+    ranked = few.select("doc_id", "lang", F.row_number().over(w).alias("r"))
+    return materialize(ranked.where(F.col("r") <= per_lang), "langid-picked")
+
+
 def fit(rows: DataFrame, per_lang: int = FIT_PER_LANG) -> Model:
     """rows (doc_id, text, lang), the ones to learn from."""
     usable = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-    # at most per_lang ids a language leave each map task
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    picked = (usable.select("doc_id", "lang").withColumn("r", rank).where(F.col("r") <= per_lang))
+    picked = _least_hashes(usable.select("doc_id", "lang").distinct(), per_lang)
     sample = materialize(usable.join(picked, ["doc_id", "lang"]).groupBy("doc_id", "lang", "r")
                          .agg(F.min("text").alias("text")), "langid-sample")
     langs = [r[0] for r in sample.select("lang").distinct().orderBy("lang").collect()]
