@@ -105,10 +105,12 @@ WITH words AS (
   SELECT 'd' AS side, doc_id AS id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents
   UNION ALL
   SELECT 'i', item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') FROM benchmark),
-grams AS (
-  SELECT DISTINCT side, id, unnest(list_transform(
+every AS (
+  SELECT side, id, unnest(list_transform(
     range(1, greatest(len(w) - 4, 1) + 1), lambda x: array_to_string(w[x:x + 4], ' '))) AS g
   FROM words WHERE len(w) > 0),
+wanted AS (SELECT DISTINCT g FROM every WHERE side = 'i'),
+grams AS (SELECT DISTINCT side, id, g FROM every SEMI JOIN wanted USING (g)),
 n AS (SELECT id, count(*) AS n FROM grams WHERE side = 'i' GROUP BY id),
 m AS (SELECT d.id AS doc_id, i.id AS item_id, count(*) AS matched
       FROM grams d JOIN grams i ON d.side = 'd' AND i.side = 'i' AND d.g = i.g GROUP BY ALL)
