@@ -1,0 +1,12 @@
+import pytest
+from llm_data import SCHEMA, edge_rows
+
+
+@pytest.fixture(scope="session")
+def edge(spark):
+    return spark.createDataFrame(edge_rows(), SCHEMA).repartition(5)
+
+
+@pytest.fixture(scope="session")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)

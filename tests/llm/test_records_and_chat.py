@@ -1,0 +1,250 @@
+"""Fixity audit, tool chats, the pipeline and the registered queries."""
+import hashlib
+import json
+import os
+import subprocess
+import sys
+from collections import Counter
+
+import corpus_pipeline
+import pytest
+from llm_data import prose, rows_of
+from test_copies import brute_components
+from test_text_models import brute_contaminated, brute_pack
+
+import __spark_entry__ as entry
+from dwellrec.llm import ecoc_langid, fixity, tool_chat
+
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+SF = "/root/testdata/sf0.001"
+
+
+# --- fixity ----------------------------------------------------------------------
+
+def sha(x):
+    return hashlib.sha256(x.encode()).hexdigest()
+
+
+def brute_root(leaves):
+    """Root over (file, offset, length, digest) rows, recomputed level by level."""
+    nodes = {(f, o): sha(f"{o}:{n}:{d}") for f, o, n, d in leaves}
+    shift = 16
+    for _ in range(fixity.RANGE_LEVELS):
+        up = {}
+        for (f, i), h in sorted(nodes.items()):
+            up.setdefault((f, i >> shift), []).append(h)
+        nodes, shift = {k: sha("|".join(v)) for k, v in up.items()}, 4
+    up = {}
+    for (f, _), h in sorted(nodes.items()):
+        up.setdefault(f, []).append(h)
+    files = {f: sha("|".join(v)) for f, v in up.items()}
+    top = max(files)
+    while top:
+        top, up = top >> 4, {}
+        for f, h in sorted(files.items()):
+            up.setdefault(f >> 4, []).append(h)
+        files = {f: sha("|".join(v)) for f, v in up.items()}
+    return files[0]
+
+
+@pytest.fixture(scope="module")
+def pages(spark):
+    rows = [(i, f"http://h/{i}", prose(200 + i % 50, i)) for i in range(400)]
+    rows += [(None, None, None), (400, "u", ""), (401, None, "é" * 3000), (401, None, "é" * 3000)]
+    return spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+
+
+def test_layout(spark, pages):
+    rec = fixity.records(pages, per_file=20).orderBy("file", "offset").collect()
+    assert len(rec) == 404
+    end = {}
+    for r in rec:
+        assert r["offset"] == end.get(r["file"], 0)
+        end[r["file"]] = r["offset"] + r["length"]
+    raw = {r[0]: r[1] for r in pages.where("page_id is not null").select(
+        "page_id", fixity.warc_record(fixity.quoted("page_id"), fixity.as_text("url"), fixity.as_text("html"))).collect()}
+    for r in rec:
+        if r["record_id"] is not None:
+            assert r["digest"] == sha(raw[r["record_id"]]) and r["length"] == len(raw[r["record_id"]].encode())
+    assert raw[5].startswith("WARC/1.0\r\n") and raw[5].endswith("\r\n\r\n")
+
+
+def test_roots(spark, pages):
+    rec = fixity.records(pages, per_file=20)
+    leaves = rec.withColumn("side", fixity.F.lit("a"))
+    root = fixity.tree(leaves)[-1].collect()
+    assert [r["hash"] for r in root] == [brute_root(rows_of(rec.select("file", "offset", "length", "digest")))]
+
+
+def test_audit_locates_damage(spark, pages):
+    good = fixity.records(pages, per_file=20)
+    bad = fixity.cut_short(fixity.records(fixity.damaged(pages), per_file=20))
+    bad = bad.where("record_id is null or record_id not in (50, 51, 333)")
+    extra = spark.createDataFrame([(3, 10**7, 9, 9999, "00")], good.schema)
+    got = fixity.audit(good, bad.unionByName(extra)).collect()
+    a = {(r["file"], r["offset"]): r for r in good.collect()}
+    b = {(r["file"], r["offset"]): r for r in bad.unionByName(extra).collect()}
+    want = {k: "missing" if k not in b else "extra" if k not in a else "changed"
+            for k in a.keys() | b.keys() if a.get(k) != b.get(k)}
+    assert {(r["file"], r["offset"]): r["kind"] for r in got} == want
+    assert Counter(want.values()).keys() == {"missing", "extra", "changed"}
+
+
+def test_audit_of_equal_and_empty_replicas(pages):
+    good = fixity.records(pages)
+    assert fixity.audit(good, fixity.records(pages)).count() == 0
+    none = fixity.records(pages.limit(0))
+    assert fixity.audit(none, none).count() == 0
+    assert {r["kind"] for r in fixity.audit(good, none).collect()} == {"missing"}
+    assert {r["kind"] for r in fixity.audit(none, good).collect()} == {"extra"}
+
+
+# --- tool chats --------------------------------------------------------------------
+
+LOG = "conv_id long, position int, kind string, call_id string, name string, arguments string, " \
+      "after array<string>, role string, content string, line string"
+TOOLS = [("add", json.dumps({"type": "object", "required": ["a"], "additionalProperties": False,
+                             "properties": {"a": {"type": "integer", "maximum": 5},
+                                            "b": {"type": "array", "items": {"type": "string"}}}}))]
+
+
+def call(conv, pos, cid, args="{}", after=None, name="add"):
+    return (conv, pos, "call", cid, name, args, after, None, None, "x")
+
+
+def result(conv, pos, cid, content="r"):
+    return (conv, pos, "result", cid, None, None, None, None, content, "x")
+
+
+def run_log(spark, rows):
+    out = tool_chat.format_log(spark.createDataFrame(rows, LOG).repartition(3),
+                               spark.createDataFrame(TOOLS, "name string, schema string"))
+    return sorted(out.collect(), key=lambda r: (r["conv_id"] is not None, r["conv_id"] or 0, r["seq"]))
+
+
+def test_links_and_order(spark):
+    rows = [result(1, 0, "a"), call(1, 1, "a"),                       # logged late
+            call(1, 2, "b", after=["c"]), result(1, 3, "b"), call(1, 4, "c"), result(1, 5, "c"),
+            (1, 6, "message", None, None, None, None, "user", "hi", "x"),
+            call(2, 0, "a"), result(3, 0, "a"),                        # other conversations do not link
+            call(4, 0, "d"), call(4, 1, "d"), result(4, 2, "d"), result(4, 3, "d"),
+            call(5, 0, "p", after=["q"]), result(5, 1, "p"), call(5, 2, "q", after=["p"]), result(5, 3, "q"),
+            call(5, 4, "z"), result(5, 5, "z"),
+            call(6, 0, None), result(6, 1, None), (None, 0, "message", None, None, None, None, "user", "n", "x")]
+    got = run_log(spark, rows)
+    seqs = Counter((r["conv_id"], r["seq"]) for r in got)
+    assert len(got) == len(rows) and set(seqs.values()) == {1}
+    order = [(r["kind"], r["call_id"]) for r in got if r["conv_id"] == 1]
+    assert order == [("call", "a"), ("result", "a"), ("call", "c"), ("result", "c"),
+                     ("call", "b"), ("result", "b"), ("message", None)]
+    status = {(r["conv_id"], r["kind"], r["position"]): r["status"] for r in got}
+    assert status[2, "call", 0] == "unanswered" and status[3, "result", 0] == "orphan"
+    assert [status[4, k, p] for k, p in (("call", 0), ("call", 1), ("result", 2), ("result", 3))] == \
+        ["ok", "duplicate", "ok", "duplicate"]
+    assert {status[5, k, p] for k, p in (("call", 0), ("result", 1), ("call", 2), ("result", 3))} == {"cyclic"}
+    assert status[5, "call", 4] == status[5, "result", 5] == "ok"
+    assert status[6, "call", 0] == "unanswered" and status[6, "result", 1] == "orphan"
+
+
+def test_order_is_topological(spark):
+    """A shuffled log with chains: every result follows its call, every call its needs."""
+    import random
+    rng = random.Random(9)
+    rows, place = [], rng.sample(range(80), 80)
+    for i in range(40):
+        after = [f"c{j}" for j in rng.sample(range(i), min(i, rng.randrange(3)))]
+        rows += [call(1, place[2 * i], f"c{i}", after=after), result(1, place[2 * i + 1], f"c{i}")]
+    got = {(r["kind"], r["call_id"]): r["seq"] for r in run_log(spark, rows)}
+    assert sorted(got.values()) == list(range(80))
+    for r in rows:
+        if r[2] == "call":
+            assert got["call", r[3]] < got["result", r[3]]
+            assert all(got["result", a] < got["call", r[3]] for a in r[6])
+
+
+def test_arguments_and_lines(spark):
+    args = ['{"b": ["x"], "a": 2.0}', '{"a": 6}', '{"b": [1]}', "{bad", None, '[1]', '{"a": true, "z": 0}', '{"a": 1e2}']
+    got = run_log(spark, [call(1, i, f"c{i}", a) for i, a in enumerate(args)] + [call(1, 50, "u", "{}", name="other")])
+    errors = [r["errors"] for r in got]
+    assert errors == ["", "$.a: above maximum", "$.a: missing; $.b[0]: not string", "$: not JSON", "$: not JSON",
+                      "$: not object", "$.a: not integer; $.z: not allowed", "$.a: above maximum", "$: unknown tool"]
+    assert [r["valid"] for r in got] == [e == "" for e in errors]
+    assert got[0]["line"] == '{"arguments":{"a":2,"b":["x"]},"id":"c0","name":"add","type":"call"}'
+    assert json.loads(got[3]["line"])["arguments"] == "{bad" and json.loads(got[4]["line"])["arguments"] is None
+
+
+def test_empty_log(spark):
+    assert run_log(spark, []) == []
+    convs = spark.read.parquet(f"{SF}/conversations.parquet").limit(0)
+    assert tool_chat.format_log(tool_chat.tool_log(convs), tool_chat.reply_tools(spark)).count() == 0
+
+
+# --- pipeline and registration --------------------------------------------------------
+
+def brute_pipeline(rows, bench):
+    """rows (doc_id, text) after language ID → packed rows."""
+    last = {}
+    for d, t in rows:
+        last[t or ""] = max(last.get(t or "", -10**9), d)
+    rows = [(d, t) for t, d in last.items()]
+    _, comp = brute_components(rows)
+    rows = [r for r, c in zip(rows, comp) if r[0] == c]
+    bad = {d for d, *_ in brute_contaminated(rows, bench)}
+    from dwellrec.llm import length_buckets as lb
+    return brute_pack([r for r in rows if r[0] not in bad], lb.N_BUCKETS, lb.TOKEN_BUDGET)
+
+
+def test_pipeline_against_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    bench = rows_of(spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text"))
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect() if any(c.isalpha() for c in r["text"] or "")]
+    got = corpus_pipeline.run(spark, SF)
+    assert sorted(rows_of(got)) == brute_pipeline(rows, bench)
+    assert got.count() < docs.count()
+
+
+def test_stages_take_edge_rows(spark, edge, empty):
+    assert [n for n, _ in corpus_pipeline.STAGES] == [
+        "language_id", "exact_dedup", "simhash_dedup", "decontamination", "packing"]
+    for start in (edge, empty):
+        docs = start
+        for name, stage in corpus_pipeline.STAGES:
+            before = docs.count()
+            docs = corpus_pipeline.materialize(stage(spark, docs, SF), f"t-{name}")
+            assert docs.count() <= before
+            if name != "packing":
+                assert docs.columns == start.columns
+    assert docs.count() == 0
+    assert ecoc_langid.keep_identified(edge.drop("n_chars", "source")).count() > 30
+
+
+def test_queries_registered():
+    names = entry.queries().keys()
+    for n in range(1, 11):
+        assert sum(k.startswith(f"op{n}_") for k in names) == 1
+    assert "pipeline" in names
+    assert entry.oracle_sql().keys() <= names
+
+
+def test_library_does_without_the_subpackage(tmp_path):
+    """The entry and the rest import when this subpackage and the pipeline are gone."""
+    for name in os.listdir(ROOT):
+        if name not in ("corpus_pipeline.py", "dwellrec", ".git"):
+            (tmp_path / name).symlink_to(os.path.join(ROOT, name))
+    (tmp_path / "dwellrec").mkdir()
+    for name in os.listdir(os.path.join(ROOT, "dwellrec")):
+        if name != "llm":
+            (tmp_path / "dwellrec" / name).symlink_to(os.path.join(ROOT, "dwellrec", name))
+    (tmp_path / "__spark_entry__.py").unlink()
+    (tmp_path / "__spark_entry__.py").write_text(open(os.path.join(ROOT, "__spark_entry__.py")).read())
+    code = "import __spark_entry__ as e; q = e.queries(); assert 'user_auc' in q and 'pipeline' not in q; e.oracle_sql()"
+    subprocess.run([sys.executable, "-B", "-c", code], cwd=tmp_path, check=True, timeout=120,
+                   env=os.environ | {"PYTHONPATH": str(tmp_path)})
+
+
+def test_nothing_else_imports_the_subpackage():
+    for top, _, files in os.walk(os.path.join(ROOT, "dwellrec")):
+        if os.path.basename(top) != "llm":
+            for f in files:
+                if f.endswith(".py"):
+                    assert "dwellrec.llm" not in open(os.path.join(top, f)).read()
