@@ -53,7 +53,8 @@ def records(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
     narrow = pages.select(quoted(page_id).alias("record_id"), as_text(url).alias("url"),
                           F.octet_length(rec).cast("bigint").alias("length"),
                           F.sha2(rec, 256).alias("digest"))
-    placed = ordinal(narrow, ["record_id", "url", "length", "digest"])
+    # written first: the range sort reads its input twice
+    placed = ordinal(materialize(narrow, "record-digests"), ["record_id", "url", "length", "digest"])
     w = (Window.partitionBy("file").orderBy("_ix")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))   # at most per_file rows
     return (placed.withColumn("file", F.expr(f"_ix div {int(per_file)}"))
