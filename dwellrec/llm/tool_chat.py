@@ -32,9 +32,9 @@ call), 'duplicate' (a later call or result for an identifier that has one),
 'cyclic'. Defined results: events with a null identifier are unlinked (a call
 is unanswered, a result an orphan); null conversations are one conversation;
 events other than calls are valid; arguments that are null or no JSON are
-invalid and serialised as a JSON string or null; unknown tools are invalid; repeated rows are duplicates; rows of
-unknown kind are messages; an empty log gives an empty result; other columns
-are ignored.
+invalid and serialised as a JSON string or null; unknown tools are invalid;
+repeated rows are duplicates; rows of unknown kind are messages; an empty log
+gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -229,8 +229,7 @@ def format_log(log: DataFrame, tools: DataFrame) -> DataFrame:
                       .withColumn("status", F.when(F.col("loop"), "cyclic").otherwise(F.col("status"))))
     checked = _serialised(all_events.select(*cols, "p", "d").join(
         tools.select("name", F.col("schema").alias("tool_schema")).dropDuplicates(["name"]), "name", "left"))
-    order = [c for c in ("ck", "p", "d", "position", "eid")]
-    placed = ordinal(checked, order)
+    placed = ordinal(materialize(checked, "chat-lines"), ["ck", "p", "d", "position", "eid"])
     first = placed.groupBy("ck").agg(F.min("_ix").alias("lo"), F.count("*").alias("n"))
     placed = join_groups(placed, materialize(first, "chat-starts"), ["ck"], "n", placed.count())
     return placed.select("conv_id", (F.col("_ix") - F.col("lo")).alias("seq"), "position", "kind",
