@@ -31,14 +31,17 @@ def _noop(df):
 def run_once(spark, sf_dir):
     from pyspark.sql import functions as F
 
-    from dwellrec.operators import metrics as M
     from dwellrec.operators import model as als
-    from dwellrec.operators.index import item_catalogue
     from dwellrec.operators.negatives import sample_negatives
     from dwellrec.operators.split import hash_split
     from dwellrec.plans import evaluate as E
     from dwellrec.plans import jobs as P
-    from dwellrec.session import drop_materialized, materialized_mark, scratch_path
+    from dwellrec.session import (
+        drop_materialized,
+        materialized_mark,
+        scratch_path,
+        track_materialized,
+    )
     from dwellrec.sources.interactions import from_tables
     from dwellrec.sources.model_store import load_store, save_store
 
@@ -47,13 +50,12 @@ def run_once(spark, sf_dir):
     prep = P.prepare(from_tables(spark, sf_dir), timings=t)
 
     s = time.time()
-    lab = hash_split(prep.scored).persist()
+    lab = hash_split(prep.scored)
     lab.groupBy("split").count().collect()
     t["holdout_split"] = time.time() - s
 
     s = time.time()
-    params = als.AlsParams(rank=10, max_iter=10, reg_param=1.0, alpha=1.0,
-                           num_user_blocks=10, num_item_blocks=10)
+    params = als.AlsParams.for_evaluation(rank=10, max_iter=10, reg_param=1.0, alpha=1.0)
     model = als.fit(lab.where(F.col("split") == "train"), params)
     model.userFactors.count()
     t["als_fit"] = time.time() - s
@@ -64,30 +66,28 @@ def run_once(spark, sf_dir):
 
     s = time.time()
     store = scratch_path(spark, "bench-store")
+    track_materialized(spark, store)
     save_store(store, model, prep.user_index, params.as_dict(), prep.cuts)
     reloaded, _, _ = load_store(spark, store)
     reloaded.userFactors.count()
     t["model_save_reload"] = time.time() - s
     model = reloaded          # like evaluate: later steps read the saved factors
 
+    # from here on the functions that evaluate runs
     s = time.time()
-    facts = M.weighted_facts(lab.select("split", "user", "item", "score"), "bag", by=["split"])
-    pairs = als.predict_rows(model, facts)
-    M.decision_metrics(M.confusion_counts(pairs, by=["split"])).collect()
-    t["decision_metrics"] = time.time() - s
+    cat, n_items = prep.catalogue()
+    negs = sample_negatives(lab.select("split", "user", "item"), cat, n_items, by=["split"])
+    t["negative_sampling"] = time.time() - s
 
     s = time.time()
-    cat = item_catalogue(prep.scored)
-    negs = sample_negatives(lab.select("split", "user", "item"), cat, cat.count(),
-                            by=["split"])
-    t["negative_sampling"] = time.time() - s
+    scored = E.predicted_pairs(model, E.evaluation_pairs(lab, negs))
+    E.decisions(scored).collect()
+    t["decision_metrics"] = time.time() - s
 
     s = time.time()
-    M.mean_auc(M.user_auc(E.scored_positives(model, lab), E.scored_negatives(model, negs),
-                          by=["split"]), by=["split"]).collect()
+    E.ranking(scored).collect()
     t["mean_auc"] = time.time() - s
 
-    lab.unpersist()
     prep.release()
     drop_materialized(spark, since=mark)
     return t

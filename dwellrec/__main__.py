@@ -22,12 +22,17 @@ from dwellrec.functions.exprs import TOP_N
 
 
 def _prepared(spark, a):
-    """Prepared ratings: legacy integer-id files (``--tsv``) or interactions."""
+    """Prepared ratings: legacy integer-id files (``--tsv``) or interactions.
+    The session's partitions are sized from the input first."""
     from dwellrec.plans.jobs import prepare, prepare_ratings
+    from dwellrec.session import input_bytes, size_session
+    from dwellrec.sources.interactions import read_tsv
+    rows = read_tsv(spark, a.tsv) if a.tsv else _input(spark, a)
+    if not a.keep_conf:
+        size_session(spark, a.input_bytes or input_bytes(rows))
     if a.tsv:
-        from dwellrec.sources.interactions import read_tsv
-        return prepare_ratings(read_tsv(spark, a.tsv), None if a.raw_scores else 5, a.shift)
-    return prepare(_input(spark, a))
+        return prepare_ratings(rows, None if a.raw_scores else 5, a.shift)
+    return prepare(rows)
 
 
 def _input(spark, a):
@@ -62,11 +67,15 @@ def _add_input(p):
     p.add_argument("--rating-col")
     p.add_argument("--tsv", help="tab-separated user, item, rating files (integer ids)")
     p.add_argument("--shift", type=float, help="subtract this from --tsv ratings")
+    p.add_argument("--input-bytes", type=int,
+                   help="size of the input, if its statistics are unknown or wrong")
+    p.add_argument("--keep-conf", action="store_true",
+                   help="use the session's partition settings instead of sizing them")
     p.add_argument("--raw-scores", action="store_true",
                    help="with --tsv: use the (shifted) rating itself, no quintile scores")
 
 
-def _add_params(p, many: bool, blocks: int | None):
+def _add_params(p, many: bool):
     n = "+" if many else None
     p.add_argument("--rank", type=int, nargs=n, default=[10] if many else 10)
     p.add_argument("--max-iter", "--numIterations", dest="max_iter", type=int, nargs=n,
@@ -75,9 +84,9 @@ def _add_params(p, many: bool, blocks: int | None):
                    default=[1.0] if many else 1.0)
     p.add_argument("--alpha", type=float, nargs=n, default=[1.0] if many else 1.0)
     p.add_argument("--user-blocks", "--numUserBlocks", dest="user_blocks", type=int,
-                   default=blocks)
+                   default=-1, help="-1: sized from the session and the input")
     p.add_argument("--item-blocks", "--numProductBlocks", dest="item_blocks", type=int,
-                   default=blocks)
+                   default=-1)
     p.add_argument("--checkpoint-interval", type=int, default=10)
     p.add_argument("--explicit", action="store_true", help="explicit-feedback ALS")
     p.add_argument("--seed", type=int, default=42)
@@ -88,7 +97,7 @@ def parser() -> argparse.ArgumentParser:
     sub = ap.add_subparsers(dest="cmd", required=True)
     ev = sub.add_parser("evaluate", help="holdout metrics per split")
     _add_input(ev)
-    _add_params(ev, many=True, blocks=10)
+    _add_params(ev, many=True)
     ev.add_argument("--test-fraction", type=float, default=0.1)
     ev.add_argument("--mode", choices=("bag", "row"), default="bag")
     ev.add_argument("--output", help="write the metric rows as Parquet here")
@@ -96,7 +105,7 @@ def parser() -> argparse.ArgumentParser:
                     help="print the text report per parameter set and side")
     tr = sub.add_parser("train", help="fit on everything and save the model store")
     _add_input(tr)
-    _add_params(tr, many=False, blocks=None)
+    _add_params(tr, many=False)
     tr.add_argument("model_dir")
     tr.add_argument("--lines", help="also write top-N lines here")
     tr.add_argument("--n", type=int, default=TOP_N)
@@ -121,20 +130,21 @@ def main(argv=None) -> int:
         rows = (evaluate_prepared(prep, grid[0], test_fraction=a.test_fraction, mode=a.mode)
                 if len(grid) == 1 else
                 sweep_prepared(prep, grid, test_fraction=a.test_fraction, mode=a.mode))
+        from dwellrec.operators.metrics import metrics_report
+        from dwellrec.session import materialize
+        from pyspark.sql import functions as F
+        rows = materialize(rows, "metric-rows")
         if a.output:
             rows.write.parquet(a.output)
-        elif a.report:
-            from dwellrec.operators.metrics import metrics_report
-            from pyspark.sql import functions as F
-            rep = metrics_report(rows).orderBy("rank", "max_iter", "reg_param", "alpha",
-                                               F.col("split").desc())
-            for r in rep.collect():     # one row per parameter set and side
+        ordered = rows.orderBy("rank", "max_iter", "reg_param", "alpha", F.col("split").desc())
+        if a.report:
+            for r in metrics_report(ordered).collect():     # one row per parameter set and side
                 print(f"rank={r.rank} iterations={r.max_iter} lambda={r.reg_param} "
                       f"alpha={r.alpha} [{r.split}] rows={r.rows} negatives={r.negatives}")
                 print(r.report, end="")
                 print(f"AUC : {r.mean_auc}")
-        else:
-            rows.cache().show(truncate=False)
+        elif not a.output:
+            ordered.show(n=max(1, rows.count()), truncate=False)
     elif a.cmd == "train":
         from dwellrec.plans.jobs import fit_prepared, recommend
         params = _params(argparse.Namespace(**{**vars(a), "rank": [a.rank],

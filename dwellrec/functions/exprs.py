@@ -45,26 +45,37 @@ REPORT_LABELS = (
 )
 LINE_SEPARATOR = "\u0001"
 
-# Portable integer mix: identical in Spark and DuckDB, no overflow for
-# non-negative inputs below ~1e13 (all intermediates stay below 2**63).
-_P = 2147483647
+# Portable integer mix: identical in Spark and DuckDB. All products stay below
+# 2**62. x -> x^3 is one-to-one modulo this prime (3 does not divide P - 1).
+MIX_PRIME = 2147483579
+_P = MIX_PRIME
+
+
+def _cube(x: Column) -> Column:
+    return (x * x % F.lit(_P)) * x % F.lit(_P)
 
 
 def mix(a: Column, b: Column, seed: int) -> Column:
-    """Seeded pseudo-random non-negative BIGINT from two non-negative ints."""
+    """Seeded pseudo-random BIGINT in [0, MIX_PRIME) from two ints.
+
+    ``a`` is mixed first and gives both the start and the step of its sequence
+    over ``b``, so the sequences of two ``a`` are not shifted copies."""
     a = F.pmod(a.cast("bigint"), F.lit(_P))
     b = F.pmod(b.cast("bigint"), F.lit(_P))
-    x = (a * F.lit(7919) + b * F.lit(104729) + F.lit(int(seed))) % F.lit(_P)
-    y = (((x * x + F.lit(1013904223)) % F.lit(_P)) * F.lit(48271)) % F.lit(_P)
-    return y
+    start = _cube((a * F.lit(7919) + F.lit(int(seed))) % F.lit(_P))
+    step = _cube((start + F.lit(104729)) % F.lit(_P)) + F.lit(1)
+    return _cube((start + b * step) % F.lit(_P))
 
 
 def mix_sql(a: str, b: str, seed: int) -> str:
     """The same mix as SQL text (for the DuckDB oracle)."""
-    a = f"(CAST({a} AS BIGINT) % {_P} + {_P}) % {_P}"
-    b = f"(CAST({b} AS BIGINT) % {_P} + {_P}) % {_P}"
-    x = f"(({a}) * 7919 + ({b}) * 104729 + {int(seed)}) % {_P}"
-    return f"(((({x}) * ({x}) + 1013904223) % {_P}) * 48271) % {_P}"
+    def cube(x):
+        return f"((({x}) * ({x}) % {_P}) * ({x}) % {_P})"
+    a = f"((CAST({a} AS BIGINT) % {_P} + {_P}) % {_P})"
+    b = f"((CAST({b} AS BIGINT) % {_P} + {_P}) % {_P})"
+    start = cube(f"({a} * 7919 + {int(seed)}) % {_P}")
+    step = f"({cube(f'({start} + 104729) % {_P}')} + 1)"
+    return cube(f"({start} + {b} * {step}) % {_P}")
 
 
 def score_cascade(value: Column, cuts: Sequence[float]) -> Column:

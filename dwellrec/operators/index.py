@@ -45,12 +45,10 @@ def attach_user_ids(interactions: DataFrame, user_index: DataFrame,
     spark = interactions.sparkSession
     if partitions is None:
         partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    stats = user_index.agg(F.sum("n_rows").alias("total"), F.max("n_rows").alias("top")).first()
-    limit = hot_threshold(int(stats["total"] or 0), partitions)
+    total = user_index.agg(F.sum("n_rows")).first()[0]
+    limit = hot_threshold(int(total or 0), partitions)
     ix = user_index.select("visitor_trace", "user", "n_rows")
     cols = [F.col("user"), F.col("poi").alias("item"), F.col("rating")]
-    if (stats["top"] or 0) <= limit:
-        return interactions.join(ix.select("visitor_trace", "user"), "visitor_trace").select(*cols)
     hot = ix.where(F.col("n_rows") > limit).select("visitor_trace", "user")
     hot_b = F.broadcast(hot)
     hot_rows = interactions.join(hot_b, "visitor_trace").select(*cols)

@@ -5,20 +5,19 @@
   with the partition positions as a Parquet table in the shared folder, then
   per-partition offsets. Only one count per partition reaches the driver.
 * ``rank_values`` — the values at given 1-based ranks of a numeric column
-  (ties allowed). Bucket counts over quantile split points locate the ranks;
-  only the (at most len(ranks)) buckets holding them are sorted, with equal
-  values collapsed first so a value held by a third of all rows is one row.
+  (ties allowed). Bucket counts over approximate quantiles locate the ranks;
+  the buckets holding them are cut again until each is small or holds a single
+  value, and only those are sorted, with equal values collapsed first, so a
+  value held by a third of all rows is one row.
 * ``running_totals`` — per-group prefix sums in a numeric order, in two levels
   (bucket totals, then within-bucket windows) so no window partition holds a
   whole hot group.
-* ``prefix_sums`` — the same result; one plain window when the largest group
-  is known to be small (at most ``WINDOW_ROWS_LIMIT`` rows, tunable with
-  ``spark.dwellrec.windowRowsLimit``), the two-level form otherwise.
 """
 
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -27,13 +26,9 @@ from pyspark.sql import functions as F
 
 from dwellrec.session import materialize
 
-# a window partition of at most this many rows is cheap in one task
-# (session setting spark.dwellrec.windowRowsLimit overrides it)
-WINDOW_ROWS_LIMIT = 65536
-
-
-def window_rows_limit(spark) -> int:
-    return int(spark.conf.get("spark.dwellrec.windowRowsLimit", str(WINDOW_ROWS_LIMIT)))
+N_BUCKETS = 256
+# a bucket of at most this many rows is sorted by one task
+SORT_ROWS = 1 << 20
 
 
 def dense_ids(df: DataFrame, key: str, id_col: str = "id",
@@ -68,64 +63,112 @@ def dense_ids(df: DataFrame, key: str, id_col: str = "id",
     return frozen.select(*cols, (start + local).alias(id_col))
 
 
-def _split_points(df: DataFrame, col: str, n_buckets: int):
-    """Row count and sorted, strictly increasing split points for Bucketizer."""
+def split_points(df: DataFrame, col: str, n_buckets: int = N_BUCKETS,
+                 by: str | None = None) -> dict[int, list[float]]:
+    """Approximate quantiles of ``col``, per value of the small INT column
+    ``by`` (0 without one).
+
+    Any increasing values serve as split points, so the digests are small and
+    meet in as many groups as there are shuffle partitions, not in one task;
+    the groups' quantiles (groups x n_buckets numbers) are merged here."""
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    row = df.agg(
-        F.count(col).alias("n"),
-        F.percentile_approx(F.col(col).cast("double"), probs, 100 * n_buckets).alias("q"),
-    ).first()
-    n = int(row["n"])
-    qs = sorted({float(x) for x in (row["q"] or []) if x is not None})
-    if not qs:
-        qs = [0.0]
-    return n, [float("-inf")] + qs + [float("inf")]
+    groups = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    key = F.col(by) if by else F.lit(0)
+    part = df.groupBy(key.alias("_k"), (F.spark_partition_id() % F.lit(groups)).alias("_g")).agg(
+        F.percentile_approx(F.col(col).cast("double"), probs, 2 * n_buckets).alias("q"))
+    found: dict[int, list[float]] = {}
+    for r in part.select("_k", "q").collect():
+        found.setdefault(r["_k"], []).extend(x for x in (r["q"] or []) if x is not None)
+    out = {}
+    for k, points in found.items():
+        points.sort()
+        step = max(1, len(points) // n_buckets)
+        out[k] = sorted(set(points[step // 2::step]))
+    return out
+
+
+def bucketed(df: DataFrame, col: str, points: Sequence[float], out: str = "_b") -> DataFrame:
+    """Add ``out``: the number of the interval between ``points`` (strictly
+    increasing) that holds ``col``; NaN lies above all."""
+    splits = [float("-inf"), *(points or [0.0]), float("inf")]
+    return Bucketizer(splits=splits, inputCol=col, outputCol=out,
+                      handleInvalid="keep").transform(df)
 
 
 def rank_values(df: DataFrame, col: str, ranks: Sequence[int] | None = None,
-                n_buckets: int = 1024, rank_fn=None) -> tuple[DataFrame, int]:
+                n_buckets: int = N_BUCKETS, rank_fn=None,
+                sort_rows: int = SORT_ROWS) -> tuple[DataFrame, int]:
     """Values at 1-based ``ranks`` of ``col`` in ascending order (with ties).
 
     ``rank_fn(n)`` may compute the ranks from the row count instead.
     Returns (DataFrame[k INT, rank BIGINT, value DOUBLE], n).
+
+    Every split point is paired with the next larger double, so a frequent
+    value gets a bucket of its own and each round shrinks the others. Driver
+    data: the points and one count per bucket.
     """
+    spark = df.sparkSession
     # NULL and NaN have no rank here (callers drop them at ingest)
     vals = (df.select(F.col(col).cast("double").alias("v"))
             .where(F.col("v").isNotNull() & ~F.isnan(F.col("v"))))
-    n, splits = _split_points(vals, "v", n_buckets)
-    if rank_fn is not None:
-        ranks = rank_fn(n)
-    ranks = [int(r) for r in ranks]
-    for r in ranks:
-        if r < 1 or r > n:
-            raise ValueError(f"rank {r} out of range for {n} rows")
-    bucketed = Bucketizer(splits=splits, inputCol="v", outputCol="_b").transform(vals)
-    bucket_counts = {int(r["_b"]): int(r["c"]) for r in
-                     bucketed.groupBy("_b").agg(F.count(F.lit(1)).alias("c")).collect()}
-    before, acc = {}, 0
-    for b in sorted(bucket_counts):
-        before[b] = acc
-        acc += bucket_counts[b]
-    targets = []
-    for k, r in enumerate(ranks, start=1):
-        b = next(b for b in sorted(bucket_counts)
-                 if before[b] < r <= before[b] + bucket_counts[b])
-        targets.append((k, r, float(b), r - before[b]))
-    wanted = sorted({t[2] for t in targets})
-    cand = (bucketed.where(F.col("_b").isin(wanted))
-            .groupBy("_b", "v").agg(F.count(F.lit(1)).alias("c")))
-    w = Window.partitionBy("_b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    cand = cand.withColumn("_cum", F.sum("c").over(w))
-    # the value at local rank r of bucket b is the row whose cumulative count
-    # first reaches r; a row may answer several targets (ties), so the hits
-    # are an array of (k, rank) structs, exploded
-    hits = F.array(*[
-        F.when((F.col("_b") == F.lit(b)) & (F.col("_cum") >= F.lit(loc))
-               & (F.col("_cum") - F.col("c") < F.lit(loc)),
-               F.struct(F.lit(k).cast("int").alias("k"), F.lit(r).cast("bigint").alias("rank")))
-        for k, r, b, loc in targets])
-    out = (cand.select(F.explode(F.filter(hits, lambda x: x.isNotNull())).alias("t"), "v")
-           .select("t.k", "t.rank", F.col("v").alias("value")))
+    points: set[float] = set()
+    open_ = {float("-inf"): float("inf")}          # intervals [lo, hi) to cut again
+    n = None
+    while True:
+        inside = F.lit(None).cast("int")
+        for i, (lo, hi) in enumerate(open_.items()):
+            inside = F.when((F.col("v") >= lo) & ((F.col("v") < hi) | F.lit(hi == float("inf"))),
+                            F.lit(i)).otherwise(inside)
+        fresh = split_points(vals.withColumn("_i", inside).where("_i is not null"), "v",
+                             n_buckets, "_i")
+        for found in fresh.values():
+            for x in found:
+                points |= {x, math.nextafter(x, math.inf)}
+        cuts = sorted(x for x in points if math.isfinite(x))
+        counts = {int(r["_b"]): int(r["c"]) for r in bucketed(vals, "v", cuts)
+                  .groupBy("_b").agg(F.count(F.lit(1)).alias("c")).collect()}
+        if n is None:
+            n = sum(counts.values())
+            ranks = [int(r) for r in (rank_fn(n) if rank_fn is not None else ranks)]
+            for r in ranks:
+                if r < 1 or r > n:
+                    raise ValueError(f"rank {r} out of range for {n} rows")
+        edges = [float("-inf"), *(cuts or [0.0]), float("inf")]
+        targets, below, todo = [], 0, dict(enumerate(ranks, start=1))
+        for b in sorted(counts):
+            for k, r in list(todo.items()):
+                if r <= below + counts[b]:
+                    targets.append((k, r, b, r - below))
+                    del todo[k]
+            below += counts[b]
+        large = {edges[b]: edges[b + 1] for _, _, b, _ in targets
+                 if counts[b] > sort_rows and math.nextafter(edges[b], math.inf) < edges[b + 1]}
+        if not large or large == open_:
+            break
+        open_ = large
+    # a bucket between a double and the next one holds that value alone
+    known = [(k, r, edges[b]) for k, r, b, _ in targets
+             if math.nextafter(edges[b], math.inf) >= edges[b + 1]]
+    rest = [t for t in targets if t[0] not in {k for k, _, _ in known}]
+    schema = "k int, rank bigint, value double"
+    out = spark.createDataFrame(known, schema)
+    if rest:
+        wanted = sorted({float(b) for _, _, b, _ in rest})
+        cand = (bucketed(vals, "v", cuts).where(F.col("_b").isin(wanted))
+                .groupBy("_b", "v").agg(F.count(F.lit(1)).alias("c")))
+        w = Window.partitionBy("_b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+        cand = cand.withColumn("_cum", F.sum("c").over(w))
+        # the value at local rank r of bucket b is the row whose cumulative count
+        # first reaches r; a row may answer several targets (ties), so the hits
+        # are an array of (k, rank) structs, exploded
+        hits = F.array(*[
+            F.when((F.col("_b") == F.lit(float(b))) & (F.col("_cum") >= F.lit(loc))
+                   & (F.col("_cum") - F.col("c") < F.lit(loc)),
+                   F.struct(F.lit(k).cast("int").alias("k"), F.lit(r).cast("bigint").alias("rank")))
+            for k, r, b, loc in rest])
+        out = out.unionByName(
+            cand.select(F.explode(F.filter(hits, lambda x: x.isNotNull())).alias("t"), "v")
+            .select("t.k", "t.rank", F.col("v").alias("value")))
     return out, n
 
 
@@ -151,19 +194,3 @@ def running_totals(df: DataFrame, part: Sequence[str], bucket: str, order: str,
     out = inner.join(totals, part + [bucket])
     return out.select(*df.columns, *[
         (F.col(f"_{v}_bb") + F.col(f"_{v}_bi")).alias(f"{v}_run") for v in values])
-
-
-def prefix_sums(df: DataFrame, part: Sequence[str], order: str, values: Sequence[str],
-                max_part_rows: int, bucketize, inclusive: bool = False) -> DataFrame:
-    """Add ``<v>_run`` like ``running_totals``. ``max_part_rows`` is an upper
-    bound on rows per ``part``; ``bucketize(df)`` adds a ``_bucket`` column
-    non-decreasing in ``order`` (used only above the limit)."""
-    part = list(part)
-    if max_part_rows <= window_rows_limit(df.sparkSession):
-        hi = 0 if inclusive else -1
-        w = Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, hi)
-        return df.select("*", *[F.coalesce(F.sum(v).over(w), F.lit(0)).alias(f"{v}_run")
-                                for v in values])
-    bucketed = bucketize(df)
-    out = running_totals(bucketed, part, "_bucket", order, values, inclusive)
-    return out.drop("_bucket")

@@ -49,10 +49,13 @@ def quintile_scores(ratings: DataFrame, col: str = "rating", bins: int = SCORE_B
 
 
 def dataset_stats(scored: DataFrame, user: str = "user", item: str = "item",
-                  approx: bool = False) -> DataFrame:
+                  approx: bool = False, rsd: float = 0.01) -> DataFrame:
     """One row: ratings, distinct users, distinct items (HyperLogLog++
-    estimates with ``approx``, one pass without a distinct shuffle)."""
-    distinct = F.approx_count_distinct if approx else F.count_distinct
+    estimates with ``approx`` and relative error ``rsd``, one pass without a
+    distinct shuffle)."""
+    def distinct(c):
+        return F.approx_count_distinct(c, rsd) if approx else F.count_distinct(c)
+
     return scored.agg(F.count(F.lit(1)).alias("ratings"),
                       distinct(user).alias("users"),
                       distinct(item).alias("items"))

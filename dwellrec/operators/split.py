@@ -13,27 +13,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dwellrec.functions.exprs import TEST_FRACTION, mix, mix_sql
+from dwellrec.functions.exprs import MIX_PRIME, TEST_FRACTION, mix, mix_sql
 
 SPLIT_SEED = 42
-_SCALE = 10000
 
 
 def _cut(test_fraction: float) -> int:
     if not 0.0 <= test_fraction <= 1.0:
         raise ValueError("test_fraction must be in [0, 1]")
-    return int(round(test_fraction * _SCALE))
+    cut = round(test_fraction * MIX_PRIME)
+    if test_fraction > 0 and not cut:
+        raise ValueError(f"test_fraction {test_fraction} is below the split's resolution")
+    return cut
 
 
 def split_label(user: str = "user", item: str = "item",
                 test_fraction: float = TEST_FRACTION, seed: int = SPLIT_SEED):
-    is_test = (mix(F.col(user), F.col(item), seed) % F.lit(_SCALE)) < F.lit(_cut(test_fraction))
+    is_test = mix(F.col(user), F.col(item), seed) < F.lit(_cut(test_fraction))
     return F.when(is_test, F.lit("test")).otherwise(F.lit("train"))
 
 
 def split_label_sql(user: str = "user", item: str = "item",
                     test_fraction: float = TEST_FRACTION, seed: int = SPLIT_SEED) -> str:
-    return (f"CASE WHEN ({mix_sql(user, item, seed)}) % {_SCALE} < {_cut(test_fraction)}"
+    return (f"CASE WHEN {mix_sql(user, item, seed)} < {_cut(test_fraction)}"
             f" THEN 'test' ELSE 'train' END")
 
 
@@ -43,12 +45,6 @@ def hash_split(df: DataFrame, test_fraction: float = TEST_FRACTION,
     return df.withColumn("split", split_label(user, item, test_fraction, seed))
 
 
-def split_frames(df: DataFrame, test_fraction: float = TEST_FRACTION,
-                 seed: int = SPLIT_SEED, user: str = "user", item: str = "item"):
-    lab = split_label(user, item, test_fraction, seed)
-    return df.where(lab == "train"), df.where(lab == "test")
-
-
 def random_split(df: DataFrame, weights=(0.9, 0.1), seed: int = SPLIT_SEED):
     """Row-level random split (duplicates of a pair may straddle the sides)."""
     frozen = df.checkpoint(eager=True)

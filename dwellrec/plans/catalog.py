@@ -6,13 +6,15 @@ lineitem (visitor = customer name, item = part key, strength = extended
 price, or quantity for the heavy-ties variant). Model outputs are replaced,
 where an oracle must reproduce them, by integer-exact stand-ins: a hash
 prediction for the evaluation operators and quantised ``embeddings`` factors
-for pair scoring and top-N. The ``als_*`` queries run the real Spark ML model
-and have no oracle (row-count check only).
+for pair scoring and top-N (an id uses the vector numbered by its remainder).
+The ``als_*`` queries run the real Spark ML model and return what does not
+depend on its floats. The ``skewed_*`` queries run on the same interactions
+with every third customer relabelled to one visitor.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dwellrec.functions.exprs import (
@@ -33,15 +35,18 @@ from dwellrec.operators.split import SPLIT_SEED, hash_split, random_split
 from dwellrec.operators.topn import pair_scores, quantised_factors, top_n
 from dwellrec.plans import jobs as P
 from dwellrec.plans.evaluate import evaluate_prepared, sweep_prepared
-from dwellrec.session import scratch_path
+from dwellrec.session import on_drop, scratch_path, track_materialized
 from dwellrec.sources.interactions import (
     clean,
     dropped_counts,
     from_tables,
+    read_table,
+    read_tsv,
     shift_ratings,
     table,
 )
-from dwellrec.sources.model_store import save_store
+from dwellrec.sources.model_store import load_store, save_store
+from dwellrec.sources.sinks import write_text
 
 PRICE = "l_extendedprice"
 QUANTITY = "l_quantity"
@@ -51,17 +56,32 @@ SHIFT = 5.0
 # Shared fixture (memoised per application, table folder and strength column)
 # ---------------------------------------------------------------------------
 _PREPARED: dict = {}
+on_drop(_PREPARED.clear)
+HOT_VISITOR = "HOT"
 
 
-def prepared(spark: SparkSession, sf_dir: str, rating_col: str = PRICE) -> P.Prepared:
-    key = (spark.sparkContext.applicationId, sf_dir, rating_col)
+def interactions(spark: SparkSession, sf_dir: str, rating_col: str = PRICE,
+                 skewed: bool = False) -> DataFrame:
+    """The interaction table; ``skewed`` relabels every third customer to one
+    visitor, which then holds about a third of all rows."""
+    rows = from_tables(spark, sf_dir, rating_col)
+    if skewed:
+        number = F.regexp_extract("visitor_trace", "([0-9]+)$", 1).cast("bigint")
+        rows = rows.withColumn("visitor_trace", F.when(number % 3 == 0, F.lit(HOT_VISITOR))
+                               .otherwise(F.col("visitor_trace")))
+    return rows
+
+
+def prepared(spark: SparkSession, sf_dir: str, rating_col: str = PRICE,
+             skewed: bool = False) -> P.Prepared:
+    key = (spark.sparkContext.applicationId, sf_dir, rating_col, skewed)
     if key not in _PREPARED:
-        _PREPARED[key] = P.prepare(from_tables(spark, sf_dir, rating_col))
+        _PREPARED[key] = P.prepare(interactions(spark, sf_dir, rating_col, skewed))
     return _PREPARED[key]
 
 
-def labelled(spark, sf_dir, test_fraction=TEST_FRACTION) -> DataFrame:
-    return hash_split(prepared(spark, sf_dir).scored, test_fraction, SPLIT_SEED)
+def labelled(spark, sf_dir, test_fraction=TEST_FRACTION, skewed=False) -> DataFrame:
+    return hash_split(prepared(spark, sf_dir, skewed=skewed).scored, test_fraction, SPLIT_SEED)
 
 
 def _surrogate_preds(df: DataFrame) -> DataFrame:
@@ -75,24 +95,25 @@ def _pairs(spark, sf_dir, mode="bag") -> DataFrame:
                             _surrogate_preds(lab), mode=mode, by=["split"])
 
 
-def _negatives(spark, sf_dir) -> DataFrame:
-    cat, n_items = prepared(spark, sf_dir).catalogue()
-    lab = labelled(spark, sf_dir)
+def _negatives(spark, sf_dir, skewed=False) -> DataFrame:
+    cat, n_items = prepared(spark, sf_dir, skewed=skewed).catalogue()
+    lab = labelled(spark, sf_dir, skewed=skewed)
     return sample_negatives(lab.select("split", "user", "item"), cat, n_items,
                             NEG_SEED, by=["split"])
 
 
-def _user_auc(spark, sf_dir) -> DataFrame:
-    lab = labelled(spark, sf_dir)
+def _user_auc(spark, sf_dir, skewed=False) -> DataFrame:
+    lab = labelled(spark, sf_dir, skewed=skewed)
     pos = lab.select("split", "user", surrogate_pred(F.col("user"), F.col("item")).alias("pred"))
-    negs = _negatives(spark, sf_dir)
+    negs = _negatives(spark, sf_dir, skewed)
     neg = negs.select("split", "user", surrogate_pred(F.col("user"), F.col("item")).alias("pred"))
     return M.user_auc(pos, neg, by=["split"])
 
 
 def _factor_scores(spark, sf_dir) -> DataFrame:
-    fac = quantised_factors(table(spark, sf_dir, "embeddings"))
-    return pair_scores(prepared(spark, sf_dir).scored, fac, fac)
+    vectors = table(spark, sf_dir, "embeddings")
+    fac = quantised_factors(vectors)
+    return pair_scores(prepared(spark, sf_dir).scored, fac, fac, vectors.count())
 
 
 def _topn(spark, sf_dir) -> DataFrame:
@@ -103,6 +124,11 @@ def _topn(spark, sf_dir) -> DataFrame:
 # Table-valued queries with an oracle
 # ---------------------------------------------------------------------------
 
+def _bigint(df: DataFrame, *names: str) -> DataFrame:
+    """Wide counts as BIGINT (the test tables' counts fit; ANSI casts raise)."""
+    return df.withColumns({c: F.col(c).cast("bigint") for c in names})
+
+
 def q_scan_interactions(spark, sf_dir):
     return clean(from_tables(spark, sf_dir, PRICE))
 
@@ -162,15 +188,16 @@ def q_pair_predictions(spark, sf_dir):
 
 
 def q_fact_pred_join(spark, sf_dir):
-    return _pairs(spark, sf_dir, "bag")
+    return _bigint(_pairs(spark, sf_dir, "bag"), "weight")
 
 
 def q_fact_pred_join_rowmode(spark, sf_dir):
-    return _pairs(spark, sf_dir, "row")
+    return _bigint(_pairs(spark, sf_dir, "row"), "weight")
 
 
 def q_confusion_counts(spark, sf_dir):
-    return M.confusion_counts(_pairs(spark, sf_dir), DECISION_THRESHOLD, by=["split"])
+    counts = M.confusion_counts(_pairs(spark, sf_dir), DECISION_THRESHOLD, by=["split"])
+    return _bigint(counts, "tp", "fp", "fn", "tn")
 
 
 def q_confusion_metrics(spark, sf_dir):
@@ -183,15 +210,15 @@ def q_metrics_text(spark, sf_dir):
 
 
 def q_rmse_binarised(spark, sf_dir):
-    return M.rmse(_pairs(spark, sf_dir), "binary", by=["split"])
+    return _bigint(M.rmse(_pairs(spark, sf_dir), "binary", by=["split"]), "n")
 
 
 def q_rmse_clamped(spark, sf_dir):
-    return M.rmse(_pairs(spark, sf_dir), "clamp", by=["split"])
+    return _bigint(M.rmse(_pairs(spark, sf_dir), "clamp", by=["split"]), "n")
 
 
 def q_rmse_raw(spark, sf_dir):
-    return M.rmse(_pairs(spark, sf_dir), "raw", by=["split"])
+    return _bigint(M.rmse(_pairs(spark, sf_dir), "raw", by=["split"]), "n")
 
 
 def q_negative_samples(spark, sf_dir):
@@ -206,7 +233,52 @@ def q_mean_auc(spark, sf_dir):
     return M.mean_auc(_user_auc(spark, sf_dir), by=["split"])
 
 
-def q_topn_all_users(spark, sf_dir):
+def q_skewed_user_index(spark, sf_dir):
+    return prepared(spark, sf_dir, skewed=True).user_index.select("visitor_trace", "user", "n_rows")
+
+
+def q_skewed_indexed_ratings(spark, sf_dir):
+    return prepared(spark, sf_dir, skewed=True).ratings
+
+
+def q_skewed_negative_samples(spark, sf_dir):
+    return _negatives(spark, sf_dir, skewed=True)
+
+
+def q_skewed_user_auc(spark, sf_dir):
+    return _user_auc(spark, sf_dir, skewed=True)
+
+
+def q_table_scan(spark, sf_dir):
+    """A catalog table read by name, columns picked by name."""
+    src = from_tables(spark, sf_dir, PRICE).toDF("who", "what", "secs")
+    src.select("secs", "who", "what").createOrReplaceTempView("dwellrec_visits")
+    return read_table(spark, "dwellrec_visits", visitor="who", item="what", rating="secs")
+
+
+def q_tsv_ratings(spark, sf_dir):
+    """The ratings written as tab-separated text and read back."""
+    path = scratch_path(spark, "tsv")
+    track_materialized(spark, path)
+    prepared(spark, sf_dir).ratings.select("user", "item", "rating").write.csv(path, sep="\t")
+    return read_tsv(spark, path)
+
+
+def q_text_sink_lines(spark, sf_dir):
+    """Recommendation lines through the text sink and back."""
+    path = scratch_path(spark, "lines")
+    track_materialized(spark, path)
+    write_text(q_recommendation_lines(spark, sf_dir), path)
+    return spark.read.text(path)
+
+
+def q_peek(spark, sf_dir):
+    """The first visitors of the index."""
+    return P.peek(prepared(spark, sf_dir).user_index.select("visitor_trace", "user").orderBy("user"))
+
+
+def q_topn_rated_items(spark, sf_dir):
+    """The best of each visitor's rated items, every visitor."""
     return _topn(spark, sf_dir)
 
 
@@ -229,7 +301,7 @@ def q_topn_lists_ascending(spark, sf_dir):
 
 
 # ---------------------------------------------------------------------------
-# Model queries (Spark ML ALS; row-count check only)
+# Model queries (Spark ML ALS): the part that does not depend on its floats
 # ---------------------------------------------------------------------------
 
 def _als_params(**kw) -> AlsParams:
@@ -238,44 +310,63 @@ def _als_params(**kw) -> AlsParams:
 
 
 def _eval_params(**kw) -> AlsParams:
-    """The evaluation job's layout (10 × 10 blocks, checkpoint every 10)."""
     return AlsParams.for_evaluation(**{**dict(rank=10, max_iter=10), **kw})
 
 
+def _ranked_grid(recommendations: DataFrame) -> DataFrame:
+    """(user, rank, in_order): whether the score is at most the one before."""
+    flat = als.flatten_recommendations(recommendations)
+    before = F.lag("rating").over(Window.partitionBy("user").orderBy("rank"))   # a list's rows
+    return flat.select("user", "rank", (F.coalesce(before, F.col("rating")) >= F.col("rating"))
+                       .alias("in_order"))
+
+
 def q_holdout_random_split(spark, sf_dir):
-    """Row-level seeded split over a checkpointed input (row-count check)."""
+    """Row-level seeded split over a checkpointed input: both sides together."""
     train, test = random_split(prepared(spark, sf_dir).scored, (0.9, 0.1), SPLIT_SEED)
-    return (train.withColumn("split", F.lit("train"))
-            .unionByName(test.withColumn("split", F.lit("test"))))
+    return train.unionByName(test)
 
 
 def q_dataset_stats_approx(spark, sf_dir):
-    """HyperLogLog++ distinct counts (row-count check: estimates)."""
-    return dataset_stats(prepared(spark, sf_dir).scored, approx=True)
+    """Distinct counts by HyperLogLog++ within 5 % of the exact ones."""
+    scored = prepared(spark, sf_dir).scored
+    exact = dataset_stats(scored)
+    approx = dataset_stats(scored, approx=True).toDF("r", "u", "i")
+    both = exact.join(approx, F.col("ratings") == F.col("r"))
+    return both.select("ratings", "users", "items", *[
+        (F.abs(F.col(a) - F.col(e)) <= F.col(e) * 0.05).alias(f"{e}_close")
+        for a, e in (("u", "users"), ("i", "items"))])
+
+
+def als_lines(spark, sf_dir) -> DataFrame:
+    """The flagship job's result: top-10 lines of every visitor."""
+    prep = prepared(spark, sf_dir)
+    return P.recommend(als.fit(prep.scored, _als_params()), prep.user_index, TOP_N)
 
 
 def q_als_recommendation_lines(spark, sf_dir):
-    prep = prepared(spark, sf_dir)
-    m = als.fit(prep.scored, _als_params())
-    return P.recommend(m, prep.user_index, TOP_N)
+    parts = F.split("value", "\u0001")
+    return als_lines(spark, sf_dir).select(
+        "user", "visitor_trace", F.get(parts, 0).alias("line_visitor"),
+        F.size(F.split(F.get(parts, 1), ";")).alias("entries"))
 
 
 def q_als_pair_predictions(spark, sf_dir):
     lab = labelled(spark, sf_dir)
     m = als.fit(lab.where(F.col("split") == "train"), _eval_params())
-    return als.predict_pairs(m, lab.where(F.col("split") == "test"))
+    return als.predict_pairs(m, lab.where(F.col("split") == "test")).select(
+        "user", "item", (~F.isnan("pred")).alias("finite"))
 
 
 def q_als_topn(spark, sf_dir):
     m = als.fit(prepared(spark, sf_dir).scored, _als_params())
-    return als.flatten_recommendations(als.recommend_all(m, TOP_N))
+    return _ranked_grid(als.recommend_all(m, TOP_N))
 
 
 def q_als_topn_subset(spark, sf_dir):
     lab = labelled(spark, sf_dir)
     m = als.fit(prepared(spark, sf_dir).scored, _als_params())
-    return als.flatten_recommendations(
-        als.recommend_subset(m, lab.where(F.col("split") == "test"), TOP_N))
+    return _ranked_grid(als.recommend_subset(m, lab.where(F.col("split") == "test"), TOP_N))
 
 
 def q_als_explicit(spark, sf_dir):
@@ -285,25 +376,46 @@ def q_als_explicit(spark, sf_dir):
                 _als_params(implicit_prefs=False, reg_param=0.1))
     pairs = M.weighted_pairs(test.select("split", "user", "item", "score"),
                              als.predict_pairs(m, test), "bag", by=["split"])
-    return M.rmse(pairs, "raw", by=["split"])
+    err = _bigint(M.rmse(pairs, "raw", by=["split"]), "n")
+    # scores lie in 0..4: a model that learned anything is nearer than 2 on average
+    return err.select("split", "n", (F.col("rmse") < 2).alias("learned"))
+
+
+def _evaluation_digest(rows: DataFrame) -> DataFrame:
+    return rows.select(
+        "rank", "alpha", "implicit_prefs", "seed", "split", "rows", "negatives",
+        (F.col("tp") + F.col("fn")).cast("bigint").alias("positive"),
+        (F.col("fp") + F.col("tn")).cast("bigint").alias("other"), "users",
+        F.col("mean_auc").between(0, 1).alias("auc_valid"))
 
 
 def q_als_evaluate(spark, sf_dir):
-    return evaluate_prepared(prepared(spark, sf_dir), _eval_params())
+    return _evaluation_digest(evaluate_prepared(prepared(spark, sf_dir), _eval_params()))
 
 
 def q_als_sweep(spark, sf_dir):
     grid = [_eval_params(rank=5), _eval_params(rank=10, alpha=2.0)]
-    return sweep_prepared(prepared(spark, sf_dir), grid)
+    return _evaluation_digest(sweep_prepared(prepared(spark, sf_dir), grid))
 
 
 def q_als_save_reload_topn(spark, sf_dir):
+    """The reloaded index, with whether the reloaded user and item factors are
+    the saved ones and the visitor gets a full list."""
     prep = prepared(spark, sf_dir)
     params = _als_params()
-    m = als.fit(prep.scored, params)
+    m = als.freeze(als.fit(prep.scored, params), spark)
     path = scratch_path(spark, "model-store")
+    track_materialized(spark, path)
     save_store(path, m, prep.user_index, params.as_dict(), prep.cuts)
-    return P.recommend_from_store(spark, path, TOP_N)
+    again, index, _ = load_store(spark, path)
+    was, now = (x.userFactors.select(F.col("id").alias("user"), F.col("features").alias(c))
+                for x, c in ((m, "was"), (again, "now")))
+    items = m.itemFactors.exceptAll(again.itemFactors).unionByName(
+        again.itemFactors.exceptAll(m.itemFactors))
+    lists = als.recommend_all(again, TOP_N).select("user", F.size("recommendations").alias("entries"))
+    return (index.join(was, "user").join(now, "user").join(lists, "user")
+            .select("visitor_trace", "user", (F.col("was") == F.col("now")).alias("same_user"),
+                    F.lit(items.isEmpty()).alias("same_items"), "entries"))
 
 
 QUERIES = {
@@ -332,7 +444,15 @@ QUERIES = {
     "negative_samples": q_negative_samples,
     "user_auc": q_user_auc,
     "mean_auc": q_mean_auc,
-    "topn_all_users": q_topn_all_users,
+    "skewed_user_index": q_skewed_user_index,
+    "skewed_indexed_ratings": q_skewed_indexed_ratings,
+    "skewed_negative_samples": q_skewed_negative_samples,
+    "skewed_user_auc": q_skewed_user_auc,
+    "table_scan": q_table_scan,
+    "tsv_ratings": q_tsv_ratings,
+    "text_sink_lines": q_text_sink_lines,
+    "peek": q_peek,
+    "topn_rated_items": q_topn_rated_items,
     "recommendation_lines": q_recommendation_lines,
     "topn_lists_ascending": q_topn_lists_ascending,
     "holdout_random_split": q_holdout_random_split,

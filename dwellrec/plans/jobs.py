@@ -142,13 +142,6 @@ def recommend_from_store(spark, model_dir: str, n: int = TOP_N) -> DataFrame:
     return recommend(model, index, n)
 
 
-def recommend_lines(interactions: DataFrame, params: als.AlsParams = als.AlsParams(),
-                    n: int = TOP_N) -> DataFrame:
-    """The flagship job without a store: prepare, fit, top-N lines."""
-    model, prep = train(interactions, None, params)
-    return recommend(model, prep.user_index.select("visitor_trace", "user"), n)
-
-
 def peek(df: DataFrame, n: int = 3) -> DataFrame:
     """A few rows for a look (the studied job printed take(3) samples)."""
     return df.limit(n)

@@ -16,14 +16,17 @@ from dwellrec.functions.exprs import (
 )
 from dwellrec.operators.negatives import NEG_SEED
 from dwellrec.operators.split import SPLIT_SEED, split_label_sql
-from dwellrec.plans.catalog import PRICE, QUANTITY, SHIFT
+from dwellrec.plans.catalog import HOT_VISITOR, PRICE, QUANTITY, SHIFT
 
 
-def _base(rating_col: str = PRICE) -> str:
+def _base(rating_col: str = PRICE, skewed: bool = False) -> str:
     b = SCORE_BINS
+    visitor = "CAST(c.c_name AS VARCHAR)"
+    if skewed:
+        visitor = f"CASE WHEN c.c_custkey % 3 = 0 THEN '{HOT_VISITOR}' ELSE {visitor} END"
     return f"""
 raw AS (
-  SELECT CAST(c.c_name AS VARCHAR) AS visitor_trace, CAST(l.l_partkey AS INTEGER) AS poi,
+  SELECT {visitor} AS visitor_trace, CAST(l.l_partkey AS INTEGER) AS poi,
          CAST(l.{rating_col} AS DOUBLE) AS rating
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
   JOIN customer c ON o.o_custkey = c.c_custkey),
@@ -134,17 +137,54 @@ factors AS (
   SELECT CAST(vec_id AS INTEGER) AS id,
          list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 100) AS BIGINT)) AS q
   FROM embeddings),
+nvec AS (SELECT count(*) AS n FROM embeddings),
 pairs AS (SELECT DISTINCT "user", item FROM scored),
 pscore AS (
   SELECT p."user", p.item,
          CAST(list_sum(list_transform(range(1, len(u.q) + 1), lambda i: u.q[i] * v.q[i])) AS BIGINT) AS score
-  FROM pairs p JOIN factors u ON u.id = p."user" JOIN factors v ON v.id = p.item),
+  FROM pairs p CROSS JOIN nvec JOIN factors u ON u.id = p."user" % nvec.n
+  JOIN factors v ON v.id = p.item % nvec.n),
 topn AS (
   SELECT "user", CAST(rank AS INTEGER) AS rank, item, score
   FROM (SELECT *, row_number() OVER (PARTITION BY "user" ORDER BY score DESC, item ASC) AS rank FROM pscore)
   WHERE rank <= {TOP_N})"""
 
 
+# pairs whose user and item occur in train, and what an evaluation counts of them
+_KNOWN = """,
+ku AS (SELECT DISTINCT "user" FROM labelled WHERE split = 'train'),
+ki AS (SELECT DISTINCT item FROM labelled WHERE split = 'train'),
+known AS (SELECT * FROM labelled WHERE "user" IN (FROM ku) AND item IN (FROM ki)),
+held AS (SELECT split, "user", item, count(*) AS k, count_if(score > 0) AS p, count_if(score <= 0) AS z
+         FROM known GROUP BY ALL),
+weights AS (SELECT split, CAST(sum(k * p) AS BIGINT) AS positive, CAST(sum(k * z) AS BIGINT) AS other
+            FROM held GROUP BY split)"""
+
+_EVAL = _KNOWN + """,
+kn AS (SELECT * FROM negs WHERE "user" IN (FROM ku) AND item IN (FROM ki)),
+both_sides AS (SELECT split, count(DISTINCT "user") AS users FROM held SEMI JOIN kn USING (split, "user")
+               GROUP BY split),
+sizes AS (SELECT split, count(*) AS rows FROM labelled GROUP BY split),
+nsizes AS (SELECT split, count(*) AS negatives FROM negs GROUP BY split)"""
+
+
+def _evaluation_sql(grid) -> str:
+    """grid: (rank, alpha) pairs."""
+    points = ", ".join(f"({r}, CAST({a} AS DOUBLE))" for r, a in grid)
+    return ("WITH" + _base() + _labelled() + _NEG + _EVAL + f"""
+SELECT CAST(g.rank AS INTEGER) AS rank, g.alpha, true AS implicit_prefs, CAST(42 AS INTEGER) AS seed, split,
+       rows, negatives, positive, other, users, true AS auc_valid
+FROM sizes JOIN nsizes USING (split) JOIN weights USING (split) JOIN both_sides USING (split)
+CROSS JOIN (VALUES {points}) g(rank, alpha)""")
+
+
+def _grid_sql(users: str) -> str:
+    return f"""
+SELECT "user", CAST(r AS INTEGER) AS rank, true AS in_order
+FROM ({users}) CROSS JOIN (SELECT count(DISTINCT item) AS m FROM scored) CROSS JOIN range(1, {TOP_N} + 1) t(r)
+WHERE r <= m"""
+
+
 def _fmt(c: str) -> str:
     return f"coalesce(printf('%02.4f', {c}), 'NaN')"
 
@@ -180,7 +220,7 @@ def _rmse_sql(mapping: str) -> str:
 
 def oracle_sql() -> dict[str, str]:
     W = "WITH"
-    base, lab = _base(), _labelled()
+    base, lab, hot = _base(), _labelled(), _base(skewed=True)
     lines_select = """
 SELECT t."user", u.visitor_trace,
        u.visitor_trace || chr(1) || string_agg('(' || CAST(t.item AS VARCHAR) || ',' || CAST(t.score AS VARCHAR) || ')', ';' ORDER BY {order}) AS value
@@ -230,7 +270,38 @@ GROUP BY split, "user", item, fact, pred""",
         + '\nSELECT split, "user", auc, npos, nneg FROM user_auc',
         "mean_auc": W + base + lab + _NEG + _AUC + """
 SELECT split, round(avg(auc), 9) AS mean_auc, COUNT(*) AS users FROM user_auc GROUP BY split""",
-        "topn_all_users": W + base + _TOPN + '\nSELECT "user", rank, item, score FROM topn',
+        "skewed_user_index": W + hot + '\nSELECT visitor_trace, "user", n_rows FROM user_index',
+        "skewed_indexed_ratings": W + hot + '\nSELECT "user", item, rating FROM ratings',
+        "skewed_negative_samples": W + hot + lab + _NEG + '\nSELECT split, "user", item, draw FROM negs',
+        "skewed_user_auc": W + hot + lab + _NEG + _AUC
+        + '\nSELECT split, "user", auc, npos, nneg FROM user_auc',
+        "table_scan": W + base + "\nSELECT visitor_trace, poi, rating FROM raw",
+        "tsv_ratings": W + base + '\nSELECT "user", item, rating FROM ratings',
+        "text_sink_lines": W + base + _TOPN + "\nSELECT value FROM ("
+        + lines_select.format(order="t.rank") + ")",
+        "peek": W + base + '\nSELECT visitor_trace, "user" FROM user_index WHERE "user" < 3',
+        "holdout_random_split": W + base + '\nSELECT "user", item, score FROM scored',
+        "dataset_stats_approx": W + base + """
+SELECT COUNT(*) AS ratings, COUNT(DISTINCT "user") AS users, COUNT(DISTINCT item) AS items,
+       true AS users_close, true AS items_close FROM scored""",
+        "als_recommendation_lines": W + base + f"""
+SELECT "user", visitor_trace, visitor_trace AS line_visitor,
+       CAST(least({TOP_N}, (SELECT COUNT(DISTINCT item) FROM scored)) AS INTEGER) AS entries
+FROM user_index""",
+        "als_pair_predictions": W + base + lab + _KNOWN + """
+SELECT "user", item, true AS finite FROM held WHERE split = 'test'""",
+        "als_topn": W + base + _grid_sql('SELECT DISTINCT "user" FROM scored'),
+        "als_topn_subset": W + base + lab
+        + _grid_sql("SELECT DISTINCT \"user\" FROM labelled WHERE split = 'test'"),
+        "als_explicit": W + base + lab + _KNOWN + """
+SELECT split, positive + other AS n, true AS learned FROM weights WHERE split = 'test'""",
+        "als_evaluate": _evaluation_sql([(10, 1.0)]),
+        "als_sweep": _evaluation_sql([(5, 1.0), (10, 2.0)]),
+        "als_save_reload_topn": W + base + f"""
+SELECT visitor_trace, "user", true AS same_user, true AS same_items,
+       CAST(least({TOP_N}, (SELECT COUNT(DISTINCT item) FROM scored)) AS INTEGER) AS entries
+FROM user_index""",
+        "topn_rated_items": W + base + _TOPN + '\nSELECT "user", rank, item, score FROM topn',
         "recommendation_lines": W + base + _TOPN + lines_select.format(order="t.rank"),
         "topn_lists_ascending": W + base + _TOPN + lines_select.format(order="t.score ASC, t.item ASC"),
     }

@@ -31,8 +31,7 @@ DEFAULT_CONF = {
 }
 
 
-def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
-               max_partitions: int = 200_000) -> dict:
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict:
     """Shuffle and scan sizing for an input of ``input_bytes``.
 
     Shuffle partitions start at input/target (AQE coalesces small ones and
@@ -41,7 +40,7 @@ def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
     split at the same size. The visitor hot-key threshold follows the
     partition count (a key above one partition's share is hot).
     """
-    parts = max(8, min(max_partitions, -(-int(input_bytes) // target_partition_bytes)))
+    parts = max(8, -(-int(input_bytes) // target_partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
@@ -51,6 +50,18 @@ def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
     }
 
 
+def input_bytes(df) -> int:
+    """Size of the files (or tables) that ``df`` scans, from their statistics."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(leaves.apply(i).stats().sizeInBytes().toString()) for i in range(leaves.size()))
+
+
+def size_session(spark: SparkSession, n_bytes: int) -> None:
+    """Apply ``scale_conf`` for an input of ``n_bytes`` to a running session."""
+    for k, v in scale_conf(n_bytes).items():
+        spark.conf.set(k, v)
+
+
 def build_session(master: str | None = None, app: str = "dwellrec",
                   shuffle_partitions: int | None = None,
                   conf: dict | None = None) -> SparkSession:
@@ -84,7 +95,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if sc.master.startswith("local-cluster") or not sc.master.startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; point it at a shared folder")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="dwellrec-ckpt-"))
@@ -97,6 +108,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 _MATERIALIZED: dict[str, list[str]] = {}
+_ON_DROP: list = []
+
+
+def on_drop(forget) -> None:
+    """``forget()`` is called when intermediate tables are removed (memos of
+    DataFrames over them must go)."""
+    _ON_DROP.append(forget)
 
 
 def materialize(df, name: str):
@@ -133,4 +151,7 @@ def drop_materialized(spark: SparkSession, since: int = 0) -> int:
     for p in paths:
         hp = jvm.org.apache.hadoop.fs.Path(p)
         hp.getFileSystem(conf).delete(hp, True)
+    if paths:
+        for forget in _ON_DROP:
+            forget()
     return len(paths)
