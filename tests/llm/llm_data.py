@@ -1,4 +1,5 @@
 """Rows that every operator must take, and helpers of these tests."""
+import pytest
 from pyspark.sql import types as T
 
 WORDS = ("river stone lamp cedar music window harvest pilot garden copper thread winter signal "
@@ -43,3 +44,13 @@ def edge_rows():
 
 def rows_of(df):
     return [tuple(r) for r in df.collect()]
+
+
+@pytest.fixture(scope="session")
+def edge(spark):
+    return spark.createDataFrame(edge_rows(), SCHEMA).repartition(5)
+
+
+@pytest.fixture(scope="session")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)

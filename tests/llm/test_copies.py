@@ -9,7 +9,7 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from llm_data import rows_of
+from llm_data import edge, empty, rows_of  # noqa: F401  (fixtures)
 
 from dwellrec.llm import digest_merge, external_shuffle, line_chunks, simhash
 from dwellrec.llm.components import components

@@ -8,7 +8,7 @@ from collections import Counter
 
 import corpus_pipeline
 import pytest
-from llm_data import prose, rows_of
+from llm_data import edge, empty, prose, rows_of  # noqa: F401  (fixtures)
 from test_copies import brute_components
 from test_text_models import brute_contaminated, brute_pack
 

@@ -6,7 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from llm_data import prose, rows_of
+from llm_data import edge, empty, prose, rows_of  # noqa: F401  (fixtures)
 from pyspark.sql import functions as F
 
 from dwellrec.llm import crf_quality as crf
