@@ -66,3 +66,14 @@ def test_read_table_csv_with_options(spark):
         f.write("who,what,secs\na,1,2.5\nb,2,3.0\n")
     df = read_table(spark, p, "csv", {"header": "true"}, visitor="who", item="what", rating="secs")
     assert sorted(tuple(r) for r in df.collect()) == [("a", 1, 2.5), ("b", 2, 3.0)]
+
+
+def test_tiny_test_fractions(spark):
+    import pytest
+    from dwellrec.operators.split import _cut, hash_split as split
+    assert _cut(0.0) == 0 and _cut(1e-8) == 21
+    with pytest.raises(ValueError):
+        _cut(1e-12)
+    pairs = spark.range(200000).selectExpr("cast(id as int) as user", "cast(id * 7 as int) as item")
+    share = split(pairs, 0.0005).where("split = 'test'").count() / 200000
+    assert 0.0003 < share < 0.0007

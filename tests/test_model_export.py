@@ -126,3 +126,19 @@ def test_prepare_cached_input_gives_same_result(spark):
     assert a.cuts == b.cuts and a.n == b.n
     assert sorted(a.scored.collect()) == sorted(b.scored.collect())
     assert sorted(a.user_index.collect()) == sorted(b.user_index.collect())
+
+
+def test_automatic_blocks_follow_session_and_input(spark):
+    scored = spark.createDataFrame([(u, i, 1.0) for u in range(20) for i in range(5)],
+                                   "user INT, item INT, score DOUBLE")
+    parallelism = spark.sparkContext.defaultParallelism
+    assert als.auto_blocks(scored.coalesce(1)) == parallelism
+    assert als.auto_blocks(scored.repartition(4 * parallelism + 1, "user", "item")) >= 1
+    wide = spark.sparkContext.parallelize(range(100), 4 * parallelism).map(lambda x: (x,)).toDF("x int")
+    assert als.auto_blocks(wide) == 2 * parallelism
+    for n in (None, -1):
+        est = als.make_als(als.AlsParams(num_user_blocks=n, num_item_blocks=n), blocks=als.auto_blocks(wide))
+        assert est.getNumUserBlocks() == est.getNumItemBlocks() == 2 * parallelism
+    est = als.make_als(als.AlsParams(num_user_blocks=10, num_item_blocks=3), blocks=7)
+    assert (est.getNumUserBlocks(), est.getNumItemBlocks()) == (10, 3)
+    assert als.AlsParams.for_evaluation().num_user_blocks is None

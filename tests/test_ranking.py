@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from dwellrec.operators.ranking import dense_ids, rank_values, running_totals
@@ -61,3 +62,28 @@ def test_running_totals_match_brute_force(spark):
     got = {(r["g"], r["o"]): r["v_run"] for r in out}
     for g, o, _ in rows:
         assert got[(g, o)] == sum(v for gg, oo, v in rows if gg == g and oo < o)
+
+
+@pytest.mark.parametrize("sort_rows", [1, 50])
+def test_rank_values_narrow_repeatedly(spark, sort_rows):
+    """One bucket holds most distinct values, another a value of a third of the rows."""
+    rnd = random.Random(8)
+    vals = [1e-9 * rnd.random() for _ in range(3000)] + [5.0] * 2000 + [float(i) for i in range(-500, 500)]
+    vals += [-0.0, 0.0, 1e300, -1e300]
+    rnd.shuffle(vals)
+    df = spark.createDataFrame([(v,) for v in vals], "v DOUBLE").repartition(5)
+    ranks = [1, 600, 1500, 2999, 3400, 4100, 5000, len(vals)]
+    out, n = rank_values(df, "v", ranks, n_buckets=4, sort_rows=sort_rows)
+    assert n == len(vals)
+    got = {r["rank"]: r["value"] for r in out.collect()}
+    assert got == {r: sorted(vals)[r - 1] for r in ranks}
+
+
+def test_split_points_have_no_one_task_merge(spark):
+    from dwellrec.operators import ranking as R
+    df = spark.range(10000).selectExpr("cast(id as double) as v")
+    points = R.split_points(df, "v", 16)[0]
+    assert points == sorted(set(points)) and 8 <= len(points) <= 40
+    plan = df.groupBy((F.spark_partition_id() % 8).alias("g")).agg(
+        F.percentile_approx("v", [0.5], 32))._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
