@@ -55,16 +55,30 @@ def _cube(x: Column) -> Column:
     return (x * x % F.lit(_P)) * x % F.lit(_P)
 
 
+def mix_start(a: Column, seed: int) -> Column:
+    """Start of the sequence of ``a``."""
+    a = F.pmod(a.cast("bigint"), F.lit(_P))
+    return _cube((a * F.lit(7919) + F.lit(int(seed))) % F.lit(_P))
+
+
+def mix_step(start: Column) -> Column:
+    """Step of the sequence that starts at ``start``."""
+    return _cube((start + F.lit(104729)) % F.lit(_P)) + F.lit(1)
+
+
+def mix_at(start: Column, step: Column, b: Column) -> Column:
+    """Member ``b`` of a sequence."""
+    return _cube((start + F.pmod(b.cast("bigint"), F.lit(_P)) * step) % F.lit(_P))
+
+
 def mix(a: Column, b: Column, seed: int) -> Column:
     """Seeded pseudo-random BIGINT in [0, MIX_PRIME) from two ints.
 
     ``a`` is mixed first and gives both the start and the step of its sequence
-    over ``b``, so the sequences of two ``a`` are not shifted copies."""
-    a = F.pmod(a.cast("bigint"), F.lit(_P))
-    b = F.pmod(b.cast("bigint"), F.lit(_P))
-    start = _cube((a * F.lit(7919) + F.lit(int(seed))) % F.lit(_P))
-    step = _cube((start + F.lit(104729)) % F.lit(_P)) + F.lit(1)
-    return _cube((start + b * step) % F.lit(_P))
+    over ``b``, so the sequences of two ``a`` are not shifted copies. Where one
+    ``a`` has many ``b``, compute start and step once and use ``mix_at``."""
+    start = mix_start(a, seed)
+    return mix_at(start, mix_step(start), b)
 
 
 def mix_sql(a: str, b: str, seed: int) -> str:

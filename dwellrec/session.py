@@ -53,7 +53,7 @@ def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dic
 def input_bytes(df) -> int:
     """Size of the files (or tables) that ``df`` scans, from their statistics."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(leaves.apply(i).stats().sizeInBytes().toString()) for i in range(leaves.size()))
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
 def size_session(spark: SparkSession, n_bytes: int) -> None:
