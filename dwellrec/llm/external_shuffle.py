@@ -13,10 +13,11 @@ The same rows and seed give the same permutation on any cluster. Only one
 count per bucket reaches the driver.
 
 Defined results: null ids or texts are hashed as nulls (size 1 for a null
-text); copies with different ids spread over the buckets, rows alike in id and
-text share one and are interchangeable; an empty table gives an empty result;
-all columns are carried, and the added ones are prefixed with ``_`` where the
-table already has the name.
+text); copies with different ids spread over the buckets; rows alike in id and
+text share one, or if they would overfill it, consecutive ones in turn (they
+are interchangeable); an empty table gives an empty result; all columns are
+carried, and the added ones are prefixed with ``_`` where the table already has
+the name.
 """
 
 from __future__ import annotations
@@ -51,11 +52,19 @@ def shuffled_buckets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
                      seed: int = SHUFFLE_SEED, bucket_bytes: int = BUCKET_BYTES):
     """(written table of all columns + bucket + position in bucket, names of
     the two added columns)."""
-    b, h, s = (fresh(docs, c) for c in ("_bucket", "_hash", "_pos"))
-    total = docs.agg(F.sum(F.octet_length(as_text(text)) + 64)).first()[0] or 0
-    n_buckets = max(1, math.ceil(total / bucket_bytes))
+    b, h, s, n, many_of = (fresh(docs, c) for c in ("_bucket", "_hash", "_pos", "_number", "_spread"))
     hashed = docs.withColumn(h, F.xxhash64(F.lit(seed), quoted(doc_id), F.lit(1), quoted(text)))
-    hashed = hashed.withColumn(b, F.pmod(F.col(h), F.lit(n_buckets)))
+    hashed = hashed.withColumn(n, F.monotonically_increasing_id())    # used by rows alike only
+    alike = materialize(hashed.groupBy(h).agg(
+        F.sum(F.octet_length(as_text(text)) + 64).alias("_bytes")), "row-hashes")
+    total = alike.agg(F.sum("_bytes")).first()[0] or 0
+    n_buckets = max(1, math.ceil(total / bucket_bytes))
+    # rows alike that would overfill a bucket (fewer than n_buckets hashes)
+    many = materialize(alike.where(F.col("_bytes") > bucket_bytes).select(
+        h, F.ceil(F.col("_bytes") / F.lit(bucket_bytes)).alias(many_of)), "hot-row-hashes")
+    salt = F.pmod(F.col(n), F.coalesce(many_of, F.lit(1)))
+    hashed = hashed.join(many, h, "left").withColumn(
+        b, F.pmod(F.pmod(F.col(h), F.lit(n_buckets)) + salt, F.lit(n_buckets))).select(*[quoted(c) for c in docs.columns], h, b)
     schema = T.StructType([*hashed.schema.fields, T.StructField(s, T.LongType())])
     names = hashed.columns
     id_at = names.index(doc_id)

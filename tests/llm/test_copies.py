@@ -225,6 +225,17 @@ def test_shards(edge, empty, spark):
     assert external_shuffle.shard(empty, 16).count() == 0
 
 
+def test_rows_alike_do_not_overfill_a_bucket(spark):
+    docs = spark.createDataFrame([(7, "x" * 100)] * 300 + [(i, f"t{i}") for i in range(100, 200)],
+                                 "doc_id long, text string").repartition(6)
+    written, b, _ = external_shuffle.shuffled_buckets(docs, bucket_bytes=4000)
+    assert max(r["count"] for r in written.groupBy(b).count().collect()) < 70     # not 300
+    out = external_shuffle.shard(docs, 16, bucket_bytes=4000).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in out) == Counter((r["doc_id"], r["text"]) for r in docs.collect())
+    counts = Counter(r["shard"] for r in out)
+    assert len({(r["shard"], r["slot"]) for r in out}) == 400 and set(counts.values()) == {25}
+
+
 def test_shards_do_not_depend_on_partitions(spark):
     docs = spark.createDataFrame([(i, f"t{i}") for i in range(500)], "doc_id long, text string")
     a, b = (rows_of(external_shuffle.shard(docs.repartition(n), 7, bucket_bytes=3000).select("doc_id", "shard", "slot"))
