@@ -113,6 +113,7 @@ def parser() -> argparse.ArgumentParser:
     rc.add_argument("model_dir")
     rc.add_argument("output")
     rc.add_argument("--n", type=int, default=TOP_N)
+    rc.add_argument("--visitors", help="Parquet files with a visitor_trace column: only these")
     rc.add_argument("--parquet", action="store_true",
                     help="write the structured lists as Parquet instead of text lines")
     return ap
@@ -159,10 +160,12 @@ def main(argv=None) -> int:
         from dwellrec.plans.jobs import recommendation_lists
         from dwellrec.sources.model_store import load_store
         model, index, _ = load_store(spark, a.model_dir)
-        recommendation_lists(model, index, a.n).write.parquet(a.output)
+        some = spark.read.parquet(a.visitors) if a.visitors else None
+        recommendation_lists(model, index, a.n, some).write.parquet(a.output)
     else:
         from dwellrec.plans.jobs import recommend_from_store
-        recommend_from_store(spark, a.model_dir, a.n).select("value").write.text(a.output)
+        some = spark.read.parquet(a.visitors) if a.visitors else None
+        recommend_from_store(spark, a.model_dir, a.n, some).select("value").write.text(a.output)
     # outputs are written: remove the intermediate tables of this command
     drop_materialized(spark, since=mark)
     return 0

@@ -4,8 +4,8 @@
 (user, item) falls below the fraction. It is a pure function of the row, so a
 recomputed partition (lost executor, re-read source) lands on the same side,
 all copies of a (user, item) pair stay together, and the same split can be
-written in SQL. ``random_split`` is Spark's sampler over a checkpointed input
-(checkpointed so recomputation cannot move rows between sides).
+written in SQL. ``random_split`` is Spark's sampler over an input written to the
+shared folder first, so that recomputation cannot move rows between sides.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dwellrec.functions.exprs import MIX_PRIME, TEST_FRACTION, mix, mix_sql
+from dwellrec.session import materialize
 
 SPLIT_SEED = 42
 
@@ -47,5 +48,5 @@ def hash_split(df: DataFrame, test_fraction: float = TEST_FRACTION,
 
 def random_split(df: DataFrame, weights=(0.9, 0.1), seed: int = SPLIT_SEED):
     """Row-level random split (duplicates of a pair may straddle the sides)."""
-    frozen = df.checkpoint(eager=True)
+    frozen = materialize(df, "random-split")
     return frozen.randomSplit(list(weights), seed)

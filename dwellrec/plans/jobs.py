@@ -130,16 +130,25 @@ def recommend(model, user_index: DataFrame, n: int = TOP_N) -> DataFrame:
     return lines_from_lists(als.recommend_all(model, n), user_index)
 
 
-def recommendation_lists(model, user_index: DataFrame, n: int = TOP_N) -> DataFrame:
+def recommendation_lists(model, user_index: DataFrame, n: int = TOP_N,
+                         visitors: DataFrame | None = None) -> DataFrame:
     """Structured form: (user, visitor_trace, recommendations
-    ARRAY<STRUCT<item INT, rating FLOAT>>), lists in descending order."""
-    return als.recommend_all(model, n).join(
-        user_index.select("user", "visitor_trace"), "user")
-
-
-def recommend_from_store(spark, model_dir: str, n: int = TOP_N) -> DataFrame:
+    ARRAY<STRUCT<item INT, rating FLOAT>>), lists in descending order, for all
+    visitors or for ``visitors`` (visitor_trace) only, which bounds the
+    users x items product."""
+    index = user_index.select("user", "visitor_trace")
+    if visitors is None:
+        return als.recommend_all(model, n).join(index, "user")
+    some = index.join(visitors.select("visitor_trace").distinct(), "visitor_trace")
+    return als.recommend_subset(model, some, n).join(index, "user")
+
+
+def recommend_from_store(spark, model_dir: str, n: int = TOP_N,
+                         visitors: DataFrame | None = None) -> DataFrame:
+    """Top-N lines from a saved store, for all visitors or some."""
     model, index, _ = load_store(spark, model_dir)
-    return recommend(model, index, n)
+    lists = recommendation_lists(model, index, n, visitors)
+    return lines_from_lists(lists.select("user", "recommendations"), index)
 
 
 def peek(df: DataFrame, n: int = 3) -> DataFrame:

@@ -21,6 +21,16 @@ def test_cli_evaluate_train_recommend(spark):
     assert main(["recommend", store, pq, "--parquet", "--n", "5"]) == 0
     lists = spark.read.parquet(pq).collect()
     assert len(lists) == 150 and all(len(r.recommendations) == 5 for r in lists)
+    who, some = scratch_path(spark, "cli-who"), scratch_path(spark, "cli-some")
+    visitors = [r.visitor_trace for r in lists][:7]
+    spark.createDataFrame([(v,) for v in visitors + visitors[:2] + ["nobody"]],
+                          "visitor_trace string").write.parquet(who)
+    assert main(["recommend", store, some, "--visitors", who]) == 0
+    got = [r.value for r in spark.read.text(some).collect()]
+    assert sorted(got) == sorted(x for x in a if x.split("\u0001")[0] in visitors)
+    pq = scratch_path(spark, "cli-pq-some")
+    assert main(["recommend", store, pq, "--visitors", who, "--parquet", "--n", "4"]) == 0
+    assert sorted(r.visitor_trace for r in spark.read.parquet(pq).collect()) == sorted(visitors)
 
 
 def test_cli_tsv_legacy_path(spark):
