@@ -74,6 +74,16 @@ def chunked(rows: DataFrame, window: int = WINDOW, divisor: int = DIVISOR) -> Da
             F.array_join(F.slice("lines", x["s"], x["n"]), "\n").alias("body"))).alias("chunks"))
 
 
+def _aligned(entries: Column) -> Column:
+    """(key, value) entries, ascending by key → an array with every value at its
+    key and nulls between: merged with the chunks in one pass, where a lookup
+    per chunk would take the square of a long text's chunks."""
+    keys = F.transform(entries, lambda e: e["key"])
+    before = F.slice(F.concat(F.array(F.lit(-1)), keys), F.lit(1), F.size(entries))
+    return F.flatten(F.zip_with(entries, before, lambda e, b: F.concat(
+        F.array_repeat(F.when(F.lit(False), e["value"]), e["key"] - b - 1), F.array(e["value"]))))
+
+
 def _places(docs: DataFrame, min_lines: int, window: int, divisor: int) -> DataFrame:
     """(digest, at) of every multi-line chunk."""
     # explode_outer: for explode, the optimizer would infer a filter on the
@@ -101,9 +111,9 @@ def _candidates(docs: DataFrame, min_lines: int, window: int, divisor: int) -> D
 def _unequal(joined: DataFrame, window: int, divisor: int) -> DataFrame:
     """(k, wrong): positions whose bytes differ from the digest's first chunk."""
     cut = chunked(joined.where("refs is not null"), window, divisor)
-    found = F.filter("chunks", lambda c: F.map_contains_key("refs", c["pos"]))
-    found = F.transform(found, lambda c: F.struct(
-        c["pos"].alias("pos"), c["body"].alias("body"), F.element_at("refs", c["pos"]).alias("ref")))
+    found = F.zip_with("chunks", _aligned(F.array_sort(F.map_entries("refs"))), lambda c, r: F.struct(
+        c["pos"].alias("pos"), c["body"].alias("body"), r.alias("ref")))
+    found = F.filter(found, lambda c: c["ref"].isNotNull())
     rows = cut.select("k", F.explode_outer(found).alias("c")).select(
         "k", "c.pos", "c.body", "c.ref.digest", "c.ref.n", "c.ref.is_first")
     rows = materialize(rows, "candidate-chunks")
@@ -132,8 +142,11 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     none = F.array().cast("array<int>")
     gone = F.array_except(F.coalesce(others, none), F.coalesce("wrong", none))
     parts = cut.select("doc_id", "n_lines", "chunks", gone.alias("gone"))
+    marks = F.transform(F.array_sort("gone"), lambda g: F.struct(g.alias("key"), F.lit(True).alias("value")))
+    marked = F.zip_with("chunks", _aligned(marks), lambda c, g: F.struct(
+        c["n"].alias("n"), c["body"].alias("body"), g.alias("gone")))
     parts = parts.select("doc_id", "n_lines", "gone", F.size("chunks").alias("n_chunks"), F.filter(
-        "chunks", lambda c: ~F.array_contains("gone", c["pos"])).alias("kept"))
+        marked, lambda c: c["gone"].isNull()).alias("kept"))
     left = F.aggregate("kept", F.lit(0), lambda s, c: s + c["n"])
     return parts.select("doc_id", "n_lines", "n_chunks", F.size("gone").alias("removed_chunks"),
                         (F.col("n_lines") - left).alias("removed_lines"),

@@ -198,6 +198,15 @@ def test_dedup_lines_edges(edge, empty):
     assert "Python" not in line_chunks.dedup_lines(edge)._jdf.queryExecution().toString()
 
 
+def test_dedup_lines_long_text(spark):
+    """A text with tens of thousands of repeated chunks costs no lookup per chunk."""
+    body = "\n".join(f"row {i} {i * i}" for i in range(60000))
+    rows = [(1, body), (2, "intro\n" + body), (3, "own\nlines")]
+    got = rows_of(line_chunks.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert sorted(got) == brute_lines(rows)
+    assert {r[0]: r[3] for r in got}[2] > 10000
+
+
 def test_colliding_digests_are_not_removed(spark):
     """Two chunks under one digest with different bytes: the second is taken off the list."""
     texts = spark.createDataFrame([(1, 1, "a\nb\nc"), (2, 2, "d\ne\nf"), (3, 3, "a\nb\nc")],
