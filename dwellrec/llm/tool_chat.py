@@ -14,10 +14,11 @@ Input is a log of events, one row each:
 2. Order: a result follows its call, and a call the results it needs. Every
    event's key (place, depth) starts as (position, 0); along every edge that
    the keys violate, the later event is raised to just behind the earlier one,
-   until no edge is violated. A log in order needs no round; otherwise as many
-   as its longest chain of violated edges. Events on or behind a cycle would
-   rise for ever: they are told by a depth above the number of events moved in
-   their conversation, flagged, and keep their place in the log.
+   until no edge is violated. A conversation in order is left alone; one of up
+   to ``LOCAL_EDGES`` edges is settled in memory in one task; a longer one by
+   joins, in as many rounds as its longest chain of violated edges. Events on or
+   behind a cycle would rise for ever: they are told by a depth above the number
+   of events moved in their conversation, flagged, and keep their place.
 3. Validation: a call's arguments are checked against its tool's JSON schema
    (type, enum, required, properties, additionalProperties, items, and length
    and number bounds).
@@ -43,6 +44,7 @@ import json
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -50,6 +52,8 @@ from pyspark.sql import functions as F
 from dwellrec.llm.common import join_groups, ordinal
 from dwellrec.session import materialize
 
+LOCAL_EDGES = 10_000
+VIOLATED = "sp > dp or (sp = dp and sd >= dd)"
 _TYPES = {"string": str, "object": dict, "array": list, "boolean": bool, "null": type(None)}
 
 
@@ -167,17 +171,60 @@ def _edges(events: DataFrame, links: DataFrame) -> DataFrame:
             .withColumn("sd", zero).withColumn("dd", zero))
 
 
-def _raised(edges: DataFrame):
-    """(events moved: eid, p, d; cyclic events: eid), both possibly empty."""
+def settle(src: np.ndarray, dst: np.ndarray, sp: np.ndarray, dp: np.ndarray):
+    """The rounds of ``_in_rounds`` for one conversation's edges, in memory:
+    arrays (event, place, depth, on or behind a cycle) of the events raised."""
+    events, at = np.unique(np.concatenate([src, dst]), return_index=True)
+    places, rank = np.unique(np.concatenate([sp, dp]), return_inverse=True)
+    s, t = np.searchsorted(events, src), np.searchsorted(events, dst)
+    deep = 2 * len(events) + 4                     # above any depth before all cycles are found
+    key = rank[at] * deep                          # (place, depth) in one number
+    moved, loop = np.zeros(len(events), dtype=bool), np.zeros(len(events), dtype=bool)
+    while True:
+        up = np.flatnonzero(key[s] >= key[t])
+        if not len(up):
+            break
+        raised = t[up]
+        np.maximum.at(key, raised, key[s[up]] + 1)
+        moved[raised] = True
+        loop[raised] |= key[raised] % deep > moved.sum()
+        if loop.any():
+            s, t = s[~loop[t]], t[~loop[t]]
+    out = np.flatnonzero(moved)
+    return events[out], places[key[out] // deep], key[out] % deep, loop[out]
+
+
+def _raised(edges: DataFrame) -> DataFrame:
+    """(eid, p, d, loop) of the events that the order moves. Conversations of at
+    most ``LOCAL_EDGES`` edges are settled in one task each, whatever the length
+    of their chains; longer ones by distributed rounds."""
     e = materialize(edges, "chat-edges")
-    violated = "sp > dp or (sp = dp and sd >= dd)"
+    wrong = F.count_if(F.expr(VIOLATED)).alias("wrong")
+    sizes = materialize(e.groupBy("ck").agg(F.count("*").alias("m"), wrong), "chat-edge-counts")
+    e = materialize(join_groups(e, sizes.where("wrong > 0"), ["ck"], "m", e.count()), "chat-wrong")
+
+    def one(unit: pa.Table) -> pa.Table:
+        eid, p, d, loop = settle(*(unit.column(c).to_numpy() for c in ("src", "dst", "sp", "dp")))
+        return pa.table({"eid": pa.array(eid, pa.int64()), "p": pa.array(p, pa.int64()),
+                         "d": pa.array(d.astype(np.int32)), "loop": pa.array(loop)})
+
+    small = (e.where(F.col("m") <= LOCAL_EDGES).select("ck", "src", "dst", "sp", "dp")
+             .groupBy("ck").applyInArrow(one, "eid long, p long, d int, loop boolean"))
+    large = e.where(F.col("m") > LOCAL_EDGES).drop("m", "wrong")
+    if not large.isEmpty():
+        small = small.unionByName(_in_rounds(large))
+    return materialize(small, "chat-settled")
+
+
+def _in_rounds(e: DataFrame) -> DataFrame:
+    """(eid, p, d, loop) by joins, a round for each step of the longest chain."""
     moved = cyclic = None
     while True:
-        up = e.where(violated).groupBy("ck", "dst").agg(
+        up = e.where(VIOLATED).groupBy("ck", "dst").agg(
             F.max(F.struct(F.col("sp").alias("p"), (F.col("sd") + 1).alias("d"))).alias("to"))
         up = materialize(up.select("ck", F.col("dst").alias("eid"), "to.p", "to.d"), "chat-raised")
         if up.isEmpty():
-            return moved, cyclic
+            break
         if moved is None:
             moved = up
         else:
@@ -196,6 +243,11 @@ def _raised(edges: DataFrame):
         e = (e.join(d, "dst", "left").withColumn("dp", F.coalesce("np", "dp"))
              .withColumn("dd", F.coalesce("nd", "dd")).drop("np", "nd"))
         e = materialize(e, "chat-edges")
+    moved = moved.select("eid", "p", "d")
+    if cyclic is None:
+        return moved.withColumn("loop", F.lit(False))
+    return (moved.join(cyclic.withColumn("loop", F.lit(True)), "eid", "left")
+            .withColumn("loop", F.coalesce("loop", F.lit(False))))
 
 
 def format_log(log: DataFrame, tools: DataFrame) -> DataFrame:
@@ -215,18 +267,12 @@ def format_log(log: DataFrame, tools: DataFrame) -> DataFrame:
         .otherwise("ok"))
     cols = [*events.columns, "status"]
     all_events = linked.select(*cols).unionByName(plain.select(*cols))
-    moved, cyclic = _raised(_edges(events, links))
-    all_events = all_events.withColumn("p", F.col("position")).withColumn("d", F.lit(0))
-    if moved is not None:
-        to = moved.select("eid", F.col("p").alias("mp"), F.col("d").alias("md"))
-        all_events = (all_events.join(to, "eid", "left").withColumn("p", F.coalesce("mp", "p"))
-                      .withColumn("d", F.coalesce("md", "d")))
-    if cyclic is not None:
-        loop = cyclic.select("eid", F.lit(True).alias("loop"))
-        all_events = (all_events.join(loop, "eid", "left")
-                      .withColumn("p", F.when(F.col("loop"), F.col("position")).otherwise(F.col("p")))
-                      .withColumn("d", F.when(F.col("loop"), F.lit(0)).otherwise(F.col("d")))
-                      .withColumn("status", F.when(F.col("loop"), "cyclic").otherwise(F.col("status"))))
+    to = _raised(_edges(events, links)).toDF("eid", "mp", "md", "loop")
+    stays = F.col("mp").isNull() | F.col("loop")          # not moved, or moved for ever
+    all_events = (all_events.join(to, "eid", "left")
+                  .withColumn("p", F.when(stays, F.col("position")).otherwise(F.col("mp")))
+                  .withColumn("d", F.when(stays, F.lit(0)).otherwise(F.col("md")))
+                  .withColumn("status", F.when(F.col("loop"), "cyclic").otherwise(F.col("status"))))
     checked = _serialised(all_events.select(*cols, "p", "d").join(
         tools.select("name", F.col("schema").alias("tool_schema")).dropDuplicates(["name"]), "name", "left"))
     placed = ordinal(materialize(checked, "chat-lines"), ["ck", "p", "d", "position", "eid"])

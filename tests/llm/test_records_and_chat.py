@@ -7,7 +7,10 @@ import sys
 from collections import Counter
 
 import corpus_pipeline
+import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from llm_data import edge, empty, prose, rows_of  # noqa: F401  (fixtures)
 from test_copies import brute_components
 from test_text_models import brute_contaminated, brute_pack
@@ -162,6 +165,60 @@ def test_order_is_topological(spark):
             assert all(got["result", a] < got["call", r[3]] for a in r[6])
 
 
+def brute_settle(edges):
+    """edges (src, dst, sp, dp) → event: (place, depth) if raised, None if without end."""
+    key = {}
+    for s, t, sp, dp in edges:
+        key[s], key[t] = (sp, 0), (dp, 0)
+    first, n = dict(key), len(key)
+    for _ in range(4 * n + 4):
+        up = {}
+        for s, t, *_ in edges:
+            if key[s] >= key[t]:
+                up[t] = max(up.get(t, (-1, 0)), (key[s][0], key[s][1] + 1))
+        key.update(up)
+    return {v: None if k[1] > n else k for v, k in key.items() if k != first[v]}
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 11), st.integers(0, 11)), min_size=1, max_size=24),
+       st.lists(st.integers(0, 30), min_size=12, max_size=12))
+def test_settling_brute_force(pairs, place):
+    edges = [(s, t, place[s], place[t]) for s, t in pairs]
+    got = tool_chat.settle(*(np.array(c, dtype=np.int64) for c in zip(*edges)))
+    found = {int(v): None if loop else (int(p), int(d)) for v, p, d, loop in zip(*got)}
+    assert found == brute_settle(edges)
+
+
+def test_rounds_and_tasks_agree(spark, monkeypatch):
+    """Small conversations in one task, larger ones by joins: the same events, order and flags."""
+    import random
+    rng, rows = random.Random(3), []
+    for conv, calls in ((0, 4), (1, 7), (2, 3), (3, 6)):
+        place = rng.sample(range(2 * calls), 2 * calls)
+        for i in range(calls):
+            needs = [f"c{j}" for j in rng.sample(range(i), min(i, 2))]
+            if conv < 2 and i == 1:
+                needs.append("c2")                     # c2 may need c1: then they wait for each other
+            rows += [call(conv, place[2 * i], f"c{i}", after=needs), result(conv, place[2 * i + 1], f"c{i}")]
+    found = []
+    for limit in (10_000, 9):
+        monkeypatch.setattr(tool_chat, "LOCAL_EDGES", limit)
+        found.append(run_log(spark, rows))
+    assert found[0] == found[1]
+    assert {r["status"] for r in found[0] if r["conv_id"] < 2} == {"ok", "cyclic"}
+
+
+def test_long_backward_conversation(spark):
+    """Every call needs the one logged after it: a chain of 2,000 steps."""
+    n = 1000
+    rows = [call(1, 2 * (n - i), f"c{i}", after=[f"c{i - 1}"] if i else None) for i in range(n)]
+    rows += [result(1, 2 * (n - i) + 1, f"c{i}") for i in range(n)]
+    got = run_log(spark, rows)
+    assert [(r["kind"], r["call_id"]) for r in got] == [(k, f"c{i}") for i in range(n) for k in ("call", "result")]
+    assert {r["status"] for r in got} == {"ok"}
+
+
 def test_arguments_and_lines(spark):
     args = ['{"b": ["x"], "a": 2.0}', '{"a": 6}', '{"b": [1]}', "{bad", None, '[1]', '{"a": true, "z": 0}', '{"a": 1e2}']
     got = run_log(spark, [call(1, i, f"c{i}", a) for i, a in enumerate(args)] + [call(1, 50, "u", "{}", name="other")])
