@@ -15,7 +15,7 @@ Input is a log of events, one row each:
    event's key (place, depth) starts as (position, 0); along every edge that
    the keys violate, the later event is raised to just behind the earlier one,
    until no edge is violated. A conversation in order is left alone; one of up
-   to ``LOCAL_EDGES`` edges is settled in memory in one task; a longer one by
+   to ``LOCAL_EDGES`` edges is settled in memory inside a task; a longer one by
    joins, in as many rounds as its longest chain of violated edges. Events on or
    behind a cycle would rise for ever: they are told by a depth above the number
    of events moved in their conversation, flagged, and keep their place.
@@ -171,11 +171,12 @@ def _edges(events: DataFrame, links: DataFrame) -> DataFrame:
             .withColumn("sd", zero).withColumn("dd", zero))
 
 
-def settle(src: np.ndarray, dst: np.ndarray, sp: np.ndarray, dp: np.ndarray):
-    """The rounds of ``_in_rounds`` for one conversation's edges, in memory:
+def settle(conv: np.ndarray, src: np.ndarray, dst: np.ndarray, sp: np.ndarray, dp: np.ndarray):
+    """The rounds of ``_in_rounds`` for the edges of some conversations, in memory:
     arrays (event, place, depth, on or behind a cycle) of the events raised."""
     events, at = np.unique(np.concatenate([src, dst]), return_index=True)
     places, rank = np.unique(np.concatenate([sp, dp]), return_inverse=True)
+    owner = np.unique(np.concatenate([conv, conv]), return_inverse=True)[1][at]
     s, t = np.searchsorted(events, src), np.searchsorted(events, dst)
     deep = 2 * len(events) + 4                     # above any depth before all cycles are found
     key = rank[at] * deep                          # (place, depth) in one number
@@ -187,7 +188,8 @@ def settle(src: np.ndarray, dst: np.ndarray, sp: np.ndarray, dp: np.ndarray):
         raised = t[up]
         np.maximum.at(key, raised, key[s[up]] + 1)
         moved[raised] = True
-        loop[raised] |= key[raised] % deep > moved.sum()
+        many = np.bincount(owner[moved], minlength=owner.max() + 1)
+        loop[raised] |= key[raised] % deep > many[owner[raised]]
         if loop.any():
             s, t = s[~loop[t]], t[~loop[t]]
     out = np.flatnonzero(moved)
@@ -196,20 +198,22 @@ def settle(src: np.ndarray, dst: np.ndarray, sp: np.ndarray, dp: np.ndarray):
 
 def _raised(edges: DataFrame) -> DataFrame:
     """(eid, p, d, loop) of the events that the order moves. Conversations of at
-    most ``LOCAL_EDGES`` edges are settled in one task each, whatever the length
-    of their chains; longer ones by distributed rounds."""
+    most ``LOCAL_EDGES`` edges are settled in memory, blocks of them in a task,
+    whatever the length of their chains; longer ones by distributed rounds."""
     e = materialize(edges, "chat-edges")
     wrong = F.count_if(F.expr(VIOLATED)).alias("wrong")
     sizes = materialize(e.groupBy("ck").agg(F.count("*").alias("m"), wrong), "chat-edge-counts")
     e = materialize(join_groups(e, sizes.where("wrong > 0"), ["ck"], "m", e.count()), "chat-wrong")
+    short = e.where(F.col("m") <= LOCAL_EDGES).select("ck", "src", "dst", "sp", "dp")
+    blocks = short.count() // max(1, LOCAL_EDGES) + 1      # of about LOCAL_EDGES edges
 
     def one(unit: pa.Table) -> pa.Table:
-        eid, p, d, loop = settle(*(unit.column(c).to_numpy() for c in ("src", "dst", "sp", "dp")))
+        eid, p, d, loop = settle(*(unit.column(c).to_numpy() for c in ("ck", "src", "dst", "sp", "dp")))
         return pa.table({"eid": pa.array(eid, pa.int64()), "p": pa.array(p, pa.int64()),
                          "d": pa.array(d.astype(np.int32)), "loop": pa.array(loop)})
 
-    small = (e.where(F.col("m") <= LOCAL_EDGES).select("ck", "src", "dst", "sp", "dp")
-             .groupBy("ck").applyInArrow(one, "eid long, p long, d int, loop boolean"))
+    small = (short.groupBy(F.pmod(F.xxhash64("ck", F.lit(5)), F.lit(blocks)).alias("block"))
+             .applyInArrow(one, "eid long, p long, d int, loop boolean"))
     large = e.where(F.col("m") > LOCAL_EDGES).drop("m", "wrong")
     if not large.isEmpty():
         small = small.unionByName(_in_rounds(large))

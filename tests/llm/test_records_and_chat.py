@@ -181,11 +181,13 @@ def brute_settle(edges):
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.lists(st.tuples(st.integers(0, 11), st.integers(0, 11)), min_size=1, max_size=24),
-       st.lists(st.integers(0, 30), min_size=12, max_size=12))
+@given(st.lists(st.tuples(st.integers(0, 2), st.integers(0, 9), st.integers(0, 9)), min_size=1, max_size=30),
+       st.lists(st.integers(0, 30), min_size=30, max_size=30))
 def test_settling_brute_force(pairs, place):
-    edges = [(s, t, place[s], place[t]) for s, t in pairs]
-    got = tool_chat.settle(*(np.array(c, dtype=np.int64) for c in zip(*edges)))
+    """Three conversations of ten events in one block."""
+    edges = [(10 * c + s, 10 * c + t, place[10 * c + s], place[10 * c + t]) for c, s, t in pairs]
+    conv = np.array([c - 1 for c, *_ in pairs], dtype=np.int64)
+    got = tool_chat.settle(conv, *(np.array(c, dtype=np.int64) for c in zip(*edges)))
     found = {int(v): None if loop else (int(p), int(d)) for v, p, d, loop in zip(*got)}
     assert found == brute_settle(edges)
 
