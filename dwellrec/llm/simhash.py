@@ -223,6 +223,16 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     width: int = SHINGLE, radius: int = RADIUS, extra=()) -> DataFrame:
     """(doc_id, extra…, fingerprint, component_id) for every row; component_id
     is the smallest doc_id reachable over links, its own included."""
+    out = _grouped(docs, doc_id, text, width, radius, extra)
+    names = [c for c in out.columns if c not in ("doc_id", "fp", "root", "component_id")]
+    return out.select("doc_id", *names, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                      "component_id")
+
+
+def _grouped(docs: DataFrame, doc_id: str, text: str, width: int, radius: int, extra=()) -> DataFrame:
+    """(doc_id, extra…, fp, root, component_id) for every row; root is a
+    fingerprint of the group and names it, as component_id need not: ids may be
+    null or repeated."""
     rows = materialize(fingerprints(docs, doc_id, text, width, extra), "fingerprints")
     distinct = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("low"),
                                                   F.count("*").alias("copies")), "distinct-fps")
@@ -233,23 +243,21 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                          "rooted-fps")
     lows = rooted.groupBy("root").agg(F.min("low").alias("component_id"), F.count("*").alias("_m"))
     groups = join_groups(rooted, materialize(lows, "component-ids"), ["root"], "_m", n)
-    groups = materialize(groups.select("fp", "copies", "component_id"), "fp-components")
-    out = join_groups(rows, groups, ["fp"], "copies", rows.count())
-    names = [c for c in rows.columns if c not in ("doc_id", "fp")]
-    return out.select("doc_id", *names, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-                      "component_id")
+    groups = materialize(groups.select("fp", "copies", "root", "component_id"), "fp-components")
+    return join_groups(rows, groups, ["fp"], "copies", rows.count()).drop("copies")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
              width: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """``docs`` (all columns) with one row of each group of near duplicates: the
-    one with the smallest id (least row among several with that id)."""
+    one with the smallest id (null last; least row among several with that id)."""
     key = fresh(docs, "_rk")
-    comp = near_duplicates(docs, doc_id, text, width, radius,
-                           extra=[row_key(doc_id, text).alias("_rk")])
-    stay = comp.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    # several rows of a group may carry its smallest id
-    least = stay.groupBy("component_id").agg(F.min("_rk").alias(key), F.count("*").alias("_c"))
+    rows = _grouped(docs, doc_id, text, width, radius, [row_key(doc_id, text).alias("_rk")])
+    # rows alike in id and text share a row key; they are counted before the choice
+    alike = rows.groupBy("root", "doc_id", "_rk").agg(F.count("*").alias("_c"))
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_rk", "_c"))
+    least = materialize(alike.groupBy("root").agg(best.alias("b"))
+                        .select(F.col("b._rk").alias(key), F.col("b._c").alias("_c")), "kept-keys")
     rk = row_key(doc_id, text)
     alone = docs.join(least.where("_c = 1").select(key), rk == F.col(key), "left_semi")
     tied = docs.join(least.where("_c > 1").select(key), rk == F.col(key), "left_semi")

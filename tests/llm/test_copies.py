@@ -9,7 +9,7 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from llm_data import edge, empty, rows_of  # noqa: F401  (fixtures)
+from llm_data import edge, empty, prose, rows_of  # noqa: F401  (fixtures)
 
 from dwellrec.llm import digest_merge, external_shuffle, line_chunks, simhash
 from dwellrec.llm.components import components
@@ -113,6 +113,17 @@ def test_keep_one(edge, empty):
     assert simhash.keep_one(empty).count() == 0
 
 
+def test_keep_one_counts_groups_not_ids(spark):
+    """Unlinked texts under null or repeated ids: one row of each group stays."""
+    a, b, c, d, e = (prose(60, 200 + i) for i in range(5))
+    rows = [(None, a), (None, a), (None, b), (None, c), (15, d), (15, d), (15, e), (16, e), (None, e)]
+    fps = [brute_fingerprint(t) for t in (a, b, c, d, e)]
+    assert min(bin(x ^ y).count("1") for x in fps for y in fps if x != y) > 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    kept = rows_of(simhash.keep_one(docs).select("doc_id", "text"))
+    assert Counter(kept) == Counter([(None, a), (None, b), (None, c), (15, d), (15, e)])
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.integers(0, 2**64 - 1), st.lists(st.integers(0, 63), max_size=3), st.sampled_from([1, 10**5, 10**8, 10**10]))
 def test_key_masks_lose_no_pair(a, flips, n):
