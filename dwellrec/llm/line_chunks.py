@@ -23,6 +23,11 @@ ids come last among occurrences; rows alike in id and text share their fate; a
 text whose chunks all go becomes empty; lines are split at \\n only, trailing
 empty ones included; an empty table gives an empty result; other columns are
 ignored by ``dedup_lines``. Texts are processed whole.
+
+Chunks miss repeats: one-line chunks are never candidates and the ends of a
+passage are cut together with its neighbours. ``dedup_passages`` asks of every
+two adjacent lines whether they stand together earlier, so every line of every
+repeated run of two or more lines is found, wherever it starts and ends.
 """
 
 from __future__ import annotations
@@ -153,6 +158,63 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                         F.array_join(F.transform("kept", lambda c: c["body"]), "\n").alias("text"))
 
 
+def _pairs(docs: DataFrame) -> DataFrame:
+    """(digest, at) of every two adjacent lines; lines hold no \\n, so the
+    joined pair is unambiguous."""
+    lines = docs.select("k", "doc_id", F.split("t", "\n", -1).alias("lines"))
+    n = F.size("lines") - 1
+    pairs = lines.select("k", "doc_id", F.zip_with(
+        F.slice("lines", F.lit(1), n), F.slice("lines", F.lit(2), n),
+        lambda a, b: F.unhex(F.sha2(F.concat_ws("\n", a, b), 256))).alias("pairs"))
+    one = pairs.select("k", "doc_id", F.posexplode_outer("pairs").alias("pos", "digest"))
+    return one.where("digest is not null").select("digest", F.struct(
+        F.col("doc_id").isNull().alias("last"), "doc_id", "k", "pos").alias("at"))
+
+
+def dedup_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per input row: doc_id, n_lines, removed_lines, text.
+
+    A line goes if it stands, together with the line before or after it, at an
+    earlier place (doc_id, row key, position). Every repeated run of two or more
+    lines goes whole; the first occurrence of every line stays, and a line
+    repeated in a row shrinks to one. Pairs are compared by SHA-256."""
+    src = docs.select(row_key(doc_id, text).alias("k"), quoted(doc_id).alias("doc_id"),
+                      as_text(text).alias("t"))
+    seen = materialize(_pairs(src), "line-pairs")
+    counts = materialize(seen.groupBy("digest").agg(F.count("*").alias("n"), F.min("at").alias("first"))
+                         .where("n > 1"), "repeated-pairs")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    again = join_groups(seen, counts, ["digest"], "n", total).where("at <> first")
+    again = materialize(again.groupBy("at.k").agg(F.collect_set("at.pos").alias("again")), "later-pairs")
+    both = F.concat("again", F.transform("again", lambda p: p + 1))
+    gone = F.transform(F.array_sort(F.array_distinct(F.coalesce(both, F.array().cast("array<int>")))),
+                       lambda p: F.struct(p.alias("key"), F.lit(True).alias("value")))
+    # the large-data plan at every size: the texts are shuffled once
+    lines = src.join(again.hint("merge"), "k", "left").select(
+        "doc_id", F.split("t", "\n", -1).alias("lines"), gone.alias("gone"))
+    marked = lines.select("doc_id", F.size("lines").alias("n_lines"), F.size("gone").alias("removed_lines"),
+                          F.zip_with("lines", _aligned(F.col("gone")), lambda x, g: F.struct(
+                              x.alias("line"), g.alias("gone"))).alias("lines"))
+    kept = F.transform(F.filter("lines", lambda x: x["gone"].isNull()), lambda x: x["line"])
+    return marked.select("doc_id", "n_lines", "removed_lines", F.array_join(kept, "\n").alias("text"))
+
+
+def dedup_passages_sql(docs: str = "documents") -> str:
+    """The same in DuckDB for unique ids."""
+    return f"""
+WITH s AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM {docs}),
+l AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM s),
+p AS (SELECT *, line || chr(10) || lead(line) OVER (PARTITION BY doc_id ORDER BY i) AS pair FROM l),
+a AS (SELECT *, pair IS NOT NULL AND row_number() OVER (PARTITION BY pair ORDER BY doc_id, i) > 1
+             AS again FROM p),
+g AS (SELECT *, again OR lag(again, 1, false) OVER (PARTITION BY doc_id ORDER BY i) AS gone FROM a)
+SELECT doc_id, CAST(count(*) AS INTEGER) AS n_lines,
+       CAST(count(*) FILTER (gone) AS INTEGER) AS removed_lines,
+       coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '') AS text
+FROM g GROUP BY doc_id
+"""
+
+
 def dedup_lines_sql(docs: str = "documents") -> str:
     """The same in DuckDB for the default parameters and unique ids."""
     return f"""

@@ -43,6 +43,11 @@ def op4_line_dedup(spark, sf_dir):
     return line_chunks.dedup_lines(table(spark, sf_dir, "documents"))
 
 
+def line_dedup_passages(spark, sf_dir):
+    """op4's whole job, every repeated run of lines; op4 itself is held to its SQL."""
+    return line_chunks.dedup_passages(table(spark, sf_dir, "documents"))
+
+
 def _fold(n: int, k: int):
     """Whether crc32 of doc_id as text is k modulo n (false for a null id)."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % n == k, F.lit(False))
@@ -98,6 +103,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_sharding": op10_sharding,
+    "line_dedup_passages": line_dedup_passages,
 }
 
 OP1_SQL = """
@@ -134,4 +140,5 @@ ORACLE = {
     "op4_line_dedup": line_chunks.dedup_lines_sql(),
     "op7_tool_chat": tool_chat.tool_log_sql(),
     "op9_exact_dedup": OP9_SQL,
+    "line_dedup_passages": line_chunks.dedup_passages_sql(),
 }

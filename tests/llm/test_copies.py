@@ -218,6 +218,62 @@ def test_dedup_lines_long_text(spark):
     assert {r[0]: r[3] for r in got}[2] > 10000
 
 
+def runs_of_earlier_lines(rows, words=50):
+    """(id, first line, last line) of the later runs of 2+ lines and over
+    ``words`` words that stand in one earlier text."""
+    at, found = defaultdict(list), []
+    texts = [(d, (t or "").split("\n")) for d, t in sorted(rows)]
+    for no, (d, lines) in enumerate(texts):
+        i = 0
+        while i < len(lines) - 1:
+            best = 0
+            for o, j in at[lines[i], lines[i + 1]]:
+                n, other = 2, texts[o][1]
+                while i + n < len(lines) and j + n < len(other) and lines[i + n] == other[j + n]:
+                    n += 1
+                best = max(best, n)
+            if best and sum(len(x.split()) for x in lines[i:i + best]) > words:
+                found.append((d, i, i + best))
+            i += max(best, 1)
+        for j in range(len(lines) - 1):
+            at[lines[j], lines[j + 1]].append((no, j))
+    return found
+
+
+def test_dedup_passages_finds_every_repeated_run(spark):
+    """Planted passages of 2 to 9 lines, shifted, at both ends and in the middle of texts."""
+    rng = random.Random(9)
+    passages = [[f"{prose(30, 900 + 10 * p + i)} {p}" for i in range(2 + p % 8)] for p in range(40)]
+    rows = []
+    for d in range(160):
+        own = [prose(9, 5000 + 20 * d + i) + f" own {d} {i}" for i in range(rng.randrange(8))]
+        cut = rng.randrange(len(own) + 1)
+        rows.append((d, "\n".join(own[:cut] + passages[d % 40] + own[cut:])))
+    rows += [(900, None), (901, "one line"), (902, "one line"), (903, "x\nx\nx\ny"), (904, "")]
+    runs = runs_of_earlier_lines(rows)
+    assert len(runs) >= 120
+    got = {r["doc_id"]: r for r in line_chunks.dedup_passages(
+        spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    source = {d: (t or "").split("\n") for d, t in rows}
+    for d, a, b in runs:
+        assert not set(source[d][a:b]) & set(got[d]["text"].split("\n"))
+    everywhere = {x for r in got.values() for x in r["text"].split("\n")}
+    assert everywhere == {x for lines in source.values() for x in lines}       # no line is lost
+    assert all(got[d]["n_lines"] == len(x) for d, x in source.items())
+    assert (got[903]["text"], got[903]["removed_lines"]) == ("x\ny", 2)
+    chunks = {r["doc_id"]: r["text"].split("\n") for r in line_chunks.dedup_lines(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert any(set(source[d][a:b]) & set(chunks[d]) for d, a, b in runs)       # the cutting misses some
+
+
+def test_dedup_passages_edges(edge, empty):
+    got = line_chunks.dedup_passages(edge).collect()
+    assert Counter(r["doc_id"] for r in got) == Counter(r["doc_id"] for r in edge.collect())
+    assert {r["doc_id"]: r["text"] for r in got}[13] == "intro line"
+    assert line_chunks.dedup_passages(empty).count() == 0
+    assert "Python" not in line_chunks.dedup_passages(edge)._jdf.queryExecution().toString()
+
+
 def test_colliding_digests_are_not_removed(spark):
     """Two chunks under one digest with different bytes: the second is taken off the list."""
     texts = spark.createDataFrame([(1, 1, "a\nb\nc"), (2, 2, "d\ne\nf"), (3, 3, "a\nb\nc")],
