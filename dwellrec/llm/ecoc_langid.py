@@ -237,5 +237,7 @@ def keep_identified(docs: DataFrame, per_lang: int = FIT_PER_LANG) -> DataFrame:
     """``docs`` without the texts that have no identifiable language: no letter
     at all. Ambiguous texts stay."""
     model = fit(learnable(docs).select("doc_id", "text", "lang"), per_lang)
+    if not model.langs:       # nothing to learn from: only texts without a letter go
+        model.langs = ["any"]
     found, (lang, _, _) = identify(docs, model)
     return found.where(quoted(lang) != UNKNOWN).select(*[quoted(c) for c in docs.columns])

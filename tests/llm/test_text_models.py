@@ -136,6 +136,12 @@ def test_language_edges(spark, edge, empty):
 
 # --- decontamination -----------------------------------------------------------
 
+def test_nothing_learned_keeps_texts_with_letters(spark):
+    docs = spark.createDataFrame([(1, "hello there", None), (2, "42 !", None), (3, None, None), (None, "ja", None)],
+                                 "doc_id long, text string, lang string")
+    assert sorted(r["text"] for r in ecoc.keep_identified(docs).collect()) == ["hello there", "ja"]
+
+
 def brute_shingles(text):
     w = re.findall(r"[^\W_]+", (text or "").lower())
     return {" ".join(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
