@@ -44,7 +44,7 @@ FIT_PER_LANG = 800
 DIM_BITS = 14
 AMBIGUOUS = 0.1
 UNKNOWN = "und"
-_LETTER = np.array([chr(i).isalpha() for i in range(65536)])
+_LETTER = np.array([chr(i).isalpha() for i in range(0x110000)])
 _SLICE = 1 << 20          # letters hashed at a time
 
 
@@ -64,7 +64,7 @@ def _grams(codes: np.ndarray) -> np.ndarray:
 def gram_slices(text: str) -> Iterator[np.ndarray]:
     """n-grams of a whole text, a bounded slice at a time; none without letters."""
     c = np.frombuffer((" " + text.lower() + " ").encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    letter = (c >= 65536) | _LETTER[np.minimum(c, 65535)]
+    letter = _LETTER[c]
     if letter.any():
         c = np.where(letter, c, np.uint32(32))
         for at in range(0, len(c) - 2, _SLICE):

@@ -136,6 +136,17 @@ def test_language_edges(spark, edge, empty):
 
 # --- decontamination -----------------------------------------------------------
 
+def test_letters_beyond_the_bmp(spark):
+    """Emoji and mathematical digits are no letters, ideographs of plane 2 are."""
+    model = ecoc.Model(["en"], ecoc.codewords(1), np.zeros((1 << ecoc.DIM_BITS, 0)), *[np.zeros(0)] * 3)
+    for text in ("\U0001f600 \U0001f680\U0001f600", "\U0001d7d8\U0001d7d9", "\U0001f600 42"):
+        assert not any(map(str.isalpha, text))
+        assert model.decode(text) == ("und", 0.0, True)
+    assert model.decode("\U00020000\U00020001")[0] == "en"
+    plain, emoji = (np.concatenate(list(ecoc.gram_slices(t))) for t in ("ab  cd", "ab \U0001f600 cd"))
+    assert not set(emoji.tolist()) - set(plain.tolist())
+
+
 def test_nothing_learned_keeps_texts_with_letters(spark):
     docs = spark.createDataFrame([(1, "hello there", None), (2, "42 !", None), (3, None, None), (None, "ja", None)],
                                  "doc_id long, text string, lang string")
