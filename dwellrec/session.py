@@ -134,6 +134,17 @@ def track_materialized(spark: SparkSession, path: str) -> None:
     _MATERIALIZED.setdefault(spark.sparkContext.applicationId, []).append(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete one intermediate table (an iteration's state that the next
+    iteration's, already written, replaces)."""
+    jvm = spark.sparkContext._jvm
+    hp = jvm.org.apache.hadoop.fs.Path(path)
+    hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hp, True)
+    written = _MATERIALIZED.get(spark.sparkContext.applicationId, [])
+    if path in written:
+        written.remove(path)
+
+
 def materialized_mark(spark: SparkSession) -> int:
     """A marker for ``drop_materialized(spark, since=...)``."""
     return len(_MATERIALIZED.get(spark.sparkContext.applicationId, []))
