@@ -17,6 +17,9 @@ from dwellrec.llm import (
     fixity,
     length_buckets,
     line_chunks,
+    ns_kmeans,
+    permutation_index,
+    phrases,
     simhash,
     tool_chat,
 )
@@ -92,6 +95,18 @@ def op10_sharding(spark, sf_dir):
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_phrases(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_nearest(spark, sf_dir):
+    return permutation_index.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
+def op13_clusters(spark, sf_dir):
+    return ns_kmeans.cluster(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_fixity": op2_fixity,
@@ -103,6 +118,9 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_sharding": op10_sharding,
+    "op11_phrases": op11_phrases,
+    "op12_nearest": op12_nearest,
+    "op13_clusters": op13_clusters,
     "line_dedup_passages": line_dedup_passages,
 }
 
@@ -140,5 +158,7 @@ ORACLE = {
     "op4_line_dedup": line_chunks.dedup_lines_sql(),
     "op7_tool_chat": tool_chat.tool_log_sql(),
     "op9_exact_dedup": OP9_SQL,
+    "op11_phrases": phrases.collocations_sql(),
+    "op13_clusters": ns_kmeans.cluster_sql(),
     "line_dedup_passages": line_chunks.dedup_passages_sql(),
 }
