@@ -21,10 +21,10 @@ Measured recall of the 10 nearest against brute force: README and tests.
 
 Defined results: vectors that are null, empty, all zero, or hold null or non-finite
 components take no part, nor do rows with a null id; vectors are compared with those
-of equal length only; rows alike in id and vector are one row; an id with several
-vectors is searched for each of them and never a candidate of itself; ties go to the
-smaller id; fewer candidates than asked give a shorter list; an empty table gives an
-empty result; other columns are ignored.
+of equal length only; rows alike in id and vector are one row, and no candidate of
+themselves; an id with several vectors is that many rows (and queries); ties go to
+the smaller id; fewer candidates than asked give a shorter list; an empty table gives
+an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -225,6 +225,6 @@ def nearest(vectors: DataFrame, is_query: Column, n: int = NEAREST, vec_id: str
     sizes = asked.groupBy("k").agg(F.count("*").alias("n"))
     lists = materialize(lists.join(sizes, "k"), "nearest-lists")
     got = join_groups(asked, lists, ["k"], "n", asked.count())
-    others = F.filter("near", lambda x: x["vec_id"] != F.col("id"))
+    others = F.filter("near", lambda x: (x["vec_id"] != F.col("id")) | (x["d"] > 0))
     return got.select(F.col("id").alias("query_id"), F.posexplode(F.slice(others, 1, n)).alias("at", "x")).select(
         "query_id", (F.col("at") + 1).alias("rank"), "x.vec_id", F.col("x.d").alias("score"))
