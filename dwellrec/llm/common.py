@@ -4,6 +4,7 @@ a distributed ordinal, and a join that survives hot keys."""
 from __future__ import annotations
 
 import json
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -67,6 +68,19 @@ def ordinal(df: DataFrame, order, name: str = "_ix") -> DataFrame:
     return frozen.select(*cols, (start + local).alias(name))
 
 
+@contextmanager
+def wide_rows(spark, per_batch: int = 4):
+    """Jobs run inside hand Python ``per_batch`` rows at a time: for tables whose rows
+    are packed blocks of some MB."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was = spark.conf.get(key)
+    spark.conf.set(key, str(per_batch))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, was)
+
+
 def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str,
                 total: int) -> DataFrame:
     """rows ⋈ groups on ``keys`` (inner; ``groups`` has one row per key and its

@@ -42,13 +42,14 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dwellrec.llm.common import as_text, partitions, quoted
+from dwellrec.llm.common import as_text, partitions, quoted, wide_rows
 from dwellrec.session import materialize
 
 MIN_COUNT = 100
 LONGEST = 5
 TOP = 2000
-BLOCK_WORDS = 1 << 20
+BLOCK_WORDS = 1 << 18
+OUT_ROWS = 1 << 15
 STREAM_ROWS = 1 << 18          # rows a range of a sorted stream should hold
 FILTER_SLOTS = 16
 MAX_FILTER_BITS = 1 << 30
@@ -150,8 +151,8 @@ def _passes(codes: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
     return (bitmap[slot >> np.uint64(6)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
-def _counted(lang: str, words: list[bytes], ids: np.ndarray, at: np.ndarray, n: int) -> pa.RecordBatch:
-    """(lang, phrase, f) of the phrases of ``n`` words that start at ``at``: equal
+def _counted(lang: str, words: list[bytes], ids: np.ndarray, at: np.ndarray, n: int) -> Iterator[pa.RecordBatch]:
+    """(lang, phrase, n, f) of the phrases of ``n`` words that start at ``at``: equal
     ones meet by sorting exact numbers, a word at a time."""
     key = ids[at].astype(np.int64)
     for j in range(1, n):
@@ -160,10 +161,12 @@ def _counted(lang: str, words: list[bytes], ids: np.ndarray, at: np.ndarray, n:
             key = np.unique(key, return_inverse=True)[1]
     _, first, f = np.unique(key, return_index=True, return_counts=True)
     where = at[first].tolist()
-    text = [b" ".join([words[i] for i in ids[p:p + n].tolist()]) for p in where]
-    return pa.RecordBatch.from_arrays(
-        [pa.array([lang] * len(text), pa.string()), pa.array(text, pa.binary()),
-         pa.array([n] * len(text), pa.int32()), pa.array(f, pa.int64())], names=["lang", "phrase", "n", "f"])
+    for lo in range(0, len(where), OUT_ROWS):
+        text = [b" ".join([words[i] for i in ids[p:p + n].tolist()]) for p in where[lo:lo + OUT_ROWS]]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([lang] * len(text), pa.string()), pa.array(text, pa.binary()),
+             pa.array([n] * len(text), pa.int32()), pa.array(f[lo:lo + OUT_ROWS], pa.int64())],
+            names=["lang", "phrase", "n", "f"])
 
 
 def _block(row) -> tuple[str, list[bytes], np.ndarray]:
@@ -233,7 +236,7 @@ def longer_counts(blocks: DataFrame, filters: list[np.ndarray], known: int, long
                     at = np.flatnonzero(run_of)
                     if not len(at):
                         break
-                    yield _counted(lang, words, ids, at, n)
+                    yield from _counted(lang, words, ids, at, n)
 
         rows = blocks.mapInArrow(run, _COUNTS)
         out = rows if out is None else out.unionByName(rows)
@@ -243,16 +246,20 @@ def longer_counts(blocks: DataFrame, filters: list[np.ndarray], known: int, long
 def count_streams(blocks: DataFrame, min_count: int = MIN_COUNT, longest: int = LONGEST):
     """(stream, totals): lang, words, f of all phrases with f >= ``min_count``, and
     the word count n of every language."""
-    ones = materialize(word_counts(blocks), "word-counts")
+    with wide_rows(blocks.sparkSession):
+        ones = materialize(word_counts(blocks), "word-counts")
     totals = materialize(ones.groupBy("lang").agg(F.sum("f").alias("n")), "lang-words")
     enough = F.col("f") >= min_count
     levels = [ones.where(enough)]
     if longest > 1:
-        twos = materialize(longer_counts(blocks, bit_filters(levels[0], 1), 1, 2).where(enough), "pair-counts")
+        filters = bit_filters(levels[0], 1)
+        with wide_rows(blocks.sparkSession):
+            twos = materialize(longer_counts(blocks, filters, 1, 2).where(enough), "pair-counts")
         levels.append(twos)
     if longest > 2:
-        more = longer_counts(blocks, bit_filters(twos, 2), 2, longest).where(enough)
-        levels.append(materialize(more, "phrase-counts"))
+        filters = bit_filters(twos, 2)
+        with wide_rows(blocks.sparkSession):
+            levels.append(materialize(longer_counts(blocks, filters, 2, longest).where(enough), "phrase-counts"))
     out = levels[0]
     for x in levels[1:]:
         out = out.unionByName(x)
