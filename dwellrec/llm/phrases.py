@@ -10,7 +10,9 @@ language are returned.
    frequent phrase is as frequent as the phrase, so a phrase is only counted where
    its parts (words, then pairs) pass a bit filter of the frequent ones. The
    filter has no false negatives, and what passes it wrongly falls to
-   ``min_count``. Blocks are combined by sorting exact word numbers, not hashes.
+   ``min_count``. A block's phrases are counted by sorting exact word numbers; they
+   travel packed, a row per block and share of the phrases, and only a share's
+   frequent phrases become rows.
 3. Streams. The frequent phrases of all lengths are kept as one stream in suffix
    order (last word first) and one in prefix order. In such an order a phrase
    follows its own beginnings, so one pass in lockstep over the merged lengths
@@ -49,7 +51,7 @@ MIN_COUNT = 100
 LONGEST = 5
 TOP = 2000
 BLOCK_WORDS = 1 << 18
-OUT_ROWS = 1 << 15
+SHARE_WORDS = 1 << 22
 STREAM_ROWS = 1 << 18          # rows a range of a sorted stream should hold
 FILTER_SLOTS = 16
 MAX_FILTER_BITS = 1 << 30
@@ -63,8 +65,9 @@ def tokens(text: bytes) -> list[bytes]:
 
 
 def token_blocks(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """(lang, words, ids): blocks of the texts of one language. ``words`` are
-    joined by \\n, ``ids`` are int32 word numbers with -1 between pieces."""
+    """(lang, n, words, ids): blocks of the texts of one language. ``words`` are
+    joined by \\n, ``ids`` are int32 word numbers with -1 between pieces, n counts
+    the words in it."""
     src = docs.select(F.coalesce(quoted(lang).cast("string"), F.lit("und")).alias("lang"),
                       as_text(text).cast("binary").alias("t"))
 
@@ -75,8 +78,9 @@ def token_blocks(docs: DataFrame, text: str = "text", lang: str = "lang") -> Dat
             vocab, parts, _ = open_.pop(lang)
             ids = np.concatenate(parts).astype(np.int32)
             return pa.RecordBatch.from_arrays(
-                [pa.array([lang], pa.string()), pa.array([b"\n".join(list(vocab)[1:])], pa.binary()),
-                 pa.array([(ids - 1).astype("<i4").tobytes()], pa.binary())], names=["lang", "words", "ids"])
+                [pa.array([lang], pa.string()), pa.array([int((ids > 0).sum())], pa.int64()),
+                 pa.array([b"\n".join(list(vocab)[1:])], pa.binary()),
+                 pa.array([(ids - 1).astype("<i4").tobytes()], pa.binary())], names=["lang", "n", "words", "ids"])
 
         for b in batches:
             for lang, t in zip(b.column(0).to_pylist(), b.column(1)):
@@ -98,7 +102,7 @@ def token_blocks(docs: DataFrame, text: str = "text", lang: str = "lang") -> Dat
         for lang in list(open_):
             yield close(lang)
 
-    return src.mapInArrow(run, "lang string, words binary, ids binary")
+    return src.mapInArrow(run, "lang string, n long, words binary, ids binary")
 
 
 def _mixed(code: np.ndarray) -> np.ndarray:
@@ -151,22 +155,33 @@ def _passes(codes: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
     return (bitmap[slot >> np.uint64(6)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
-def _counted(lang: str, words: list[bytes], ids: np.ndarray, at: np.ndarray, n: int) -> Iterator[pa.RecordBatch]:
-    """(lang, phrase, n, f) of the phrases of ``n`` words that start at ``at``: equal
-    ones meet by sorting exact numbers, a word at a time."""
+def _counted(lang: str, words: list[bytes], codes: np.ndarray, ids: np.ndarray, at: np.ndarray, n: int,
+             shares: int) -> pa.RecordBatch:
+    """(lang, share, phrases, counts) of the phrases of ``n`` words that start at
+    ``at``, a row per share: equal ones meet by sorting exact numbers, a word at a
+    time, so that neighbours begin alike."""
     key = ids[at].astype(np.int64)
     for j in range(1, n):
         key = key * len(words) + ids[at + j]
         if j < n - 1:
             key = np.unique(key, return_inverse=True)[1]
     _, first, f = np.unique(key, return_index=True, return_counts=True)
-    where = at[first].tolist()
-    for lo in range(0, len(where), OUT_ROWS):
-        text = [b" ".join([words[i] for i in ids[p:p + n].tolist()]) for p in where[lo:lo + OUT_ROWS]]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(text), pa.string()), pa.array(text, pa.binary()),
-             pa.array([n] * len(text), pa.int32()), pa.array(f[lo:lo + OUT_ROWS], pa.int64())],
-            names=["lang", "phrase", "n", "f"])
+    at = at[first]
+    code = codes[ids[at]]
+    for j in range(1, n):
+        code = _pair_codes(code, codes[ids[at + j]])
+    share = (_mixed(code) % np.uint64(shares)).astype(np.int64)
+    order = np.argsort(share, kind="stable")
+    held, lo = np.unique(share[order], return_index=True)
+    ends = [*lo[1:].tolist(), len(order)]
+    where = at[order].tolist()
+    text = [b" ".join([words[i] for i in ids[p:p + n].tolist()]) for p in where]
+    count = f[order].astype("<u4")
+    return pa.RecordBatch.from_arrays(
+        [pa.array([lang] * len(held), pa.string()), pa.array(held, pa.int64()),
+         pa.array([b"\n".join(text[i:j]) for i, j in zip(lo.tolist(), ends)], pa.binary()),
+         pa.array([count[i:j].tobytes() for i, j in zip(lo.tolist(), ends)], pa.binary())],
+        names=["lang", "share", "phrases", "counts"])
 
 
 def _block(row) -> tuple[str, list[bytes], np.ndarray]:
@@ -179,26 +194,38 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield {c: b.column(c)[i].as_py() for c in ("lang", "words", "ids")}
 
 
-_COUNTS = "lang string, phrase binary, n int, f long"
+_PACKED = "lang string, share long, phrases binary, counts binary"
+
+
+def shares_of(blocks: DataFrame) -> int:
+    """Shares of the phrases, so many that one holds a few million at most."""
+    words = blocks.agg(F.sum("n")).first()[0] or 0
+    return max(words // SHARE_WORDS, min(32, partitions(blocks.sparkSession))) + 1
 
 
-def _summed(parts: DataFrame) -> DataFrame:
-    return parts.groupBy("lang", F.col("phrase").cast("string").alias("phrase"), "n").agg(F.sum("f").alias("f"))
+def _frequent(packed: DataFrame, min_count: int) -> DataFrame:
+    """(lang, phrase, f) with f >= ``min_count`` from the packed counts."""
+    def one(unit: pa.Table) -> pa.Table:
+        lang = unit.column("lang")[0].as_py()
+        text = [t for x in unit.column("phrases").to_pylist() for t in x.split(b"\n")]
+        f = np.frombuffer(b"".join(unit.column("counts").to_pylist()), dtype="<u4").astype(np.int64)
+        met = pa.table({"phrase": pa.array(text, pa.binary()), "f": f}).group_by("phrase").aggregate([("f", "sum")])
+        met = met.filter(pa.array(met.column("f_sum").to_numpy() >= min_count))
+        return pa.table({"lang": pa.array([lang] * len(met), pa.string()), "phrase": met.column("phrase"),
+                         "f": met.column("f_sum")})
 
+    return (packed.groupBy("lang", "share").applyInArrow(one, "lang string, phrase binary, f long")
+            .withColumn("phrase", F.col("phrase").cast("string")))
 
-def word_counts(blocks: DataFrame) -> DataFrame:
-    """(lang, phrase, n = 1, f) of every word."""
+
+def word_counts(blocks: DataFrame, min_count: int, shares: int) -> DataFrame:
+    """(lang, phrase, f) of the words with f >= ``min_count``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             lang, words, ids = _block(row)
-            f = np.bincount(ids[ids >= 0], minlength=len(words))
-            held = np.flatnonzero(f)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(held), pa.string()), pa.array([words[i] for i in held], pa.binary()),
-                 pa.array(np.ones(len(held), np.int32)), pa.array(f[held], pa.int64())],
-                names=["lang", "phrase", "n", "f"])
+            yield _counted(lang, words, _word_codes(lang, words), ids, np.flatnonzero(ids >= 0), 1, shares)
 
-    return _summed(blocks.mapInArrow(run, _COUNTS))
+    return _frequent(blocks.mapInArrow(run, _PACKED), min_count)
 
 
 def _at_segment(codes: np.ndarray, segment: int, segments: int) -> np.ndarray:
@@ -207,10 +234,12 @@ def _at_segment(codes: np.ndarray, segment: int, segments: int) -> np.ndarray:
     return (codes.view(np.int64) & 65535) % segments == segment
 
 
-def longer_counts(blocks: DataFrame, filters: list[np.ndarray], known: int, longest: int) -> DataFrame:
-    """(lang, phrase, n, f) of the phrases of ``known`` + 1 to ``longest`` words all of
-    whose parts of ``known`` (1 or 2) words pass the filter; with several segments
-    a phrase is counted in that of its first part, which alone must pass."""
+def longer_counts(blocks: DataFrame, filters: list[np.ndarray], known: int, longest: int, min_count: int,
+                  shares: int) -> DataFrame:
+    """(lang, phrase, f) of the phrases of ``known`` + 1 to ``longest`` words with
+    f >= ``min_count`` all of whose parts of ``known`` (1 or 2) words pass the filter;
+    with several segments a phrase is counted in that of its first part, which alone
+    must pass."""
     spark = blocks.sparkSession
     out = None
     for segment, bitmap in enumerate(filters):
@@ -222,7 +251,8 @@ def longer_counts(blocks: DataFrame, filters: list[np.ndarray], known: int, long
                 lang, words, ids = _block(row)
                 if len(ids) <= known:
                     continue
-                code = _word_codes(lang, words)[ids]           # -1 picks any word, masked below
+                codes = _word_codes(lang, words)
+                code = codes[ids]                              # -1 picks any word, masked below
                 inside = ids >= 0
                 if known == 2:
                     code, inside = _pair_codes(code[:-1], code[1:]), inside[:-1] & inside[1:]
@@ -236,30 +266,26 @@ def longer_counts(blocks: DataFrame, filters: list[np.ndarray], known: int, long
                     at = np.flatnonzero(run_of)
                     if not len(at):
                         break
-                    yield from _counted(lang, words, ids, at, n)
+                    yield _counted(lang, words, codes, ids, at, n, shares)
 
-        rows = blocks.mapInArrow(run, _COUNTS)
+        rows = blocks.mapInArrow(run, _PACKED)
         out = rows if out is None else out.unionByName(rows)
-    return _summed(out)
+    return _frequent(out, min_count)
 
 
 def count_streams(blocks: DataFrame, min_count: int = MIN_COUNT, longest: int = LONGEST):
     """(stream, totals): lang, words, f of all phrases with f >= ``min_count``, and
     the word count n of every language."""
-    with wide_rows(blocks.sparkSession):
-        ones = materialize(word_counts(blocks), "word-counts")
-    totals = materialize(ones.groupBy("lang").agg(F.sum("f").alias("n")), "lang-words")
-    enough = F.col("f") >= min_count
-    levels = [ones.where(enough)]
-    if longest > 1:
-        filters = bit_filters(levels[0], 1)
-        with wide_rows(blocks.sparkSession):
-            twos = materialize(longer_counts(blocks, filters, 1, 2).where(enough), "pair-counts")
-        levels.append(twos)
-    if longest > 2:
-        filters = bit_filters(twos, 2)
-        with wide_rows(blocks.sparkSession):
-            levels.append(materialize(longer_counts(blocks, filters, 2, longest).where(enough), "phrase-counts"))
+    spark, shares = blocks.sparkSession, shares_of(blocks)
+    totals = materialize(blocks.groupBy("lang").agg(F.sum("n").alias("n")).where("n > 0"), "lang-words")
+    with wide_rows(spark):
+        levels = [materialize(word_counts(blocks, min_count, shares), "word-counts")]
+    for known, upto in ((1, 2), (2, longest)):
+        if known < longest:
+            filters = bit_filters(levels[-1], known)
+            with wide_rows(spark):
+                more = longer_counts(blocks, filters, known, upto, min_count, shares)
+                levels.append(materialize(more, "phrase-counts"))
     out = levels[0]
     for x in levels[1:]:
         out = out.unionByName(x)

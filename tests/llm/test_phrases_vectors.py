@@ -80,10 +80,10 @@ def test_filter_segments_lose_nothing(spark, monkeypatch):
     monkeypatch.setattr(phrases, "FILTER_SLOTS", 1 << 12)
     docs = spark.createDataFrame([(prose(3000, s), "en") for s in range(4)], "text string, lang string")
     blocks = phrases.token_blocks(docs)
-    ones = phrases.word_counts(blocks).where("f >= 2")
+    ones = phrases.word_counts(blocks, 2, 5)
     filters = phrases.bit_filters(ones, 1)
     assert len(filters) > 1
-    got = {r["phrase"]: r["f"] for r in phrases.longer_counts(blocks, filters, 1, 2).where("f >= 5").collect()}
+    got = {r["phrase"]: r["f"] for r in phrases.longer_counts(blocks, filters, 1, 2, 5, 3).collect()}
     words = [prose(3000, s).split() for s in range(4)]
     want = Counter(" ".join(w[i:i + 2]) for w in words for i in range(len(w) - 1))
     assert got == {p: c for p, c in want.items() if c >= 5}
