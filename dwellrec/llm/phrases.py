@@ -51,7 +51,7 @@ MIN_COUNT = 100
 LONGEST = 5
 TOP = 2000
 BLOCK_WORDS = 1 << 18
-SHARE_WORDS = 1 << 22
+SHARE_WORDS = 1 << 20
 STREAM_ROWS = 1 << 18          # rows a range of a sorted stream should hold
 FILTER_SLOTS = 16
 MAX_FILTER_BITS = 1 << 30
@@ -198,7 +198,7 @@ _PACKED = "lang string, share long, phrases binary, counts binary"
 
 
 def shares_of(blocks: DataFrame) -> int:
-    """Shares of the phrases, so many that one holds a few million at most."""
+    """Shares of the phrases, of about a million phrases or fewer."""
     words = blocks.agg(F.sum("n")).first()[0] or 0
     return max(words // SHARE_WORDS, min(32, partitions(blocks.sparkSession))) + 1
 
