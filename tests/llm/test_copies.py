@@ -80,11 +80,16 @@ def union_find(n, pairs):
     return [find(i) for i in range(n)]
 
 
-def brute_components(rows):
-    """rows (id, text) → component id of each."""
+def brute_groups(rows):
+    """rows (id, text) → (fingerprint, root) of each; equal roots are one group."""
     fps = [brute_fingerprint(t) for _, t in rows]
     near = [(i, j) for i in range(len(rows)) for j in range(i) if bin(fps[i] ^ fps[j]).count("1") <= 3]
-    root = union_find(len(rows), near)
+    return fps, union_find(len(rows), near)
+
+
+def brute_components(rows):
+    """rows (id, text) → component id of each."""
+    fps, root = brute_groups(rows)
     low = defaultdict(list)
     for (d, _), r in zip(rows, root):
         low[r].append(d)
@@ -107,9 +112,12 @@ def test_keep_one(edge, empty):
     rows = [(r["doc_id"], r["text"]) for r in edge.collect()]
     out = simhash.keep_one(edge)
     assert out.columns == edge.columns
-    _, comp = brute_components(rows)
+    _, root = brute_groups(rows)
+    least = {}
+    for (d, _), r in zip(rows, root):
+        least[r] = min(least.get(r, (True, 0)), (d is None, d or 0))
     kept = [r["doc_id"] for r in out.collect()]
-    assert Counter(kept) == Counter(set(comp))
+    assert Counter(kept) == Counter(None if none else d for none, d in least.values())
     assert simhash.keep_one(empty).count() == 0
 
 
