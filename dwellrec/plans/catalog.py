@@ -27,6 +27,7 @@ from dwellrec.functions.exprs import (
 )
 from dwellrec.operators import metrics as M
 from dwellrec.operators import model as als
+from dwellrec.operators.allpairs import top_n_all
 from dwellrec.operators.export import format_line, lines_from_ranked, sort_lists_ascending
 from dwellrec.operators.model import AlsParams
 from dwellrec.operators.negatives import NEG_SEED, sample_negatives
@@ -282,6 +283,24 @@ def q_topn_rated_items(spark, sf_dir):
     return _topn(spark, sf_dir)
 
 
+NORM_STEPS = 5     # item norms of the stand-in factors vary, as popularity makes them
+
+
+def q_topn_all_users(spark, sf_dir):
+    """The best of all catalogue items for every visitor, stand-in factors."""
+    vectors = table(spark, sf_dir, "embeddings")
+    n = vectors.count()
+    fac = quantised_factors(vectors)
+    prep = prepared(spark, sf_dir)
+    users = prep.user_index.select(F.col("user").alias("to"), F.pmod("user", F.lit(n)).alias("id"))
+    items = prep.catalogue()[0].select(F.col("item").alias("to"), F.pmod("item", F.lit(n)).alias("id"))
+    weight = (F.lit(1) + F.pmod("to", F.lit(NORM_STEPS))).cast("bigint")
+    users = users.join(fac, "id").select(F.col("to").alias("id"), F.col("q").alias("v"))
+    items = items.join(fac, "id").select(F.col("to").alias("id"),
+                                         F.transform("q", lambda x: x * weight).alias("v"))
+    return top_n_all(users, items, TOP_N)
+
+
 def q_recommendation_lines(spark, sf_dir):
     return lines_from_ranked(_topn(spark, sf_dir), prepared(spark, sf_dir).user_index)
 
@@ -313,18 +332,49 @@ def _eval_params(**kw) -> AlsParams:
     return AlsParams.for_evaluation(**{**dict(rank=10, max_iter=10), **kw})
 
 
-def _ranked_grid(recommendations: DataFrame) -> DataFrame:
-    """(user, rank, in_order): whether the score is at most the one before."""
+FLOAT_ERROR = 1e-4     # of a single-precision product, relative
+
+
+def _close(a, b):
+    return F.abs(a - b) <= F.lit(FLOAT_ERROR) * F.greatest(F.lit(1.0), F.abs(b))
+
+
+def _product(rows: DataFrame, model) -> DataFrame:
+    """rows (user, item, …) with ``exact``, the product of the fitted factors."""
+    uf, itf = (x.select(F.col("id").alias(to), F.col("features").cast("array<double>").alias(c))
+               for x, to, c in ((model.userFactors, "user", "_uf"), (model.itemFactors, "item", "_if")))
+    dot = F.aggregate(F.zip_with("_uf", "_if", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    return rows.join(uf, "user").join(itf, "item").withColumn("exact", dot).drop("_uf", "_if")
+
+
+def _ranked_grid(recommendations: DataFrame, model) -> DataFrame:
+    """(user, rank, in_order, agrees): whether the score is at most the one before,
+    and whether it is both the listed item's product of factors and the
+    rank-th best product over all items (so no unlisted item is better)."""
     flat = als.flatten_recommendations(recommendations)
     before = F.lag("rating").over(Window.partitionBy("user").orderBy("rank"))   # a list's rows
-    return flat.select("user", "rank", (F.coalesce(before, F.col("rating")) >= F.col("rating"))
-                       .alias("in_order"))
+    flat = flat.withColumn("in_order", F.coalesce(before, F.col("rating")) >= F.col("rating"))
+    best = als.recommend_exact(model, TOP_N, recommendations.select("user")).select(
+        "user", "rank", F.col("rating").alias("best"))
+    both = _product(flat, model).join(best, ["user", "rank"])
+    return both.select("user", "rank", "in_order",
+                       (_close(F.col("rating"), F.col("exact")) & _close(F.col("rating"), F.col("best")))
+                       .alias("agrees"))
 
 
 def q_holdout_random_split(spark, sf_dir):
-    """Row-level seeded split over a checkpointed input: both sides together."""
-    train, test = random_split(prepared(spark, sf_dir).scored, (0.9, 0.1), SPLIT_SEED)
-    return train.unionByName(test)
+    """Row-level seeded split over a checkpointed input: per distinct row the copies
+    on both sides together, and whether the test side's size is within five
+    standard deviations of its share and a second pass deals the same sides."""
+    scored = prepared(spark, sf_dir).scored
+    train, test = random_split(scored, (0.9, 0.1), SPLIT_SEED)
+    again = test.select("*")
+    n, held = scored.count(), test.count()
+    binomial = abs(held - 0.1 * n) <= 5 * (0.09 * n) ** 0.5
+    same = test.exceptAll(again).isEmpty() and train.count() + held == n
+    sides = train.withColumn("t", F.lit(0)).unionByName(test.withColumn("t", F.lit(1)))
+    return sides.groupBy("user", "item", "score").agg(F.count("*").alias("copies")).select(
+        "*", F.lit(binomial).alias("sizes_fit"), F.lit(same).alias("same_sides"))
 
 
 def q_dataset_stats_approx(spark, sf_dir):
@@ -353,20 +403,21 @@ def q_als_recommendation_lines(spark, sf_dir):
 
 def q_als_pair_predictions(spark, sf_dir):
     lab = labelled(spark, sf_dir)
-    m = als.fit(lab.where(F.col("split") == "train"), _eval_params())
-    return als.predict_pairs(m, lab.where(F.col("split") == "test")).select(
-        "user", "item", (~F.isnan("pred")).alias("finite"))
+    m = als.freeze(als.fit(lab.where(F.col("split") == "train"), _eval_params()), spark)
+    preds = als.predict_pairs(m, lab.where(F.col("split") == "test"))
+    return _product(preds, m).select("user", "item", (~F.isnan("pred")).alias("finite"),
+                                     _close(F.col("pred"), F.col("exact")).alias("agrees"))
 
 
 def q_als_topn(spark, sf_dir):
-    m = als.fit(prepared(spark, sf_dir).scored, _als_params())
-    return _ranked_grid(als.recommend_all(m, TOP_N))
+    m = als.freeze(als.fit(prepared(spark, sf_dir).scored, _als_params()), spark)
+    return _ranked_grid(als.recommend_all(m, TOP_N), m)
 
 
 def q_als_topn_subset(spark, sf_dir):
     lab = labelled(spark, sf_dir)
-    m = als.fit(prepared(spark, sf_dir).scored, _als_params())
-    return _ranked_grid(als.recommend_subset(m, lab.where(F.col("split") == "test"), TOP_N))
+    m = als.freeze(als.fit(prepared(spark, sf_dir).scored, _als_params()), spark)
+    return _ranked_grid(als.recommend_subset(m, lab.where(F.col("split") == "test"), TOP_N), m)
 
 
 def q_als_explicit(spark, sf_dir):
@@ -453,6 +504,7 @@ QUERIES = {
     "text_sink_lines": q_text_sink_lines,
     "peek": q_peek,
     "topn_rated_items": q_topn_rated_items,
+    "topn_all_users": q_topn_all_users,
     "recommendation_lines": q_recommendation_lines,
     "topn_lists_ascending": q_topn_lists_ascending,
     "holdout_random_split": q_holdout_random_split,

