@@ -2,20 +2,24 @@
 
 ``records`` lays a table of pages out as WARC records: length, SHA-256 of the
 record's bytes, file number and byte offset. ``tree`` hashes a replica upwards:
-a record's leaf binds its offset, length and digest; above it, nodes cover
+a record's leaf binds its offset, length, id and digest; above it, nodes cover
 ordered offset ranges of 64 KiB, 1 MiB, 16 MiB, … of a file (16 children each),
-then the file, then 16, 256, … files, up to one root for the replica. ``audit``
-compares the roots and descends, level by level, only into nodes that differ,
-down to the records.
+then the file, then 16, 256, … files, up to one root for the replica. A node binds
+the number of its children and each child's place (range or file number) with its
+hash, so a renumbered, swapped or shifted part changes every node above it.
+``audit`` compares the roots and descends, level by level, only into nodes that
+differ, down to the records.
 
 A node's children are bounded by construction (16; below the lowest range, the
 records that start within 64 KiB), and record bytes are hashed where they are
 read: only digests are shuffled.
 
 Defined results: null urls and bodies are empty; null ids sort first; repeated
-pages are separate records; a replica without records has no root, and every
-record of the other one is then missing or extra; two empty replicas give no
-rows; other columns are ignored.
+pages are separate records; a record that one side holds more often at a place is
+reported once, as missing or extra; where a place has lost some records and gained
+others, these are paired in order as changed; a replica without records has no
+root, and every record of the other one is then missing or extra; two empty
+replicas give no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -62,14 +66,17 @@ def records(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
             .select("file", "offset", "length", "record_id", "digest"))
 
 
-def _combine(order: str) -> Column:
-    """Hash of the children's hashes in order (a bounded list)."""
-    hashes = F.transform(F.array_sort(F.collect_list(F.struct(order, "hash"))), lambda c: c["hash"])
-    return F.sha2(F.array_join(hashes, "|"), 256)
+def _combine(place: str) -> Column:
+    """Hash of the number of children and of their places and hashes in order (a
+    bounded list)."""
+    kids = F.array_sort(F.collect_list(F.struct(F.col(place).alias("place"), "hash")))
+    each = F.transform(kids, lambda c: F.concat_ws("=", c["place"].cast("string"), c["hash"]))
+    return F.sha2(F.concat_ws("|", F.size(kids).cast("string"), F.array_join(each, "|")), 256)
 
 
 def leaf_hash() -> Column:
-    return F.sha2(F.concat_ws(":", "offset", "length", "digest"), 256)
+    return F.sha2(F.concat_ws(":", "offset", "length", "digest", F.coalesce(
+        F.concat(F.lit("id"), F.col("record_id").cast("string")), F.lit("none"))), 256)
 
 
 def tree(leaves: DataFrame) -> list[DataFrame]:
@@ -123,9 +130,21 @@ def audit(good: DataFrame, replica: DataFrame) -> DataFrame:
         kids = kids.join(bad.toDF("pf", "pi"), ["pf", "pi"], "left_semi")
         bad = materialize(_differing(kids, ["file", "idx"], "hash").select("file", "idx"), "bad")
     found = (leaves.withColumn("pi", F.shiftright("offset", RANGE_BITS))
-             .join(bad.toDF("file", "pi"), ["file", "pi"], "left_semi")
-             .withColumn("leaf", F.struct("length", "record_id", "digest")))
-    diff = _differing(found, ["file", "offset"], "leaf")
+             .join(bad.toDF("file", "pi"), ["file", "pi"], "left_semi"))
+    return record_differences(found)
+
+
+def record_differences(leaves: DataFrame) -> DataFrame:
+    """Records that one side holds more often than the other at a place."""
+    leaf = F.struct("length", "record_id", "digest")
+    held = leaves.groupBy("file", "offset", leaf.alias("leaf")).agg(
+        F.count_if(F.col("side") == "a").alias("na"), F.count_if(F.col("side") == "b").alias("nb"))
+    odd = held.where("na <> nb").withColumn("lost", F.col("na") > F.col("nb"))
+    w = Window.partitionBy("file", "offset", "lost").orderBy("leaf")      # different records of one place
+    odd = odd.withColumn("r", F.row_number().over(w))
+    a, b = (odd.where(F.col("lost") == F.lit(lost)).select("file", "offset", "r", F.col("leaf").alias(side))
+            for side, lost in (("a", True), ("b", False)))
+    diff = a.join(b, ["file", "offset", "r"], "full")
     some = F.coalesce("a", "b")
     return diff.select(
         "file", "offset", some["length"].alias("length"), some["record_id"].alias("record_id"),

@@ -20,8 +20,8 @@ Input is a log of events, one row each:
    behind a cycle would rise for ever: they are told by a depth above the number
    of events moved in their conversation, flagged, and keep their place.
 3. Validation: a call's arguments are checked against its tool's JSON schema
-   (type, enum, required, properties, additionalProperties, items, and length
-   and number bounds).
+   (``KEYWORDS``). A schema with another keyword, an unknown type or a broken
+   pattern is refused: its calls are invalid, with the reason in ``errors``.
 4. Every event becomes one canonical JSON line: sorted keys, no white space,
    integral floats written as integers.
 
@@ -32,15 +32,18 @@ Status: 'ok', 'unanswered' (call without result), 'orphan' (result without a
 call), 'duplicate' (a later call or result for an identifier that has one),
 'cyclic'. Defined results: events with a null identifier are unlinked (a call
 is unanswered, a result an orphan); null conversations are one conversation;
-events other than calls are valid; arguments that are null or no JSON are
-invalid and serialised as a JSON string or null; unknown tools are invalid;
-repeated rows are duplicates; rows of unknown kind are messages; an empty log
+events other than calls are valid; arguments that are null or no JSON (NaN and
+Infinity included), that nest deeper than ``DEPTH`` or hold a number beyond a
+double's range or of over 4,000 digits are invalid and serialised as a JSON string
+or null; lone surrogates stay escaped; unknown tools are invalid; of several schemas
+of one tool the least text counts; repeated rows are duplicates; rows of unknown kind are messages; an empty log
 gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -54,47 +57,119 @@ from dwellrec.session import materialize
 
 LOCAL_EDGES = 10_000
 VIOLATED = "sp > dp or (sp = dp and sd >= dd)"
-_TYPES = {"string": str, "object": dict, "array": list, "boolean": bool, "null": type(None)}
+DEPTH = 100
+_TYPES = {"string": str, "object": dict, "array": list, "boolean": bool, "null": type(None),
+          "integer": None, "number": None}
+KEYWORDS = frozenset((
+    "type enum const allOf anyOf oneOf not minLength maxLength pattern minimum maximum exclusiveMinimum "
+    "exclusiveMaximum multipleOf properties required additionalProperties minProperties maxProperties "
+    "items minItems maxItems uniqueItems").split())
+NOTES = frozenset("title description default examples $schema $id $comment deprecated readOnly writeOnly".split())
+_SURROGATE = re.compile("[\ud800-\udfff]")
+
+
+class Unfit(ValueError):
+    """JSON that is not taken: the reason."""
 
 
 def _is(value, kind: str) -> bool:
     if kind in ("integer", "number"):
         if isinstance(value, bool) or not isinstance(value, (int, float)):
             return False
-        return kind == "number" or float(value).is_integer()
-    return isinstance(value, _TYPES.get(kind, object))
+        return kind == "number" or isinstance(value, int) or value.is_integer()
+    return isinstance(value, _TYPES[kind])
+
+
+def schema_faults(schema, at: str = "schema") -> list[str]:
+    """Why a schema is refused."""
+    if isinstance(schema, bool):
+        return []
+    if not isinstance(schema, dict):
+        return [f"{at}: not an object"]
+    out = [f"{at}: unknown keyword {k}" for k in sorted(schema) if k not in KEYWORDS and k not in NOTES]
+
+    def check(key, fine, what):
+        if key in schema and not fine(schema[key]):
+            out.append(f"{at}.{key}: {what}")
+
+    def number(x):
+        return _is(x, "number")
+
+    def text(x):
+        return isinstance(x, str)
+
+    check("type", lambda x: (text(x) and x in _TYPES) or (isinstance(x, list) and x and all(
+        text(y) and y in _TYPES for y in x)), "unknown type")
+    check("enum", lambda x: isinstance(x, list), "not a list")
+    check("required", lambda x: isinstance(x, list) and all(map(text, x)), "not a list of names")
+    check("uniqueItems", lambda x: isinstance(x, bool), "not true or false")
+    check("multipleOf", lambda x: number(x) and x > 0, "not a positive number")
+    for key in ("minLength", "maxLength", "minItems", "maxItems", "minProperties", "maxProperties"):
+        check(key, lambda x: _is(x, "integer") and x >= 0, "not a count")
+    for key in ("minimum", "maximum", "exclusiveMinimum", "exclusiveMaximum"):
+        check(key, number, "not a number")
+    if "pattern" in schema:
+        try:
+            re.compile(schema["pattern"])
+        except (re.error, TypeError):
+            out.append(f"{at}.pattern: not a pattern")
+    for key in ("allOf", "anyOf", "oneOf"):
+        check(key, lambda x: isinstance(x, list) and x, "not a list of schemas")
+    check("properties", lambda x: isinstance(x, dict), "not an object")
+    inner = [(key, x) for key in ("allOf", "anyOf", "oneOf") if isinstance(schema.get(key), list)
+             for x in schema[key]]
+    inner += [(key, schema[key]) for key in ("not", "items", "additionalProperties") if key in schema]
+    if isinstance(schema.get("properties"), dict):
+        inner += sorted(schema["properties"].items())
+    for key, x in inner:
+        out += schema_faults(x, f"{at}.{key}")
+    return out
 
 
-def schema_errors(value, schema: dict, at: str = "$") -> list[str]:
-    """What ``value`` violates of a JSON schema (the keywords named above)."""
+def schema_errors(value, schema, at: str = "$") -> list[str]:
+    """What ``value`` violates of a JSON schema that has no faults."""
+    if isinstance(schema, bool):
+        return [] if schema else [f"{at}: not allowed"]
     kinds = schema.get("type", [])
     kinds = [kinds] if isinstance(kinds, str) else kinds
     if kinds and not any(_is(value, k) for k in kinds):
         return [f"{at}: not {'/'.join(kinds)}"]
     out = []
-    if "enum" in schema and value not in schema["enum"]:
-        out.append(f"{at}: not in enum")
+
+    def need(key, broken, what):
+        if key in schema and broken(schema[key]):
+            out.append(f"{at}: {what}")
+
+    need("enum", lambda x: canonical(value) not in map(canonical, x), "not in enum")
+    need("const", lambda x: canonical(value) != canonical(x), "not the constant")
     if isinstance(value, str):
-        if len(value) < schema.get("minLength", 0):
-            out.append(f"{at}: too short")
-        if len(value) > schema.get("maxLength", len(value)):
-            out.append(f"{at}: too long")
+        need("minLength", lambda x: len(value) < x, "too short")
+        need("maxLength", lambda x: len(value) > x, "too long")
+        need("pattern", lambda x: not re.search(x, value), "not of the pattern")
     if _is(value, "number"):
-        if value < schema.get("minimum", value):
-            out.append(f"{at}: below minimum")
-        if value > schema.get("maximum", value):
-            out.append(f"{at}: above maximum")
+        need("minimum", lambda x: value < x, "below minimum")
+        need("maximum", lambda x: value > x, "above maximum")
+        need("exclusiveMinimum", lambda x: value <= x, "not above exclusive minimum")
+        need("exclusiveMaximum", lambda x: value >= x, "not below exclusive maximum")
+        need("multipleOf", lambda x: value % x != 0, "not a multiple")
     if isinstance(value, dict):
-        known = schema.get("properties", {})
+        known, other = schema.get("properties", {}), schema.get("additionalProperties", True)
         out += [f"{at}.{k}: missing" for k in schema.get("required", []) if k not in value]
+        need("minProperties", lambda x: len(value) < x, "too few properties")
+        need("maxProperties", lambda x: len(value) > x, "too many properties")
         for k in sorted(value):
-            if k in known:
-                out += schema_errors(value[k], known[k], f"{at}.{k}")
-            elif schema.get("additionalProperties", True) is False:
-                out.append(f"{at}.{k}: not allowed")
-    if isinstance(value, list) and "items" in schema:
+            out += schema_errors(value[k], known.get(k, other), f"{at}.{k}")
+    if isinstance(value, list):
+        need("minItems", lambda x: len(value) < x, "too few items")
+        need("maxItems", lambda x: len(value) > x, "too many items")
+        need("uniqueItems", lambda x: x and len(set(map(canonical, value))) < len(value), "items repeat")
         for i, v in enumerate(value):
-            out += schema_errors(v, schema["items"], f"{at}[{i}]")
+            out += schema_errors(v, schema.get("items", True), f"{at}[{i}]")
+    for x in schema.get("allOf", []):
+        out += schema_errors(value, x, at)
+    need("anyOf", lambda x: all(schema_errors(value, y, at) for y in x), "matches none of anyOf")
+    need("oneOf", lambda x: sum(not schema_errors(value, y, at) for y in x) != 1, "matches not one of oneOf")
+    need("not", lambda x: not schema_errors(value, x, at), "matches not")
     return out
 
 
@@ -106,31 +181,76 @@ def _plain(value):
     return [_plain(v) for v in value] if isinstance(value, list) else value
 
 
+def _escaped(text: str) -> str:
+    """Lone surrogates, which no UTF-8 text can hold, as JSON escapes."""
+    return _SURROGATE.sub(lambda m: f"\\u{ord(m[0]):04x}", text)
+
+
 def canonical(value) -> str:
-    return json.dumps(_plain(value), sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    return _escaped(json.dumps(_plain(value), sort_keys=True, separators=(",", ":"), ensure_ascii=False))
 
 
-@lru_cache(maxsize=1024)
-def _parsed(schema: str) -> dict:
-    return json.loads(schema)
+def _integer(text: str) -> int:
+    if len(text) > 4000:
+        raise Unfit("number of too many digits")
+    return int(text)
+
+
+def _number(text: str) -> float:
+    value = float(text)
+    if value in (float("inf"), float("-inf")):
+        raise Unfit("number out of range")
+    return value
+
+
+def _constant(text: str):
+    raise Unfit("not JSON")
+
+
+def _deep(value, limit: int) -> bool:
+    level = [value]
+    for _ in range(limit):
+        level = [y for x in level for y in (x.values() if isinstance(x, dict) else x if isinstance(x, list) else ())]
+        if not level:
+            return False
+    return True
 
 
 def _parse(text: str | None):
     """(value, error) of a JSON text."""
     try:
-        return json.loads(text), ""
+        value = json.loads(text, parse_constant=_constant, parse_int=_integer, parse_float=_number)
+        if _deep(value, DEPTH):
+            raise Unfit("nested too deeply")
+        return value, ""
+    except Unfit as e:
+        return text, f"$: {e}"
+    except RecursionError:
+        return text, "$: nested too deeply"
     except (TypeError, ValueError):
         return text, "$: not JSON"
 
 
+@lru_cache(maxsize=1024)
+def _schema(text: str):
+    """(schema, faults) of a tool's schema text."""
+    value, error = _parse(text)
+    return value, [f"schema: {error[3:]}"] if error else schema_faults(value)
+
+
 def _row(kind, call_id, name, arguments, role, content, schema):
     """(canonical line, valid, errors) of one event."""
     if kind == "call":
         value, error = _parse(arguments)
-        errors = [error] if error else (["$: unknown tool"] if schema is None else
-                                        schema_errors(value, _parsed(schema)))
+        if error:
+            errors = [error]
+        elif schema is None:
+            errors = ["$: unknown tool"]
+        else:
+            known, faults = _schema(schema)
+            errors = faults or schema_errors(value, known)
         line = {"type": "call", "id": call_id, "name": name, "arguments": value}
-        return canonical(line), not errors, "; ".join(errors)
+        return canonical(line), not errors, _escaped("; ".join(errors))
     if kind == "result":
         return canonical({"type": "result", "call_id": call_id, "content": content}), True, ""
     return canonical({"type": "message", "role": role, "content": content}), True, ""
@@ -278,7 +398,7 @@ def format_log(log: DataFrame, tools: DataFrame) -> DataFrame:
                   .withColumn("d", F.when(stays, F.lit(0)).otherwise(F.col("md")))
                   .withColumn("status", F.when(F.col("loop"), "cyclic").otherwise(F.col("status"))))
     checked = _serialised(all_events.select(*cols, "p", "d").join(
-        tools.select("name", F.col("schema").alias("tool_schema")).dropDuplicates(["name"]), "name", "left"))
+        tools.groupBy("name").agg(F.min("schema").alias("tool_schema")), "name", "left"))
     placed = ordinal(materialize(checked, "chat-lines"), ["ck", "p", "d", "position", "eid"])
     first = placed.groupBy("ck").agg(F.min("_ix").alias("lo"), F.count("*").alias("n"))
     placed = join_groups(placed, materialize(first, "chat-starts"), ["ck"], "n", placed.count())

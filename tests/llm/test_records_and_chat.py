@@ -29,25 +29,28 @@ def sha(x):
 
 
 def brute_root(leaves):
-    """Root over (file, offset, length, digest) rows, recomputed level by level."""
-    nodes = {(f, o): sha(f"{o}:{n}:{d}") for f, o, n, d in leaves}
+    """Root over (file, offset, length, digest, id) rows, recomputed level by level:
+    a node binds the number of its children, their places and their hashes."""
+    def node(kids):
+        kids = sorted(kids)
+        return sha("|".join([str(len(kids)), *(f"{place}={h}" for place, h in kids)]))
+
+    def up(nodes, parent, place):
+        out = {}
+        for k, h in nodes:
+            out.setdefault(parent(k), []).append((place(k), h))
+        return [(k, node(v)) for k, v in out.items()]
+
+    nodes = [((f, o), sha(f"{o}:{n}:{d}:" + ("none" if i is None else f"id{i}"))) for f, o, n, d, i in leaves]
     shift = 16
     for _ in range(fixity.RANGE_LEVELS):
-        up = {}
-        for (f, i), h in sorted(nodes.items()):
-            up.setdefault((f, i >> shift), []).append(h)
-        nodes, shift = {k: sha("|".join(v)) for k, v in up.items()}, 4
-    up = {}
-    for (f, _), h in sorted(nodes.items()):
-        up.setdefault(f, []).append(h)
-    files = {f: sha("|".join(v)) for f, v in up.items()}
-    top = max(files)
+        nodes, shift = up(nodes, lambda k, s=shift: (k[0], k[1] >> s), lambda k: k[1]), 4
+    files = up(nodes, lambda k: k[0], lambda k: k[1])
+    top = max(f for f, _ in files)
     while top:
-        top, up = top >> 4, {}
-        for f, h in sorted(files.items()):
-            up.setdefault(f >> 4, []).append(h)
-        files = {f: sha("|".join(v)) for f, v in up.items()}
-    return files[0]
+        top >>= 4
+        files = up(files, lambda f: f >> 4, lambda f: f)
+    return files[0][1]
 
 
 @pytest.fixture(scope="module")
@@ -76,7 +79,7 @@ def test_roots(spark, pages):
     rec = fixity.records(pages, per_file=20)
     leaves = rec.withColumn("side", fixity.F.lit("a"))
     root = fixity.tree(leaves)[-1].collect()
-    assert [r["hash"] for r in root] == [brute_root(rows_of(rec.select("file", "offset", "length", "digest")))]
+    assert [r["hash"] for r in root] == [brute_root(rows_of(rec.select("file", "offset", "length", "digest", "record_id")))]
 
 
 def test_audit_locates_damage(spark, pages):
@@ -93,6 +96,48 @@ def test_audit_locates_damage(spark, pages):
     assert Counter(want.values()).keys() == {"missing", "extra", "changed"}
 
 
+def brute_differences(a, b):
+    """(file, offset, kind) counted by hand: what a place holds more often on one side."""
+    out = []
+    for place in {r[:2] for r in a + b}:
+        x, y = (Counter(r for r in side if r[:2] == place) for side in (a, b))
+        lost, gained = (sum(1 for r in p if p[r] > q[r]) for p, q in ((x, y), (y, x)))
+        both = min(lost, gained)
+        out += [(*place, "changed")] * both + [(*place, "missing")] * (lost - both) + [(*place, "extra")] * (gained - both)
+    return Counter(out)
+
+
+REPLICAS = {
+    "renumbered file": lambda r: (5 if r[0] == 2 else r[0], *r[1:]),
+    "swapped files": lambda r: ({1: 2, 2: 1}.get(r[0], r[0]), *r[1:]),
+    "gap and shift": lambda r: (r[0] + (r[0] > 2), *r[1:]),
+    "record lost its id": lambda r: (*r[:3], None, r[4]) if r[:2] == (1, 0) else r,
+    "shifted offsets": lambda r: (r[0], r[1] + (7 if r[0] == 3 else 0), *r[2:]),
+}
+
+
+@pytest.mark.parametrize("how", [*REPLICAS, "doubled record", "lost copies", "two at one place"])
+def test_audit_against_brute_force(spark, pages, how):
+    cols = ["file", "offset", "length", "record_id", "digest"]
+    good = fixity.records(pages, per_file=20).select(*cols)
+    a = [tuple(r) for r in good.collect()]
+    if how in REPLICAS:
+        b = [REPLICAS[how](r) for r in a]
+    elif how == "doubled record":
+        b = a + [a[7], a[7], a[30]]
+    elif how == "lost copies":
+        a, b = a + [a[7], a[7]], a
+    else:
+        b = a + [(*a[7][:2], 9, 9, "x"), (*a[7][:2], 8, None, "y")]
+    # columns that clash with names of the audit
+    frames = [spark.createDataFrame([(*r, "x", None) for r in rows],
+                                    "file long, offset long, length long, record_id long, digest string, leaf string, idx long")
+              .repartition(3) for rows in (a, b)]
+    got = fixity.audit(frames[0].select(*cols), frames[1].select(*cols)).select("file", "offset", "kind").collect()
+    want = brute_differences(a, b)
+    assert want and Counter(map(tuple, got)) == want
+
+
 def test_audit_of_equal_and_empty_replicas(pages):
     good = fixity.records(pages)
     assert fixity.audit(good, fixity.records(pages)).count() == 0
@@ -232,6 +277,68 @@ def test_arguments_and_lines(spark):
     assert json.loads(got[3]["line"])["arguments"] == "{bad" and json.loads(got[4]["line"])["arguments"] is None
 
 
+def nested(n):
+    return "[" * n + "]" * n
+
+
+@pytest.mark.parametrize("text,error", [
+    ("9" * 400, ""), ("9" * 5000, "$: number of too many digits"), ('"\\ud800"', ""), ('{"\\ud800": 1}', ""),
+    (nested(100), ""), (nested(101), "$: nested too deeply"), (nested(100_000), "$: nested too deeply"),
+    ("[" * 100_000, "$: nested too deeply"), ("NaN", "$: not JSON"), ("[-Infinity]", "$: not JSON"),
+    ("1e999", "$: number out of range"), ("-1e400", "$: number out of range"), ("1e3", ""), ("{", "$: not JSON"),
+    ("", "$: not JSON"), (None, "$: not JSON"), ("x" * 300_000, "$: not JSON"),
+])
+def test_odd_arguments(spark, text, error):
+    line, valid, errors = tool_chat._row("call", "c", "t", text, None, None, "{}")
+    assert (valid, errors) == (not error, error)
+    line.encode()
+    again = json.loads(line, parse_constant=lambda x: 1 / 0)
+    if not error and len(text) < 1000 and "9" not in text:
+        assert again["arguments"] == json.loads(text)
+    elif error:
+        assert again["arguments"] == text
+
+
+def test_odd_arguments_in_a_job(spark):
+    texts = ["9" * 400, '"\\ud800"', nested(100_000), "NaN", None, "{}"]
+    rows = [call(1, i, f"c{i}", arguments) for i, arguments in enumerate(texts)]
+    got = {r["call_id"]: (r["valid"], r["errors"]) for r in run_log(spark, rows)}
+    assert len(got) == len(texts) and got["c2"] == (False, "$: nested too deeply")
+
+
+@pytest.mark.parametrize("schema,good,bad", [
+    ({"const": 1}, [1, 1.0], [True, "1"]), ({"enum": [True, "a"]}, [True, "a"], [1, "b"]),
+    ({"pattern": "^a+$"}, ["aa", 5], ["ab"]), ({"minItems": 1, "maxItems": 2}, [[1], "x"], [[], [1, 2, 3]]),
+    ({"exclusiveMinimum": 0, "exclusiveMaximum": 5}, [1, 4.5], [0, 5]), ({"multipleOf": 3}, [6, 10**400 * 3], [7]),
+    ({"anyOf": [{"type": "string"}, {"minimum": 3}]}, ["x", 4], [2]), ({"oneOf": [{"minimum": 1}, {"maximum": 3}]}, [0, 9], [2]),
+    ({"allOf": [{"minimum": 1}, {"maximum": 3}]}, [2], [0, 4]), ({"not": {"type": "null"}}, [1], [None]),
+    ({"uniqueItems": True}, [[1, True]], [[1, 1.0]]), ({"type": ["integer", "null"]}, [None, 2.0, 10**400], [2.5, True]),
+    ({"additionalProperties": {"type": "string"}, "properties": {"n": {"type": "integer"}}}, [{"n": 1, "x": "y"}],
+     [{"n": "1"}, {"x": 1}]), ({"minProperties": 1, "maxProperties": 1}, [{"a": 1}], [{}, {"a": 1, "b": 2}]),
+])
+def test_schema_keywords(schema, good, bad):
+    assert not tool_chat.schema_faults(schema)
+    assert [x for x in good if tool_chat.schema_errors(x, schema)] == []
+    assert [x for x in bad if not tool_chat.schema_errors(x, schema)] == []
+
+
+@pytest.mark.parametrize("schema", [
+    '{"type": "strng"}', '{"minimun": 3}', '{"properties": {"a": {"type": 5}}}', '{"pattern": "("}', "[]", "{", "NaN",
+    '{"anyOf": []}', '{"items": 3}', '{"minLength": -1}', '{"multipleOf": 0}', '{"required": "a"}', '{"enum": 3}',
+])
+def test_unknown_schemas_are_refused(schema):
+    line, valid, errors = tool_chat._row("call", "c", "t", "{}", None, None, schema)
+    assert not valid and errors.startswith("schema")
+
+
+def test_least_schema_of_a_repeated_tool(spark):
+    log = [call(1, 0, "c")]
+    tools = [("add", '{"type": "array"}'), ("add", '{"type": "object"}'), ("add", None)] * 2
+    src = spark.createDataFrame(tools, "name string, schema string").repartition(4)
+    rows = tool_chat.format_log(spark.createDataFrame(log, LOG), src).collect()
+    assert [(r["valid"], r["errors"]) for r in rows] == [(False, "$: not array")]
+
+
 def test_empty_log(spark):
     assert run_log(spark, []) == []
     convs = spark.read.parquet(f"{SF}/conversations.parquet").limit(0)
@@ -279,7 +386,7 @@ def test_stages_take_edge_rows(spark, edge, empty):
 
 def test_queries_registered():
     names = entry.queries().keys()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(k.startswith(f"op{n}_") for k in names) == 1
     assert "pipeline" in names
     assert entry.oracle_sql().keys() <= names
