@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dwellrec.operators.ranking import dense_ids
+from dwellrec.session import materialize
 
 
 def build_user_index(interactions: DataFrame, key: str = "visitor_trace") -> DataFrame:
@@ -26,6 +27,27 @@ def build_user_index(interactions: DataFrame, key: str = "visitor_trace") -> Dat
                      F.col("_id").cast("int").alias("user"), "n_rows")
 
 
+def extend_user_index(index: DataFrame, interactions: DataFrame,
+                      key: str = "visitor_trace") -> DataFrame:
+    """``index`` (visitor_trace, user, n_rows) grown by the visitors of new
+    interactions: known visitors keep their ids (a model trained with them stays
+    valid) and add their new rows; new ones get the next ids in sort order.
+
+    Interactions are counted per visitor first (partial aggregates), so a hot
+    visitor is one row in the joins, and only the new keys are sorted."""
+    seen = interactions.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("visitor_trace")).agg(
+        F.count(F.lit(1)).alias("_more"))
+    seen = materialize(seen, "visitor-counts")
+    known = index.join(seen, "visitor_trace", "left").select(
+        "visitor_trace", "user", (F.col("n_rows") + F.coalesce("_more", F.lit(0))).alias("n_rows"))
+    start = index.agg(F.max("user")).first()[0]
+    fresh = dense_ids(seen.join(index.select("visitor_trace"), "visitor_trace", "left_anti"), "visitor_trace",
+                      "_id", [F.max("_more").alias("n_rows")])
+    first = 0 if start is None else int(start) + 1
+    return known.unionByName(fresh.select("visitor_trace", (F.col("_id") + F.lit(first)).cast("int").alias("user"),
+                                          "n_rows"))
+
+
 def hot_threshold(total_rows: int, partitions: int) -> int:
     """A key holding more rows than an average shuffle partition is hot.
     Fewer than ``partitions`` keys can exceed it, which bounds the hot set."""

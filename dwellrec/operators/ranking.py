@@ -68,23 +68,22 @@ def split_points(df: DataFrame, col: str, n_buckets: int = N_BUCKETS,
     """Approximate quantiles of ``col``, per value of the small INT column
     ``by`` (0 without one).
 
-    Any increasing values serve as split points, so the digests are small and
-    meet in as many groups as there are shuffle partitions, not in one task;
-    the groups' quantiles (groups x n_buckets numbers) are merged here."""
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    groups = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    Any increasing values serve as split points, so mergeable sketches of fixed
+    size do: one per task and key, merged in two levels (about the root of the
+    partition count in each), so no task merges them all and the driver receives
+    at most n_buckets - 1 numbers a key, whatever the partition count."""
+    probs = F.array(*[F.lit(i / n_buckets) for i in range(1, n_buckets)])
+    groups = math.isqrt(max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     key = F.col(by) if by else F.lit(0)
-    part = df.groupBy(key.alias("_k"), (F.spark_partition_id() % F.lit(groups)).alias("_g")).agg(
-        F.percentile_approx(F.col(col).cast("double"), probs, 2 * n_buckets).alias("q"))
-    found: dict[int, list[float]] = {}
-    for r in part.select("_k", "q").collect():
-        found.setdefault(r["_k"], []).extend(x for x in (r["q"] or []) if x is not None)
-    out = {}
-    for k, points in found.items():
-        points.sort()
-        step = max(1, len(points) // n_buckets)
-        out[k] = sorted(set(points[step // 2::step]))
-    return out
+    size = F.lit(min(65535, max(256, 4 * n_buckets)))
+    value = F.col(col).cast("double")
+    # the group is that of the task: Spark merges a task's rows before the shuffle
+    part = (df.where(value.isNotNull())
+            .groupBy(key.alias("_k"), (F.spark_partition_id() % F.lit(groups)).alias("_g"))
+            .agg(F.kll_sketch_agg_double(value, size).alias("s")))
+    met = part.groupBy("_k").agg(F.kll_merge_agg_double("s").alias("s"))
+    found = met.select("_k", F.kll_sketch_get_quantile_double("s", probs).alias("q")).collect()
+    return {r["_k"]: sorted({x for x in r["q"] or [] if x is not None}) for r in found}
 
 
 def bucketed(df: DataFrame, col: str, points: Sequence[float], out: str = "_b") -> DataFrame:

@@ -29,18 +29,21 @@ from dwellrec.operators import metrics as M
 from dwellrec.operators import model as als
 from dwellrec.operators.allpairs import top_n_all
 from dwellrec.operators.export import format_line, lines_from_ranked, sort_lists_ascending
+from dwellrec.operators.index import build_user_index, extend_user_index
 from dwellrec.operators.model import AlsParams
 from dwellrec.operators.negatives import NEG_SEED, sample_negatives
 from dwellrec.operators.score import dataset_stats, quintile_cuts
 from dwellrec.operators.split import SPLIT_SEED, hash_split, random_split
 from dwellrec.operators.topn import pair_scores, quantised_factors, top_n
 from dwellrec.plans import jobs as P
+from dwellrec.plans.crossval import FOLDS, cross_validate, fold_labels
 from dwellrec.plans.evaluate import evaluate_prepared, sweep_prepared
 from dwellrec.session import on_drop, scratch_path, track_materialized
 from dwellrec.sources.interactions import (
     clean,
     dropped_counts,
     from_tables,
+    input_fingerprint,
     read_table,
     read_tsv,
     shift_ratings,
@@ -286,6 +289,36 @@ def q_topn_rated_items(spark, sf_dir):
 NORM_STEPS = 5     # item norms of the stand-in factors vary, as popularity makes them
 
 
+CV_FOLDS = 3
+
+
+def q_cv_folds(spark, sf_dir):
+    return fold_labels(prepared(spark, sf_dir).scored, FOLDS)
+
+
+def q_als_cross_validated(spark, sf_dir):
+    """Two grid points over three folds: what does not depend on the model's floats."""
+    grid = [_eval_params(rank=5, max_iter=5), _eval_params(rank=8, max_iter=5)]
+    rows = cross_validate(prepared(spark, sf_dir), grid, CV_FOLDS)
+    chosen = rows.agg(F.count_if("chosen").alias("n")).select((F.col("n") == 1).alias("one_chosen"))
+    valid = F.col("auc_mean").between(0, 1) & (F.col("auc_se") >= 0) & F.col("f").between(0, 1)
+    return rows.select("rank", "max_iter", "folds", "rows", "negatives", valid.alias("valid"),
+                       F.lit(chosen.first()[0]).alias("one_chosen"))
+
+
+def q_user_index_extended(spark, sf_dir):
+    """The index of the even items' interactions by two thirds of the visitors,
+    grown by all others."""
+    rows = clean(from_tables(spark, sf_dir, PRICE))
+    number = F.regexp_extract("visitor_trace", "([0-9]+)$", 1).cast("bigint")
+    early = (number % 3 != 0) & (F.col("poi") % 2 == 0)
+    return extend_user_index(build_user_index(rows.where(early)), rows.where(~early))
+
+
+def q_input_fingerprint(spark, sf_dir):
+    return input_fingerprint(from_tables(spark, sf_dir, PRICE))
+
+
 def q_topn_all_users(spark, sf_dir):
     """The best of all catalogue items for every visitor, stand-in factors."""
     vectors = table(spark, sf_dir, "embeddings")
@@ -505,6 +538,10 @@ QUERIES = {
     "peek": q_peek,
     "topn_rated_items": q_topn_rated_items,
     "topn_all_users": q_topn_all_users,
+    "cv_folds": q_cv_folds,
+    "als_cross_validated": q_als_cross_validated,
+    "user_index_extended": q_user_index_extended,
+    "input_fingerprint": q_input_fingerprint,
     "recommendation_lines": q_recommendation_lines,
     "topn_lists_ascending": q_topn_lists_ascending,
     "holdout_random_split": q_holdout_random_split,

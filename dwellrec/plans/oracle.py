@@ -16,7 +16,8 @@ from dwellrec.functions.exprs import (
 )
 from dwellrec.operators.negatives import NEG_SEED
 from dwellrec.operators.split import SPLIT_SEED, split_label_sql
-from dwellrec.plans.catalog import HOT_VISITOR, NORM_STEPS, PRICE, QUANTITY, SHIFT
+from dwellrec.plans.crossval import FOLD_SEED, FOLDS
+from dwellrec.plans.catalog import CV_FOLDS, HOT_VISITOR, NORM_STEPS, PRICE, QUANTITY, SHIFT
 
 
 def _base(rating_col: str = PRICE, skewed: bool = False) -> str:
@@ -195,6 +196,26 @@ FROM sizes JOIN nsizes USING (split) JOIN weights USING (split) JOIN both_sides
 CROSS JOIN (VALUES {points}) g(rank, alpha)""")
 
 
+def _folds(folds: int) -> str:
+    return f""",
+ranked AS (
+  SELECT "user", item, row_number() OVER (PARTITION BY "user" ORDER BY {mix_sql('"user"', 'item', FOLD_SEED)}, item) - 1
+         + {mix_sql('"user"', str(folds), FOLD_SEED)} AS at
+  FROM (SELECT DISTINCT "user", item FROM scored)),
+folded AS (SELECT s.*, CAST(r.at % {folds} AS INTEGER) AS fold FROM scored s JOIN ranked r USING ("user", item))"""
+
+
+def _cross_validated_sql() -> str:
+    """Sizes of a cross-validation: negatives of a fold exclude all known items."""
+    negatives = _NEG.replace("p.split = d.split AND ", "")
+    return ("WITH" + _base() + _folds(CV_FOLDS) + """,
+labelled AS (SELECT "user", item, score, CAST(fold AS VARCHAR) AS split FROM folded)""" + negatives + f"""
+SELECT CAST(g.rank AS INTEGER) AS rank, CAST(5 AS INTEGER) AS max_iter, CAST({CV_FOLDS} AS INTEGER) AS folds,
+       (SELECT count(*) FROM scored) AS rows, (SELECT count(*) FROM negs) AS negatives,
+       true AS valid, true AS one_chosen
+FROM (VALUES (5), (8)) g(rank)""")
+
+
 def _grid_sql(users: str) -> str:
     return f"""
 SELECT "user", CAST(r AS INTEGER) AS rank, true AS in_order, true AS agrees
@@ -322,6 +343,19 @@ SELECT visitor_trace, "user", true AS same_user, true AS same_items,
 FROM user_index""",
         "topn_rated_items": W + base + _TOPN + '\nSELECT "user", rank, item, score FROM topn',
         "topn_all_users": W + base + _TOPN_ALL,
+        "cv_folds": W + base + _folds(FOLDS) + '\nSELECT "user", item, score, fold FROM folded',
+        "als_cross_validated": _cross_validated_sql(),
+        "user_index_extended": W + base + """,
+parts AS (SELECT *, CAST(regexp_extract(visitor_trace, '([0-9]+)$', 1) AS BIGINT) % 3 <> 0 AND poi % 2 = 0 AS early
+          FROM interactions),
+ends AS (SELECT visitor_trace, bool_or(early) AS old, count(*) AS n_rows FROM parts GROUP BY visitor_trace)
+SELECT visitor_trace, n_rows,
+       CAST(row_number() OVER (ORDER BY old DESC, visitor_trace) - 1 AS INTEGER) AS "user" FROM ends""",
+        "input_fingerprint": W + base + """,
+h AS (SELECT md5(concat_ws('|', visitor_trace, CAST(poi AS VARCHAR),
+             CAST(CAST(rating AS DECIMAL(28,9)) AS VARCHAR))) AS d FROM raw)
+SELECT count(*) AS rows, CAST(sum(CAST('0x' || substr(d, 1, 15) AS BIGINT)) AS VARCHAR) AS sum1,
+       CAST(sum(CAST('0x' || substr(d, 17, 15) AS BIGINT)) AS VARCHAR) AS sum2 FROM h""",
         "recommendation_lines": W + base + _TOPN + lines_select.format(order="t.rank"),
         "topn_lists_ascending": W + base + _TOPN + lines_select.format(order="t.score ASC, t.item ASC"),
     }

@@ -93,3 +93,19 @@ def read_tsv(spark: SparkSession, path: str) -> DataFrame:
 def shift_ratings(df: DataFrame, offset: float, col: str = "rating") -> DataFrame:
     """rating - offset (the legacy file path shifted dwell-time ratings)."""
     return df.withColumn(col, F.col(col) - F.lit(float(offset)))
+
+
+def input_fingerprint(interactions: DataFrame) -> DataFrame:
+    """One row (rows, sum1, sum2): the row count and the sums of two independent
+    60-bit hashes of the rows. It depends on the multiset of rows alone, not on
+    their order or partitions, so two reads of a source can be compared (a saved
+    model records the one it was trained on). Strengths count to nine decimals;
+    rows alike count each."""
+    parts = [F.col("visitor_trace"), F.col("poi").cast("string"),
+             F.col("rating").cast("decimal(28,9)").cast("string")]
+    text = F.concat_ws("|", *[F.coalesce(p, F.lit("\\N")) for p in parts])
+    digest = F.md5(text.cast("binary"))
+    sums = [F.coalesce(F.sum(F.conv(F.substring(digest, at, 15), 16, 10).cast("decimal(20,0)")),
+                       F.lit(0)).cast("decimal(38,0)").cast("string").alias(name)
+            for at, name in ((1, "sum1"), (17, "sum2"))]
+    return interactions.agg(F.count(F.lit(1)).alias("rows"), *sums)
