@@ -1,18 +1,21 @@
 """Line dedup by content-defined chunks (DataFrame functions only).
 
 A text's lines are hashed; a rolling hash over ``window`` line hashes ends a
-chunk wherever it is 0 modulo ``divisor``. Boundaries depend on the nearby
-lines alone, so a passage shared by two texts is cut alike in both, however
-far it is shifted. Chunks of two or more lines are the unit of removal.
-
-1. Digests of all multi-line chunks are counted (map-side first), with the
-   first occurrence of each: the least (doc_id, row key, position).
+chunk wherever it is not 0 modulo ``divisor``, so chunks are short. Boundaries
+depend on the nearby lines alone, so a passage shared by two texts is cut alike in
+both, however far it is shifted. The units that are counted and compared are
+every two adjacent chunks, and every chunk of two or more lines: a one-line chunk
+takes part with each of its neighbours. A chunk is removed if a unit with it stands
+at an earlier place.
+
+1. Digests of all units are counted (map-side first), with the first occurrence
+   of each: the least (doc_id, row key, position).
 2. The positions of repeated digests are joined to the texts (the only shuffle
    of texts), and the result is written.
-3. The bytes of every repeated chunk meet those of its first occurrence; a
-   chunk whose bytes differ (a digest collision) is taken off the list.
+3. The bytes of every repeated unit meet those of its first occurrence; a
+   unit whose bytes differ (a digest collision) is taken off the list.
 4. The texts are cut again by the same expression and put together without the
-   chunks on the list. The first occurrence always stays.
+   chunks of the units on the list. The first occurrence of a chunk always stays.
 
 A digest held by a third of all rows: its narrow count row is broadcast (fewer
 than ``partitions`` such digests exist), and its bytes are met over a salted
@@ -24,8 +27,8 @@ text whose chunks all go becomes empty; lines are split at \\n only, trailing
 empty ones included; an empty table gives an empty result; other columns are
 ignored by ``dedup_lines``. Texts are processed whole.
 
-Chunks miss repeats: one-line chunks are never candidates and the ends of a
-passage are cut together with its neighbours. ``dedup_passages`` asks of every
+At the ends of a passage a chunk may be cut together with its neighbours there and
+then stays (measured recall: README and tests). ``dedup_passages`` asks of every
 two adjacent lines whether they stand together earlier, so every line of every
 repeated run of two or more lines is found, wherever it starts and ends.
 """
@@ -39,7 +42,7 @@ from dwellrec.llm.common import as_text, join_groups, partitions, quoted, row_ke
 from dwellrec.session import materialize
 
 WINDOW = 2
-DIVISOR = 2
+DIVISOR = 16
 MIN_LINES = 2
 _BASE, _PRIME = 1000003, 2147483647
 
@@ -66,7 +69,7 @@ def chunked(rows: DataFrame, window: int = WINDOW, divisor: int = DIVISOR) -> Da
         shifted = F.slice(F.concat(gap, F.col("h")), F.lit(1), F.size("h"))
         roll = F.zip_with(roll, shifted, _add_scaled(power))
     rolled = hashed.select(*keep, "lines", roll.alias("r"))
-    cut = F.transform("r", lambda r, i: F.when(r % F.lit(divisor) == 0, i + 1).otherwise(0))
+    cut = F.transform("r", lambda r, i: F.when(r % F.lit(divisor) != 0, i + 1).otherwise(0))
     ends = rolled.select(*keep, "lines", F.array_union(
         F.filter(cut, lambda e: e > 0), F.array(F.size("lines"))).alias("ends"))
     starts = F.concat(F.array(F.lit(1)), F.transform("ends", lambda e: e + 1))
@@ -79,6 +82,27 @@ def chunked(rows: DataFrame, window: int = WINDOW, divisor: int = DIVISOR) -> Da
             F.array_join(F.slice("lines", x["s"], x["n"]), "\n").alias("body"))).alias("chunks"))
 
 
+def _units(min_lines: int) -> Column:
+    """The units of ``chunks``, at 2·pos the chunk with the next one and at 2·pos+1 the
+    chunk alone, null where there is none."""
+    after = F.concat(F.slice("chunks", F.lit(2), F.size("chunks")), F.array(F.lit(None)))
+
+    def unit(pos, n, body):
+        return F.struct(pos.alias("pos"), n.alias("n"), body.alias("body"))
+
+    return F.flatten(F.zip_with("chunks", after, lambda c, d: F.array(
+        F.when(d.isNotNull(), unit(c["pos"] * 2, c["n"] + d["n"], F.concat(c["body"], F.lit("\n"), d["body"]))),
+        F.when(c["n"] >= min_lines, unit(c["pos"] * 2 + 1, c["n"], c["body"])))))
+
+
+def _chunks_of(units: Column) -> Column:
+    """Positions of the chunks in some units, ascending."""
+    each = F.transform(units, lambda u: F.when(u % 2 == 0, F.array(F.lit(0), F.lit(1))).otherwise(
+        F.array(F.lit(0))))
+    both = F.zip_with(units, each, lambda u, add: F.transform(add, lambda x: (F.floor(u / 2) + x).cast("int")))
+    return F.array_sort(F.array_distinct(F.flatten(both)))
+
+
 def _aligned(entries: Column) -> Column:
     """(key, value) entries, ascending by key → an array with every value at its
     key and nulls between: merged with the chunks in one pass, where a lookup
@@ -90,11 +114,12 @@ def _aligned(entries: Column) -> Column:
 
 
 def _places(docs: DataFrame, min_lines: int, window: int, divisor: int) -> DataFrame:
-    """(digest, at) of every multi-line chunk."""
+    """(digest, at) of every unit."""
     # explode_outer: for explode, the optimizer would infer a filter on the
     # array's size and evaluate the whole cutting expression once more in it
-    one = chunked(docs, window, divisor).select("k", "doc_id", F.explode_outer("chunks").alias("c"))
-    return one.where(F.col("c.n") >= min_lines).select(
+    cut = chunked(docs, window, divisor).select("k", "doc_id", _units(min_lines).alias("units"))
+    one = cut.select("k", "doc_id", F.explode_outer("units").alias("c"))
+    return one.where(F.col("c.n") >= 2).select(
         F.unhex(F.md5("c.body")).alias("digest"),
         F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "k", F.col("c.pos").alias("pos")).alias("at"))
 
@@ -113,10 +138,11 @@ def _candidates(docs: DataFrame, min_lines: int, window: int, divisor: int) -> D
                        "chunk-candidates")
 
 
-def _unequal(joined: DataFrame, window: int, divisor: int) -> DataFrame:
-    """(k, wrong): positions whose bytes differ from the digest's first chunk."""
-    cut = chunked(joined.where("refs is not null"), window, divisor)
-    found = F.zip_with("chunks", _aligned(F.array_sort(F.map_entries("refs"))), lambda c, r: F.struct(
+def _unequal(joined: DataFrame, min_lines: int, window: int, divisor: int) -> DataFrame:
+    """(k, wrong): positions whose bytes differ from the digest's first unit."""
+    cut = chunked(joined.where("refs is not null"), window, divisor).select(
+        "k", "refs", _units(min_lines).alias("units"))
+    found = F.zip_with("units", _aligned(F.array_sort(F.map_entries("refs"))), lambda c, r: F.struct(
         c["pos"].alias("pos"), c["body"].alias("body"), r.alias("ref")))
     found = F.filter(found, lambda c: c["ref"].isNotNull())
     rows = cut.select("k", F.explode_outer(found).alias("c")).select(
@@ -141,12 +167,13 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                       as_text(text).alias("t"))
     candidates = _candidates(src, min_lines, window, divisor)
     joined = materialize(src.join(candidates, "k", "left"), "texts-with-candidates")
-    wrong = _unequal(joined.select("k", "doc_id", "t", "refs"), window, divisor)
+    wrong = _unequal(joined.select("k", "doc_id", "t", "refs"), min_lines, window, divisor)
     cut = chunked(joined.join(wrong, "k", "left"), window, divisor)
     others = F.map_keys(F.map_filter("refs", lambda k, v: ~v["is_first"]))
     none = F.array().cast("array<int>")
     gone = F.array_except(F.coalesce(others, none), F.coalesce("wrong", none))
-    parts = cut.select("doc_id", "n_lines", "chunks", gone.alias("gone"))
+    parts = cut.select("doc_id", "n_lines", "chunks", gone.alias("units")).select(
+        "doc_id", "n_lines", "chunks", _chunks_of(F.col("units")).alias("gone"))
     marks = F.transform(F.array_sort("gone"), lambda g: F.struct(g.alias("key"), F.lit(True).alias("value")))
     marked = F.zip_with("chunks", _aligned(marks), lambda c, g: F.struct(
         c["n"].alias("n"), c["body"].alias("body"), g.alias("gone")))
@@ -222,13 +249,18 @@ WITH s AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM {
 l AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM s),
 h AS (SELECT *, CAST('0x' || substr(md5(line), 1, 8) AS BIGINT) % {_PRIME} AS h FROM l),
 r AS (SELECT *, (h + {_BASE} * lag(h, 1, 0) OVER (PARTITION BY doc_id ORDER BY i)) % {_PRIME}
-             % {DIVISOR} = 0 AS cut FROM h),
+             % {DIVISOR} <> 0 AS cut FROM h),
 p AS (SELECT *, coalesce(sum(cut::INT) OVER (PARTITION BY doc_id ORDER BY i
              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos FROM r),
 c AS (SELECT doc_id, pos, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS body
       FROM p GROUP BY doc_id, pos),
-g AS (SELECT *, n >= {MIN_LINES} AND row_number() OVER (PARTITION BY body ORDER BY doc_id, pos) > 1
-             AS gone FROM c)
+u AS (SELECT doc_id, 2 * pos AS unit, pos, 2 AS chunks,
+             body || chr(10) || lead(body) OVER (PARTITION BY doc_id ORDER BY pos) AS body FROM c
+      UNION ALL SELECT doc_id, 2 * pos + 1, pos, 1, body FROM c WHERE n >= {MIN_LINES}),
+a AS (SELECT * FROM u WHERE body IS NOT NULL
+      QUALIFY row_number() OVER (PARTITION BY body ORDER BY doc_id, unit) > 1),
+x AS (SELECT DISTINCT doc_id, unnest(range(CAST(pos AS BIGINT), CAST(pos + chunks AS BIGINT))) AS pos FROM a),
+g AS (SELECT c.*, x.pos IS NOT NULL AS gone FROM c LEFT JOIN x ON x.doc_id = c.doc_id AND x.pos = c.pos)
 SELECT doc_id, CAST(sum(n) AS INTEGER) AS n_lines, CAST(count(*) AS INTEGER) AS n_chunks,
        CAST(count(*) FILTER (gone) AS INTEGER) AS removed_chunks,
        CAST(coalesce(sum(n) FILTER (gone), 0) AS INTEGER) AS removed_lines,
