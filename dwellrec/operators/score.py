@@ -59,3 +59,44 @@ def dataset_stats(scored: DataFrame, user: str = "user", item: str = "item",
     return scored.agg(F.count(F.lit(1)).alias("ratings"),
                       distinct(user).alias("users"),
                       distinct(item).alias("items"))
+
+
+def dataset_stats_by(scored: DataFrame, by: list[str], user: str = "user", item: str = "item") -> DataFrame:
+    """Exact distinct users and items per group of ``by``."""
+    return scored.groupBy(*by).agg(F.count_distinct(user).alias("users"), F.count_distinct(item).alias("items"))
+
+
+SKETCH_LG = 14          # 2^14 hashes a sketch: a relative error of 0.8 %
+
+
+def stats_sketches(scored: DataFrame, keys: list[str], user: str = "user", item: str = "item",
+                   lg: int = SKETCH_LG) -> DataFrame:
+    """One row per group of ``keys`` (a day, a file, a side, ...): rows and the
+    theta sketches of its users and items, at most 8·2^lg bytes each."""
+    return scored.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("ratings"), F.theta_sketch_agg(user, F.lit(lg)).alias("users"),
+        F.theta_sketch_agg(item, F.lit(lg)).alias("items"))
+
+
+def add_sketches(kept: DataFrame, fresh: DataFrame, keys: list[str]) -> DataFrame:
+    """``kept`` with the groups of ``fresh`` added; a group held already is
+    replaced, so that a batch read twice counts once."""
+    return kept.join(fresh.select(*keys), keys, "left_anti").unionByName(fresh)
+
+
+def stats_from_sketches(kept: DataFrame, by: list[str] | None = None, lg: int = SKETCH_LG) -> DataFrame:
+    """``dataset_stats`` of all groups together (or per ``by``): exact row counts,
+    estimated distinct users and items. Reads the sketches, never the ratings."""
+    return kept.groupBy(*(by or [])).agg(
+        F.sum("ratings").alias("ratings"),
+        *[F.theta_sketch_estimate(F.theta_union_agg(c, F.lit(lg))).alias(c) for c in ("users", "items")])
+
+
+def overlap_from_sketches(kept: DataFrame, side: str, a, b, lg: int = SKETCH_LG) -> DataFrame:
+    """One row: estimated users and items common to the groups with ``side`` = a
+    and those with ``side`` = b."""
+    def merged(value, c):
+        return F.theta_union_agg(F.when(F.col(side) == F.lit(value), F.col(c)), F.lit(lg))
+
+    return kept.agg(*[F.theta_sketch_estimate(F.theta_intersection(merged(a, c), merged(b, c))).alias(c)
+                      for c in ("users", "items")])

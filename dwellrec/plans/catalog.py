@@ -32,13 +32,21 @@ from dwellrec.operators.export import format_line, lines_from_ranked, sort_lists
 from dwellrec.operators.index import build_user_index, extend_user_index
 from dwellrec.operators.model import AlsParams
 from dwellrec.operators.negatives import NEG_SEED, sample_negatives
-from dwellrec.operators.score import dataset_stats, quintile_cuts
+from dwellrec.operators.score import (
+    add_sketches,
+    dataset_stats,
+    dataset_stats_by,
+    overlap_from_sketches,
+    quintile_cuts,
+    stats_from_sketches,
+    stats_sketches,
+)
 from dwellrec.operators.split import SPLIT_SEED, hash_split, random_split
 from dwellrec.operators.topn import pair_scores, quantised_factors, top_n
 from dwellrec.plans import jobs as P
 from dwellrec.plans.crossval import FOLDS, cross_validate, fold_labels
 from dwellrec.plans.evaluate import evaluate_prepared, sweep_prepared
-from dwellrec.session import on_drop, scratch_path, track_materialized
+from dwellrec.session import materialize, on_drop, scratch_path, track_materialized
 from dwellrec.sources.interactions import (
     clean,
     dropped_counts,
@@ -420,6 +428,27 @@ def q_dataset_stats_approx(spark, sf_dir):
         for a, e in (("u", "users"), ("i", "items"))])
 
 
+def q_dataset_stats_incremental(spark, sf_dir):
+    """Statistics per side from sketches of four item batches, the last added later
+    and one read twice, and the users common to both sides; each within its bound
+    of the exact count (the bound of a common count follows the union)."""
+    lab = labelled(spark, sf_dir).withColumn("batch", F.col("item") % 4)
+    keys = ["split", "batch"]
+    kept = materialize(stats_sketches(lab.where("batch < 3"), keys), "stats-sketches")
+    kept = materialize(add_sketches(kept, stats_sketches(lab.where("batch >= 2"), keys), keys),
+                       "stats-sketches")
+    found = stats_from_sketches(kept, ["split"]).toDF("split", "ratings", "u", "i")
+    common = overlap_from_sketches(kept, "split", "train", "test").first()["users"]
+    sides = lab.groupBy("user").agg(F.count_distinct("split").alias("s")).agg(
+        F.count_if(F.col("s") == 2).alias("common"), F.count("*").alias("all")).first()
+    exact = dataset_stats_by(lab, ["split"])
+    return found.join(exact, "split").select(
+        "split", "ratings", "users", "items",
+        *[(F.abs(F.col(a) - F.col(e)) <= F.col(e) * 0.04).alias(f"{e}_close") for a, e in (("u", "users"), ("i", "items"))],
+        F.lit(sides["common"]).cast("bigint").alias("common_users"),
+        F.lit(abs(common - sides["common"]) <= 0.04 * sides["all"]).alias("common_close"))
+
+
 def als_lines(spark, sf_dir) -> DataFrame:
     """The flagship job's result: top-10 lines of every visitor."""
     prep = prepared(spark, sf_dir)
@@ -545,6 +574,7 @@ QUERIES = {
     "topn_lists_ascending": q_topn_lists_ascending,
     "holdout_random_split": q_holdout_random_split,
     "dataset_stats_approx": q_dataset_stats_approx,
+    "dataset_stats_incremental": q_dataset_stats_incremental,
     "als_recommendation_lines": q_als_recommendation_lines,
     "als_pair_predictions": q_als_pair_predictions,
     "als_topn": q_als_topn,

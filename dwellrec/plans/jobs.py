@@ -29,7 +29,7 @@ from dwellrec.operators.export import lines_from_lists
 from dwellrec.operators.index import attach_user_ids, build_user_index, item_catalogue
 from dwellrec.operators.score import apply_scores, cut_values, quintile_cuts
 from dwellrec.session import materialize
-from dwellrec.sources.interactions import clean, shift_ratings
+from dwellrec.sources.interactions import clean, input_fingerprint, shift_ratings
 from dwellrec.sources.model_store import load_store, save_store
 
 
@@ -106,21 +106,33 @@ def prepare_ratings(ratings: DataFrame, bins: int | None = SCORE_BINS,
 
 def train(interactions: DataFrame, model_dir: str | None = None,
           params: als.AlsParams = als.AlsParams(), bins: int = SCORE_BINS,
-          mode: str = "errorifexists"):
-    """Fit on all scored ratings; save to ``model_dir`` when given.
-    Returns (model, Prepared)."""
+          mode: str = "errorifexists", record_input: bool = False):
+    """Fit on all scored ratings; save to ``model_dir`` when given, with the
+    input's fingerprint if ``record_input`` (one more pass over the input;
+    ``same_input`` checks it later). Returns (model, Prepared)."""
     prep = prepare(interactions, bins)
-    return fit_prepared(prep, model_dir, params, mode), prep
+    seen = input_fingerprint(interactions).first().asDict() if record_input else None
+    return fit_prepared(prep, model_dir, params, mode, seen), prep
+
+
+def same_input(meta: dict, interactions: DataFrame) -> bool:
+    """Whether ``interactions`` are the rows that a store's model was trained on
+    (``meta`` from ``load_store``)."""
+    if not meta.get("input"):
+        raise ValueError("the store records no input fingerprint")
+    return meta["input"] == input_fingerprint(interactions).first().asDict()
 
 
 def fit_prepared(prep: Prepared, model_dir: str | None = None,
-                 params: als.AlsParams = als.AlsParams(), mode: str = "errorifexists"):
+                 params: als.AlsParams = als.AlsParams(), mode: str = "errorifexists",
+                 seen: dict | None = None):
     """Fit on all scored ratings of ``prep``; when ``model_dir`` is given,
     save the store there and return the reloaded model (its factors are then
     files, not ALS lineage)."""
     model = als.fit(prep.scored, params)
     if model_dir:
-        save_store(model_dir, model, prep.user_index, params.as_dict(), prep.cuts, mode)
+        meta = params.as_dict() | ({"input": seen} if seen else {})
+        save_store(model_dir, model, prep.user_index, meta, prep.cuts, mode)
         model = load_store(prep.scored.sparkSession, model_dir)[0]
     return model
 
@@ -139,8 +151,9 @@ def recommendation_lists(model, user_index: DataFrame, n: int = TOP_N,
     index = user_index.select("user", "visitor_trace")
     if visitors is None:
         return als.recommend_all(model, n).join(index, "user")
-    some = index.join(visitors.select("visitor_trace").distinct(), "visitor_trace")
-    return als.recommend_subset(model, some, n).join(index, "user")
+    some = materialize(index.join(visitors.select("visitor_trace").distinct(), "visitor_trace"),
+                       "served-visitors")
+    return als.recommend_subset(model, als.near_ids(some), n).join(some, "user")
 
 
 def recommend_from_store(spark, model_dir: str, n: int = TOP_N,

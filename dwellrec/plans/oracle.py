@@ -324,6 +324,12 @@ FROM scored GROUP BY ALL""",
         "dataset_stats_approx": W + base + """
 SELECT COUNT(*) AS ratings, COUNT(DISTINCT "user") AS users, COUNT(DISTINCT item) AS items,
        true AS users_close, true AS items_close FROM scored""",
+        "dataset_stats_incremental": W + base + lab + """,
+sides AS (SELECT "user", count(DISTINCT split) AS s FROM labelled GROUP BY "user")
+SELECT split, count(*) AS ratings, count(DISTINCT "user") AS users, count(DISTINCT item) AS items,
+       true AS users_close, true AS items_close,
+       (SELECT count(*) FROM sides WHERE s = 2) AS common_users, true AS common_close
+FROM labelled GROUP BY split""",
         "als_recommendation_lines": W + base + f"""
 SELECT "user", visitor_trace, visitor_trace AS line_visitor,
        CAST(least({TOP_N}, (SELECT COUNT(DISTINCT item) FROM scored)) AS INTEGER) AS entries
