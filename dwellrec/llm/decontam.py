@@ -11,13 +11,16 @@ that count is the candidate test, and it loses no pair. Items larger than a docu
 hold are pruned by size.
 
 Documents are read once: a vectorised pass hashes every shingle of the whole
-text and keeps those that a fixed-size bit filter of the item shingles lets
-through, with their text. The sketch join on these gives candidates, and
-candidates are verified by the exact containment of shingle texts. Nothing is
-broadcast but the filter (``FILTER_BITS`` bits).
-
-Words are runs of letters and digits, lower-cased. A text of fewer than five
-words is one shingle. Defined results: null, empty or wordless texts match
+text and keeps those that a bit filter of the item shingles lets through, with
+their text. The sketch join on these gives candidates, and candidates are
+verified by the exact containment of shingle texts. Nothing is broadcast but
+the filter: ``FILTER_SLOTS`` bits an item shingle, ``MAX_FILTER_BITS`` at most
+(a fuller filter lets more through, and loses nothing).
+
+Words are runs of letters and digits, lower-cased. An item of fewer than five
+words is one shingle of all its words; documents are searched for shingles of
+those lengths too, where items have them, so a short item is found wherever
+its words stand in a row. Defined results: null, empty or wordless texts match
 nothing; rows alike in id and text are one document; rows with equal id and
 different texts are separate documents (the best containment is reported); equal items
 are reported each; empty tables give an empty result; other columns are
@@ -40,7 +43,8 @@ from dwellrec.session import materialize
 
 WIDTH = 5
 THRESHOLD = 0.8
-FILTER_BITS = 1 << 24
+FILTER_SLOTS = 32
+MIN_FILTER_BITS, MAX_FILTER_BITS = 1 << 20, 1 << 28
 _WORD = re.compile(r"[^\W_]+")
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
@@ -61,12 +65,14 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def shingle_codes(words: list[str], cache: dict) -> np.ndarray:
-    """64-bit code of every shingle, in order (one for a short text)."""
-    if not words:
+def word_codes(words: list[str], cache: dict) -> np.ndarray:
+    return np.fromiter(map(cache.__getitem__, words), dtype=np.uint64, count=len(words))
+
+
+def shingle_codes(h: np.ndarray, width: int) -> np.ndarray:
+    """64-bit code of every shingle of ``width`` words, in order, from the words' codes."""
+    if len(h) < width:
         return np.empty(0, dtype=np.uint64)
-    h = np.fromiter(map(cache.__getitem__, words), dtype=np.uint64, count=len(words))
-    width = min(WIDTH, len(words))
     n = len(h) - width + 1
     code = np.full(n, np.uint64(width), dtype=np.uint64)
     for i in range(width):
@@ -76,38 +82,41 @@ def shingle_codes(words: list[str], cache: dict) -> np.ndarray:
     return code ^ (code >> np.uint64(29))
 
 
-def _shingle_text(words: list[str], at: int) -> str:
-    return " ".join(words[at:at + WIDTH])
+def _shingle_text(words: list[str], at: int, width: int) -> str:
+    return " ".join(words[at:at + width])
 
 
 def item_shingles(items: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
-    """Distinct shingles of every item: (item, shingle, code, n, rank); rank is
-    the 0-based order of the code within the item (a bottom-k sketch is rank < k)."""
+    """Distinct shingles of every item: (item, shingle, code, width, n, rank); width
+    is their number of words, rank the 0-based order of the code within the item
+    (a bottom-k sketch is rank < k)."""
     t = as_text(text)
     src = items.select(F.struct(quoted(item_id).alias("id"), F.xxhash64(t).alias("tk")).alias("item"),
                        t.alias("t"))
-    schema = "item struct<id: {}, tk: bigint>, shingle string, code long, n int, rank int".format(
+    schema = "item struct<id: {}, tk: bigint>, shingle string, code long, width int, n int, rank int".format(
         src.schema["item"].dataType["id"].dataType.simpleString())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = _WordHashes()
         for b in batches:
-            at, text_out, code_out, n_out, rank_out = [], [], [], [], []
+            at, text_out, code_out, width_out, n_out, rank_out = [], [], [], [], [], []
             for i, t in enumerate(b.column(1).to_pylist()):
                 words = words_of(t)
-                codes = shingle_codes(words, cache)
-                found = {_shingle_text(words, j): int(c) for j, c in enumerate(codes.tolist())}
+                width = min(WIDTH, len(words))
+                codes = shingle_codes(word_codes(words, cache), width) if words else np.empty(0, np.uint64)
+                found = {_shingle_text(words, j, width): c for j, c in enumerate(codes.tolist())}
                 for r, (s, c) in enumerate(sorted(found.items(), key=lambda x: (x[1], x[0]))):
                     at.append(i)
                     text_out.append(s)
                     code_out.append(c)
+                    width_out.append(width)
                     n_out.append(len(found))
                     rank_out.append(r)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).take(pa.array(at, pa.int64())), pa.array(text_out, pa.string()),
                  pa.array(np.array(code_out, dtype=np.uint64).view(np.int64), pa.int64()),
-                 pa.array(n_out, pa.int32()), pa.array(rank_out, pa.int32())],
-                names=["item", "shingle", "code", "n", "rank"])
+                 pa.array(width_out, pa.int32()), pa.array(n_out, pa.int32()), pa.array(rank_out, pa.int32())],
+                names=["item", "shingle", "code", "width", "n", "rank"])
 
     return src.distinct().mapInArrow(run, schema)
 
@@ -121,8 +130,14 @@ def size_partition(n, threshold: float = THRESHOLD):
             F.least(n, (F.floor(slack * upper) + 1).cast("int")))
 
 
-def shingle_filter(codes: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
+def filter_bits(n: int) -> int:
+    """Size of the filter for ``n`` shingles, a power of two."""
+    return min(MAX_FILTER_BITS, max(MIN_FILTER_BITS, 1 << (n * FILTER_SLOTS - 1).bit_length()))
+
+
+def shingle_filter(codes: DataFrame, bits: int | None = None) -> np.ndarray:
     """Bit filter of the codes; at most bits/64 words reach the driver."""
+    bits = bits or filter_bits(codes.count())
     slot = f"shiftrightunsigned(code, {65 - bits.bit_length()})"
     words = codes.groupBy(F.expr(f"shiftright({slot}, 6)").alias("w")).agg(
         F.bit_or(F.expr(f"shiftleft(1L, cast({slot} & 63 as int))")).alias("m"))
@@ -133,9 +148,10 @@ def shingle_filter(codes: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
 
 
 def shingle_hits(docs: DataFrame, bitmap: np.ndarray, doc_id: str = "doc_id",
-                 text: str = "text") -> DataFrame:
-    """(doc, n_doc, shingle): the distinct shingles of every text that pass the
-    filter; doc is struct(id, tk) with tk a hash of the text."""
+                 text: str = "text", widths: tuple[int, ...] = (WIDTH,)) -> DataFrame:
+    """(doc, n_doc, shingle): the distinct shingles of ``widths`` words of every
+    text that pass the filter; doc is struct(id, tk) with tk a hash of the text,
+    n_doc the number of its shingles of five words (1 for a shorter text)."""
     spark = docs.sparkSession
     t = as_text(text)
     src = docs.select(F.struct(quoted(doc_id).alias("id"), F.xxhash64(t).alias("tk")).alias("doc"),
@@ -151,13 +167,14 @@ def shingle_hits(docs: DataFrame, bitmap: np.ndarray, doc_id: str = "doc_id",
             at, sizes, found = [], [], []
             for i, t in enumerate(b.column(1).to_pylist()):
                 words = words_of(t)
-                codes = shingle_codes(words, cache)
-                slot = codes >> shift
-                hit = (bits[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1)
-                where = np.flatnonzero(hit)
-                if len(where):
-                    n = len(np.unique(codes))
-                    texts = {_shingle_text(words, j) for j in where.tolist()}
+                h, texts = word_codes(words, cache), set()
+                for width in widths:
+                    codes = shingle_codes(h, width)
+                    slot = codes >> shift
+                    hit = (bits[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1)
+                    texts.update(_shingle_text(words, j, width) for j in np.flatnonzero(hit).tolist())
+                if texts:
+                    n = max(1, len(np.unique(shingle_codes(h, WIDTH))))
                     at += [i] * len(texts)
                     sizes += [n] * len(texts)
                     found += texts
@@ -174,7 +191,8 @@ def matches(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD,
     """(doc, item, n, matched): verified pairs, n the item's shingles and
     matched those found in the document."""
     grams = materialize(item_shingles(items, item_id, item_text), "item-shingles")
-    hits = materialize(shingle_hits(docs, shingle_filter(grams.select("code")), doc_id, text)
+    widths = tuple(sorted(r[0] for r in grams.select("width").distinct().collect()))   # five at most
+    hits = materialize(shingle_hits(docs, shingle_filter(grams.select("code")), doc_id, text, widths)
                        .distinct(), "shingle-hits")
     misses, k = size_partition(F.col("n"), threshold)
     sketch = (grams.withColumn("misses", misses).withColumn("k", k).where("rank < k")
