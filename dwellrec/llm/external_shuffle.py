@@ -9,8 +9,12 @@ random permutation of the table; shards are equal consecutive pieces of it.
 Law ``rows``: with N rows and S shards, position p lies in shard ⌊p·S/N⌋, so
 counts differ by at most one; slots are gapless from 0.
 
-The same rows and seed give the same permutation on any cluster. Only one
-count per bucket reaches the driver.
+The same rows and seed give the same permutation on any cluster. Bucket
+offsets are a table (16 bytes a bucket, a millionth of the input): totals of
+blocks of buckets and running counts inside them, joined to the rows by bucket.
+Spark broadcasts it while it is below the session's threshold and sorts beyond.
+The driver receives the number of rows and of bytes. Bucket sizes count whole
+rows, text and other columns.
 
 Defined results: null ids or texts are hashed as nulls (size 1 for a null
 text); copies with different ids spread over the buckets; rows alike in id and
@@ -22,16 +26,15 @@ the name.
 
 from __future__ import annotations
 
-import json
 import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dwellrec.llm.common import as_text, fresh, quoted
+from dwellrec.llm.common import fresh, quoted
 from dwellrec.session import materialize
 
 SHUFFLE_SEED = 20240229
@@ -48,15 +51,54 @@ def fisher_yates(n: int, seed: int, bucket: int) -> np.ndarray:
     return np.array(order, dtype=np.int64)
 
 
+def row_bytes(docs: DataFrame):
+    """Size of a whole row: bytes of texts and binaries, of other nested values
+    their JSON's, 8 of each other value, and 64 for the row itself."""
+    size = F.lit(64)
+    for f in docs.schema.fields:
+        c = quoted(f.name)
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            size = size + F.coalesce(F.octet_length(c), F.lit(0))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
+        else:
+            size = size + F.lit(8)
+    return size.cast("bigint")
+
+
+def bucket_offsets(counts: DataFrame, bucket: str, block: int = 4096) -> DataFrame:
+    """(bucket, _start): rows in all buckets before, from (bucket, count). Blocks of
+    buckets are summed first and their running totals taken by a join of each
+    block with those of lower number in its own and lower blocks of blocks, so
+    no window holds all buckets."""
+    b = F.col(bucket)
+    first = counts.select(bucket, "count", F.expr(f"`{bucket}` div {block}").alias("_k1"),
+                          F.expr(f"`{bucket}` div {block * block}").alias("_k2"))
+    inner = first.withColumn("_in", F.sum("count").over(
+        Window.partitionBy("_k1").orderBy(b).rowsBetween(Window.unboundedPreceding, -1)))
+    blocks = first.groupBy("_k2", "_k1").agg(F.sum("count").alias("_n")).withColumn("_mid", F.sum("_n").over(
+        Window.partitionBy("_k2").orderBy("_k1").rowsBetween(Window.unboundedPreceding, -1)))
+    tops = blocks.groupBy("_k2").agg(F.sum("_n").alias("_n"))
+    # one row for each 2^24 buckets (256 TB): a handful, so all its prefixes are as few
+    before = tops.groupBy().agg(F.sort_array(F.collect_list(F.struct("_k2", "_n"))).alias("_all")).select(
+        F.explode(F.expr("transform(_all, (x, i) -> struct(x._k2 as k, "
+                         "aggregate(slice(_all, 1, i), 0L, (a, y) -> a + y._n) as n))")).alias("t"))
+    before = before.select(F.col("t.k").alias("_k2"), F.col("t.n").alias("_high"))
+    zero = F.lit(0)
+    return (inner.join(blocks.select("_k2", "_k1", "_mid").join(before, "_k2").drop("_k2"), "_k1")
+            .select(bucket, (F.col("_high") + F.coalesce("_mid", zero) + F.coalesce("_in", zero)).alias("_start")))
+
+
 def shuffled_buckets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                      seed: int = SHUFFLE_SEED, bucket_bytes: int = BUCKET_BYTES):
     """(written table of all columns + bucket + position in bucket, names of
     the two added columns)."""
     b, h, s, n, many_of = (fresh(docs, c) for c in ("_bucket", "_hash", "_pos", "_number", "_spread"))
+    size = row_bytes(docs)
     hashed = docs.withColumn(h, F.xxhash64(F.lit(seed), quoted(doc_id), F.lit(1), quoted(text)))
     hashed = hashed.withColumn(n, F.monotonically_increasing_id())    # used by rows alike only
     alike = materialize(hashed.groupBy(h).agg(
-        F.sum(F.octet_length(as_text(text)) + 64).alias("_bytes")), "row-hashes")
+        F.sum(size).alias("_bytes")), "row-hashes")
     total = alike.agg(F.sum("_bytes")).first()[0] or 0
     n_buckets = max(1, math.ceil(total / bucket_bytes))
     # rows alike that would overfill a bucket (fewer than n_buckets hashes)
@@ -86,20 +128,18 @@ def shard(docs: DataFrame, n_shards: int = 16, doc_id: str = "doc_id", text: str
           seed: int = SHUFFLE_SEED, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """All columns of ``docs`` + shard INT + slot BIGINT, under law ``rows``."""
     written, b, s = shuffled_buckets(docs, doc_id, text, seed, bucket_bytes)
-    counts = {r[0]: r[1] for r in written.groupBy(b).count().collect()}
-    starts, n = [], 0
-    for k in range(max(counts, default=-1) + 1):
-        starts.append(n)
-        n += counts.get(k, 0)
-    start = F.element_at(F.from_json(F.lit(json.dumps(starts or [0])), "array<bigint>"),
-                         (F.col(b) + 1).cast("int"))
+    counts = materialize(written.groupBy(b).count(), "bucket-counts")
+    n = counts.agg(F.sum("count")).first()[0] or 0
+    starts = materialize(bucket_offsets(counts, b), "bucket-offsets")
+    st = fresh(written, "_start")
+    written = written.join(starts.withColumnRenamed("_start", st), b)
     p, sh, sl = (fresh(written, c) for c in ("_at", "shard", "slot"))
-    placed = written.withColumn(p, start + F.col(s))
+    placed = written.withColumn(p, F.col(st) + F.col(s))
     placed = placed.withColumn(sh, F.expr(f"cast(`{p}` * {int(n_shards)} div {max(1, n)} as int)"))
     # the first position of a shard is the least p with p·S/N >= shard
     first = F.expr(
         f"(cast(`{sh}` as bigint) * {max(1, n)} + {int(n_shards) - 1}) div {int(n_shards)}")
-    return placed.withColumn(sl, F.col(p) - first).drop(b, s, p)
+    return placed.withColumn(sl, F.col(p) - first).drop(b, s, p, st)
 
 
 def write_shards(sharded: DataFrame, path: str, shard_col: str = "shard",
