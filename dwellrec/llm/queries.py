@@ -67,7 +67,7 @@ def op5_quality(spark, sf_dir):
 def op6_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = ecoc_langid.fit(ecoc_langid.learnable(docs))
-    found, (lang, score, ambiguous) = ecoc_langid.identify(docs.select("doc_id", "text"), model)
+    found, (lang, score, ambiguous, _) = ecoc_langid.identify(docs.select("doc_id", "text"), model)
     return found.select("doc_id", _fold(4, 2).alias("held_out"), F.col(lang).alias("lang_pred"),
                         F.col(score).alias("score"), F.col(ambiguous).alias("ambiguous"))
 
@@ -129,10 +129,11 @@ WITH words AS (
   SELECT 'd' AS side, doc_id AS id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents
   UNION ALL
   SELECT 'i', item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') FROM benchmark),
+widths AS (SELECT DISTINCT least(len(w), 5) AS k FROM words WHERE side = 'i' AND len(w) > 0),
 every AS (
   SELECT side, id, unnest(list_transform(
-    range(1, greatest(len(w) - 4, 1) + 1), lambda x: array_to_string(w[x:x + 4], ' '))) AS g
-  FROM words WHERE len(w) > 0),
+    range(1, len(w) - k + 2), lambda x: array_to_string(w[x:x + k - 1], ' '))) AS g
+  FROM words JOIN widths ON len(w) >= k AND (side = 'd' OR k = least(len(w), 5))),
 wanted AS (SELECT DISTINCT g FROM every WHERE side = 'i'),
 grams AS (SELECT DISTINCT side, id, g FROM every SEMI JOIN wanted USING (g)),
 n AS (SELECT id, count(*) AS n FROM grams WHERE side = 'i' GROUP BY id),

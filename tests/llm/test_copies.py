@@ -357,7 +357,7 @@ def test_shuffle_brute_force(spark):
     f = external_shuffle.F
     h = {r[0]: r[1] for r in docs.select("doc_id", f.xxhash64(
         f.lit(external_shuffle.SHUFFLE_SEED), "doc_id", f.lit(1), "text")).collect()}
-    n_buckets = -(-sum(i % 9 + 64 for i in range(300)) // 2000)
+    n_buckets = -(-sum(i % 9 + 64 + 8 for i in range(300)) // 2000)     # text, row, id
     order = []
     for b in range(n_buckets):
         ids = sorted((i for i in h if h[i] % n_buckets == b), key=lambda i: (h[i], i))
@@ -371,6 +371,25 @@ def test_shuffle_brute_force(spark):
     assert sorted(got) == sorted(want)
 
 
+@pytest.mark.parametrize("block", [1, 2, 5, 4096])
+def test_bucket_offsets(spark, block):
+    counts = {b: (b * 7) % 5 + 1 for b in range(60) if b % 11 != 3}
+    df = spark.createDataFrame(list(counts.items()), "b long, count long").repartition(4)
+    got = {r["b"]: r["_start"] for r in external_shuffle.bucket_offsets(df, "b", block).collect()}
+    assert got == {b: sum(n for k, n in counts.items() if k < b) for b in counts}
+    assert external_shuffle.bucket_offsets(df.limit(0), "b", block).count() == 0
+
+
+def test_wide_columns_count_in_bucket_sizes(spark):
+    docs = spark.range(200).selectExpr("id as doc_id", "'t' as text", "repeat('w', 1000) as html",
+                                       "array(1.5D, 2D) as v", "id % 2 = 0 as flag").repartition(3)
+    written, b, _ = external_shuffle.shuffled_buckets(docs, bucket_bytes=20_000)
+    sizes = [r["count"] * 1100 for r in written.groupBy(b).count().collect()]
+    assert len(sizes) >= 10 and max(sizes) < 60_000                     # about 20,000 each, by hash
+    out = external_shuffle.shard(docs, 3, bucket_bytes=20_000)
+    assert out.columns == [*docs.columns, "shard", "slot"] and out.select("doc_id").distinct().count() == 200
+
+
 def test_fisher_yates():
     p = external_shuffle.fisher_yates(1000, 1, 2)
     assert sorted(p) == list(range(1000)) and list(p) != list(range(1000))

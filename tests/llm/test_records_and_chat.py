@@ -1,6 +1,7 @@
 """Fixity audit, tool chats, the pipeline and the registered queries."""
 import hashlib
 import json
+import math
 import os
 import subprocess
 import sys
@@ -13,7 +14,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_data import edge, empty, prose, rows_of  # noqa: F401  (fixtures)
 from test_copies import brute_components
-from test_text_models import brute_contaminated, brute_pack
+from test_text_models import brute_contaminated, brute_decode, brute_pack
 
 import __spark_entry__ as entry
 from dwellrec.llm import ecoc_langid, fixity, tool_chat
@@ -363,7 +364,8 @@ def brute_pipeline(rows, bench):
 def test_pipeline_against_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     bench = rows_of(spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text"))
-    rows = [(r["doc_id"], r["text"]) for r in docs.collect() if any(c.isalpha() for c in r["text"] or "")]
+    model = ecoc_langid.fit(ecoc_langid.learnable(docs).select("doc_id", "text", "lang"))
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect() if brute_decode(model, r["text"])[2] <= math.log(2) / 2]
     got = corpus_pipeline.run(spark, SF)
     assert sorted(rows_of(got)) == brute_pipeline(rows, bench)
     assert got.count() < docs.count()

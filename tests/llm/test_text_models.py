@@ -1,11 +1,14 @@
 """Quality field, language codes, decontamination, packing."""
 import itertools
+import math
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from llm_data import edge, empty, prose, rows_of  # noqa: F401  (fixtures)
 from pyspark.sql import functions as F
 
@@ -15,6 +18,7 @@ from dwellrec.llm import ecoc_langid as ecoc
 from dwellrec.llm import queries as Q
 
 SF = "/root/testdata/sf0.01"
+SMALL = "/root/testdata/sf0.001"
 
 
 # --- quality -----------------------------------------------------------------
@@ -106,6 +110,76 @@ def test_decoding_corrects_a_wrong_bit():
     assert model.decode("t")[2]                        # nothing to choose by
 
 
+def brute_grams(text):
+    """Numbers of the 1- to 3-grams of a text, one position after the other."""
+    v = [ord(c) if c.isalpha() else 32 for c in f" {(text or '').lower()} "]
+    out, m, a, b, c, d = [], 1 << 32, 2654435761, 2246822519, 3266489917, 668265263
+    for i, x in enumerate(v if set(v) != {32} else []):
+        y, z = v[i + 1] if i + 1 < len(v) else None, v[i + 2] if i + 2 < len(v) else None
+        if x != 32:
+            out.append((x * a + 97) * b % m >> 18)
+        if y is not None and (x != 32 or y != 32):
+            out.append((x * a + y) * c % m >> 18)
+        if z is not None and y != 32:
+            out.append(((x * a + y) * b + z) * d % m >> 18)
+    return out
+
+
+def brute_decode(model, text):
+    """(language, score, loss a unit of weight of its codeword) from the model's numbers."""
+    grams = brute_grams(text)
+    if not grams or not model.langs:
+        return "und", 0.0, math.inf
+    if len(model.langs) == 1:
+        return model.langs[0], 1.0, 0.0
+    loss = []
+    z = [s * sum(float(model.odds[g, k]) for g in grams) / len(grams) + o
+         for k, (s, o) in enumerate(zip(model.slope, model.offset))]
+    for word in model.code:
+        loss.append(sum(w * math.log1p(math.exp(-bit * x)) for bit, x, w in zip(word, z, model.weight)))
+    best = loss.index(min(loss))
+    return (model.langs[best], 1 / sum(math.exp(loss[best] - x) for x in loss), loss[best] / sum(model.weight))
+
+
+def test_language_brute_force(spark):
+    """The query's rows from n-grams counted, and texts decoded, in plain Python."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "lang")
+    rows = [r for r in docs.collect() if len(r["text"] or "") < 20_000]
+    model = ecoc.fit(ecoc.learnable(docs))
+    learn = [r for r in docs.collect() if zlib.crc32(str(r["doc_id"]).encode()) % 4 != 2 and r["lang"]]
+    key = {r["doc_id"]: xxhash.xxh64_intdigest(r["doc_id"].to_bytes(8, "little"), 42) % (1 << 30) for r in learn}
+    counts = {k: Counter() for k in model.langs}
+    for lang in model.langs:
+        mine = sorted((r for r in learn if r["lang"] == lang), key=lambda r: (key[r["doc_id"]], r["doc_id"]))
+        for r in mine[0::2]:
+            counts[lang].update(brute_grams(r["text"]))
+    share = np.array([[counts[k][g] / max(1, sum(counts[k].values())) for g in range(1 << 14)] for k in model.langs])
+    for bit in range(model.code.shape[1]):
+        p, q = (share[model.code[:, bit] == side].mean(axis=0) + 1e-6 for side in (1, -1))
+        assert np.allclose(model.odds[:, bit], np.log(p / p.sum()) - np.log(q / q.sum()), atol=1e-4)
+    got = {r["doc_id"]: r for r in Q.op6_language_id(spark, SMALL).collect()}
+    assert len(got) == docs.count()
+    for r in rows:
+        lang, score, _ = brute_decode(model, r["text"])
+        mine = got[r["doc_id"]]
+        assert mine["lang_pred"] == lang and abs(mine["score"] - score) < 1e-3
+        assert mine["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2)
+
+
+def test_rejection(spark):
+    """Texts in no learned language go; of texts never learned from, at least 0.99 stay."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rng = random.Random(2)
+    odd = [(-k, "".join(chr(rng.randrange(0x4e00, 0x9fa5)) for _ in range(400)), None) for k in range(1, 21)]
+    odd += [(-50, "12 34 !!", None), (-51, "", None), (-52, None, None)]
+    mixed = docs.select("doc_id", "text", "lang").unionByName(
+        spark.createDataFrame(odd, "doc_id long, text string, lang string"))
+    kept = {r["doc_id"] for r in ecoc.keep_identified(mixed).select("doc_id").collect()}
+    held = [r["doc_id"] for r in docs.select("doc_id").collect() if zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2]
+    assert len(held) > 200 and sum(d in kept for d in held) / len(held) >= 0.99
+    assert not [d for d in kept if d < 0]
+
+
 def test_held_out_language(spark):
     got = Q.op6_language_id(spark, SF).join(
         spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang"), "doc_id")
@@ -119,14 +193,15 @@ def test_language_edges(spark, edge, empty):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
     model = ecoc.fit(docs.limit(300), per_lang=40)
     out, names = ecoc.identify(edge, model)
-    assert names == ["_lang_pred", "lang_score", "lang_ambiguous"]      # the table has lang_pred
+    assert names == ["_lang_pred", "lang_score", "lang_ambiguous", "lang_loss"]      # the table has lang_pred
     for r in out.collect():
         has = any(c.isalpha() for c in r["text"] or "")
         assert (r[names[0]] != "und") == has and 0 <= r[names[1]] <= 1
     kept = ecoc.keep_identified(edge)
     assert kept.columns == edge.columns
+    own = ecoc.fit(ecoc.learnable(edge).select("doc_id", "text", "lang"))
     assert Counter(r["text"] for r in kept.collect()) == Counter(
-        r["text"] for r in edge.collect() if any(c.isalpha() for c in r["text"] or ""))
+        r["text"] for r in edge.collect() if brute_decode(own, r["text"])[2] <= math.log(2) / 2)
     assert ecoc.keep_identified(empty).count() == 0
     assert ecoc.identify(empty, model)[0].count() == 0
     one = ecoc.fit(docs.where("lang = 'en'"))
@@ -153,22 +228,42 @@ def test_nothing_learned_keeps_texts_with_letters(spark):
     assert sorted(r["text"] for r in ecoc.keep_identified(docs).collect()) == ["hello there", "ja"]
 
 
-def brute_shingles(text):
+def brute_shingles(text, k=None):
+    """k-word shingles; without k those of an item: five words, or all of a shorter one."""
     w = re.findall(r"[^\W_]+", (text or "").lower())
-    return {" ".join(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+    k = k or min(5, len(w))
+    return {" ".join(w[i:i + k]) for i in range(len(w) - k + 1)} if w else set()
 
 
 def brute_contaminated(docs, items):
     out = []
     for d, t in docs:
-        ds = brute_shingles(t)
         for i, it in items:
             its = brute_shingles(it)
+            ds = brute_shingles(t, len(min(its).split())) if its else set()
             if its and len(ds & its) >= (0.8 - 1e-9) * len(its):
                 out.append((d, i, len(its), len(ds & its), len(ds & its) / len(its)))
     return sorted(out)
 
 
+def test_short_items_in_long_documents(spark):
+    docs = [(1, "Alpha beta, gamma delta! " + prose(10, 1)), (2, prose(3000, 2) + " alpha beta gamma delta"),
+            (3, "alpha beta gamma"), (4, "beta alpha gamma delta " + prose(9, 3)), (5, "gamma Delta"), (6, "delta"),
+            (7, "alpha beta gamma delta"), (8, prose(40, 4)), (9, None), (10, "")]
+    items = [(1, "alpha beta gamma delta"), (2, "gamma delta"), (3, "Delta"), (4, "alpha  beta gamma"), (5, prose(30, 4))]
+    got = decontam.contaminated(spark.createDataFrame(docs, "doc_id long, text string"),
+                                spark.createDataFrame(items, "item_id long, text string"))
+    want = brute_contaminated(docs, items)
+    assert sorted(rows_of(got)) == want
+    assert [x[:2] for x in want if x[1] == 1] == [(1, 1), (2, 1), (7, 1)] and (3, 4) in [x[:2] for x in want]
+
+
+def test_filter_follows_the_items():
+    assert decontam.filter_bits(0) == decontam.filter_bits(1000) == decontam.MIN_FILTER_BITS
+    assert 32 * 10**6 <= decontam.filter_bits(10**6) < 64 * 10**6
+    assert decontam.filter_bits(10**12) == decontam.MAX_FILTER_BITS
+
+
 def test_decontamination(spark, empty):
     rng = random.Random(4)
     items = [(i, prose(rng.randrange(3, 60), 900 + i)) for i in range(25)] + [(90, None), (91, ""), (92, "Solo")]
