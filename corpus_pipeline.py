@@ -4,7 +4,7 @@ Stages take (spark, docs, sf_dir) and return a DataFrame; between stages it is
 written as Parquet to the shared checkpoint folder and read again. All but the
 last return the columns of ``documents``; every decision drops rows:
 
-  language_id      texts without an identifiable language go
+  language_id      texts without a letter, or whose bits spell no learned language, go
   exact_dedup      of equal texts the row with the largest doc_id stays
   simhash_dedup    of near duplicates the row with the smallest doc_id stays
   decontamination  texts that contain a benchmark item go
@@ -16,10 +16,13 @@ express ``run``; the tests hold it against a brute-force version.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 
 from dwellrec.llm import decontam, digest_merge, ecoc_langid, length_buckets, simhash
 from dwellrec.llm.common import table
+from dwellrec.plans.restart import Stages, table_fingerprint
 from dwellrec.session import materialize
 
 
@@ -54,8 +57,17 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+def run(spark: SparkSession, sf_dir: str, resume: str | None = None) -> DataFrame:
+    """All stages over ``documents``. With a shared folder in ``resume`` a run whose
+    driver died goes on after its last complete stage, if the tables are the same."""
     docs = table(spark, sf_dir, "documents")
+    stages = None
+    if resume:
+        bench = table_fingerprint(table(spark, sf_dir, "benchmark"))
+        stages = Stages(spark, resume, table_fingerprint(docs), [bench, [name for name, _ in STAGES]])
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        if stages:
+            docs = stages.table(name, partial(stage, spark, docs, sf_dir))
+        else:
+            docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
     return docs
