@@ -10,9 +10,10 @@ weighted by reliability, and takes the codeword of least loss: with d bits
 between any two codewords, up to (d-1)/2 wrong bits are corrected. A text is
 flagged ambiguous when the runner-up is within ``AMBIGUOUS`` of the best
 (loss per unit of weight). ``keep_identified`` rejects a text whose bits lose
-more than ``REJECT`` per unit of weight against the best codeword: half of what
-coin tosses would lose, so the bits spell no learned language. Of texts held
-back from the fit, at least 0.99 stay (0.9995 at sf0.1).
+too much per unit of weight against the best codeword, so that they spell no
+learned language: more than ``REJECT`` (half of what coin tosses would lose) and
+than ``SLACK`` times what 0.995 of the sample texts held back for the margins
+lose. Bits that learned nothing reliable therefore reject hardly anything.
 
 Codes: all 2^(L-1) - 1 column splits for up to 7 languages, else the best of
 seeded random codes of 10·log2(L) bits.
@@ -48,6 +49,7 @@ FIT_PER_LANG = 800
 DIM_BITS = 14
 AMBIGUOUS = 0.1
 REJECT = math.log(2) / 2
+SLACK = 1.25
 UNKNOWN = "und"
 _LETTER = np.array([chr(i).isalpha() for i in range(0x110000)])
 _SLICE = 1 << 20          # letters hashed at a time
@@ -96,11 +98,11 @@ def codewords(n: int, seed: int = 11) -> np.ndarray:
 
 class Model:
     """Languages, codewords (L, B), n-gram log-odds (2^14, B), and per bit the
-    margin's slope and offset and the bit's weight."""
+    margin's slope and offset and the bit's weight; the loss that rejects."""
 
-    def __init__(self, langs, code, odds, slope, offset, weight):
+    def __init__(self, langs, code, odds, slope, offset, weight, reject=REJECT):
         self.langs, self.code, self.odds = list(langs), code, odds.astype(np.float32)
-        self.slope, self.offset, self.weight = slope, offset, weight
+        self.slope, self.offset, self.weight, self.reject = slope, offset, weight, reject
 
     def log_odds(self, text: str | None) -> np.ndarray | None:
         """Mean log-odds of the bits, None for a text without letters."""
@@ -214,7 +216,11 @@ def fit(rows: DataFrame, per_lang: int = FIT_PER_LANG) -> Model:
     fits = np.array([_platt(x[:, b], y[:, b]) for b in range(code.shape[1])])
     accuracy = np.clip(fits[:, 2], 0.5, 1 - 1 / (2 * len(x) + 2))
     weight = np.log(accuracy / (1 - accuracy)) + 1e-3
-    return Model(langs, code, odds, fits[:, 0], fits[:, 1], weight / weight.mean())
+    weight = weight / weight.mean()
+    z = fits[:, 0] * x + fits[:, 1]
+    lost = np.array([np.logaddexp(0, -code * row) @ weight for row in z]).reshape(-1, len(langs)).min(axis=1)
+    usual = float(np.quantile(lost, 0.995)) / weight.sum() if len(lost) else math.inf
+    return Model(langs, code, odds, fits[:, 0], fits[:, 1], weight, max(REJECT, SLACK * usual))
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> tuple[DataFrame, list[str]]:
@@ -246,9 +252,9 @@ def learnable(docs: DataFrame, folds: int = 4, held: int = 2) -> DataFrame:
 
 def keep_identified(docs: DataFrame, per_lang: int = FIT_PER_LANG) -> DataFrame:
     """``docs`` without the texts that have no identifiable language: no letter
-    at all, or bits that spell none (loss over ``REJECT``). Ambiguous texts stay."""
+    at all, or bits that spell none (a loss over the model's limit). Ambiguous texts stay."""
     model = fit(learnable(docs).select("doc_id", "text", "lang"), per_lang)
     if not model.langs:       # nothing to learn from: only texts without a letter go
         model.langs = ["any"]
-    found, (_, _, _, loss) = identify(docs, model)
-    return found.where(quoted(loss) <= REJECT).select(*[quoted(c) for c in docs.columns])
+    found, (lang, _, _, loss) = identify(docs, model)
+    return found.where((quoted(lang) != UNKNOWN) & (quoted(loss) <= F.lit(model.reject))).select(*[quoted(c) for c in docs.columns])

@@ -174,6 +174,7 @@ def test_rejection(spark):
     odd += [(-50, "12 34 !!", None), (-51, "", None), (-52, None, None)]
     mixed = docs.select("doc_id", "text", "lang").unionByName(
         spark.createDataFrame(odd, "doc_id long, text string, lang string"))
+    assert ecoc.fit(ecoc.learnable(mixed)).reject == math.log(2) / 2
     kept = {r["doc_id"] for r in ecoc.keep_identified(mixed).select("doc_id").collect()}
     held = [r["doc_id"] for r in docs.select("doc_id").collect() if zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2]
     assert len(held) > 200 and sum(d in kept for d in held) / len(held) >= 0.99
@@ -201,7 +202,7 @@ def test_language_edges(spark, edge, empty):
     assert kept.columns == edge.columns
     own = ecoc.fit(ecoc.learnable(edge).select("doc_id", "text", "lang"))
     assert Counter(r["text"] for r in kept.collect()) == Counter(
-        r["text"] for r in edge.collect() if brute_decode(own, r["text"])[2] <= math.log(2) / 2)
+        r["text"] for r in edge.collect() if brute_decode(own, r["text"])[2] <= own.reject)
     assert ecoc.keep_identified(empty).count() == 0
     assert ecoc.identify(empty, model)[0].count() == 0
     one = ecoc.fit(docs.where("lang = 'en'"))
