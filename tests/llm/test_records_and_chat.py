@@ -1,7 +1,6 @@
 """Fixity audit, tool chats, the pipeline and the registered queries."""
 import hashlib
 import json
-import math
 import os
 import subprocess
 import sys
@@ -365,12 +364,35 @@ def test_pipeline_against_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     bench = rows_of(spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text"))
     model = ecoc_langid.fit(ecoc_langid.learnable(docs).select("doc_id", "text", "lang"))
-    rows = [(r["doc_id"], r["text"]) for r in docs.collect() if brute_decode(model, r["text"])[2] <= math.log(2) / 2]
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect() if brute_decode(model, r["text"])[2] <= model.reject]
     got = corpus_pipeline.run(spark, SF)
     assert sorted(rows_of(got)) == brute_pipeline(rows, bench)
     assert got.count() < docs.count()
 
 
+def test_pipeline_resumes(spark, tmp_path, monkeypatch):
+    """A death in decontamination: the stages before it are read back, not run again."""
+    calls, dead = [], []
+
+    def watched(name, stage):
+        def run(spark, docs, sf_dir):
+            calls.append(name)
+            if name == "decontamination" and not dead:
+                dead.append(1)
+                raise RuntimeError("killed")
+            return stage(spark, docs, sf_dir)
+        return name, run
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [watched(*s) for s in corpus_pipeline.STAGES])
+    with pytest.raises(RuntimeError, match="killed"):
+        corpus_pipeline.run(spark, SF, str(tmp_path / "run"))
+    got = corpus_pipeline.run(spark, SF, str(tmp_path / "run"))
+    names = [name for name, _ in corpus_pipeline.STAGES]
+    assert calls == names[:4] + names[3:]
+    monkeypatch.undo()
+    assert sorted(rows_of(got)) == sorted(rows_of(corpus_pipeline.run(spark, SF)))
+
+
 def test_stages_take_edge_rows(spark, edge, empty):
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "language_id", "exact_dedup", "simhash_dedup", "decontamination", "packing"]
