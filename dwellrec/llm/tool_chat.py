@@ -15,10 +15,12 @@ Input is a log of events, one row each:
    event's key (place, depth) starts as (position, 0); along every edge that
    the keys violate, the later event is raised to just behind the earlier one,
    until no edge is violated. A conversation in order is left alone; one of up
-   to ``LOCAL_EDGES`` edges is settled in memory inside a task; a longer one by
-   joins, in as many rounds as its longest chain of violated edges. Events on or
-   behind a cycle would rise for ever: they are told by a depth above the number
-   of events moved in their conversation, flagged, and keep their place.
+   to ``LOCAL_EDGES`` edges is settled in memory inside a task. A longer one is cut,
+   along the places of its calls, in pieces of that many edges, which are settled
+   in memory and hand raised keys to each other by joins: a round for each change
+   of piece along a chain, not for each step. Events on or behind a cycle would
+   rise for ever: they are told by a depth above the number of events moved, or by
+   more rounds than pieces have events to hand on, flagged, and keep their place.
 3. Validation: a call's arguments are checked against its tool's JSON schema
    (``KEYWORDS``). A schema with another keyword, an unknown type or a broken
    pattern is refused: its calls are invalid, with the reason in ``errors``.
@@ -57,6 +59,7 @@ from dwellrec.session import materialize
 
 LOCAL_EDGES = 10_000
 VIOLATED = "sp > dp or (sp = dp and sd >= dd)"
+ENDLESS = (1 << 30) - 1        # depth of events on or behind a cycle
 DEPTH = 100
 _TYPES = {"string": str, "object": dict, "array": list, "boolean": bool, "null": type(None),
           "integer": None, "number": None}
@@ -277,23 +280,26 @@ def _links(events: DataFrame) -> DataFrame:
 
 
 def _edges(events: DataFrame, links: DataFrame) -> DataFrame:
-    """(src, sp, sd, dst, dp, dd, ck): order constraints with both keys."""
+    """(src, sp, sd, dst, dp, dd, ck, at): order constraints with both keys, and the
+    place of the call that is (or whose result is) the later event."""
     answered = links.where("call is not null and result is not null").select(
         "ck", F.col("call.eid").alias("src"), F.col("call.position").alias("sp"),
-        F.col("result.eid").alias("dst"), F.col("result.position").alias("dp"))
+        F.col("result.eid").alias("dst"), F.col("result.position").alias("dp"),
+        F.col("call.position").alias("at"))
     needs = events.where("kind = 'call' and after is not null").select(
         "ck", F.explode("after").alias("call_id"), F.col("eid").alias("dst"), F.col("position").alias("dp"))
     sources = links.where("result is not null").select(
         "ck", "call_id", F.col("result.eid").alias("src"), F.col("result.position").alias("sp"))
-    needed = needs.join(sources, ["ck", "call_id"]).select("ck", "src", "sp", "dst", "dp")
+    needed = needs.join(sources, ["ck", "call_id"]).select(
+        "ck", "src", "sp", "dst", "dp", F.col("dp").alias("at"))
     zero = F.lit(0)
-    return (answered.select("ck", "src", "sp", "dst", "dp").unionByName(needed).distinct()
+    return (answered.unionByName(needed).distinct()
             .withColumn("sd", zero).withColumn("dd", zero))
 
 
 def settle(conv: np.ndarray, src: np.ndarray, dst: np.ndarray, sp: np.ndarray, dp: np.ndarray):
-    """The rounds of ``_in_rounds`` for the edges of some conversations, in memory:
-    arrays (event, place, depth, on or behind a cycle) of the events raised."""
+    """Settles the edges of some whole conversations in memory: arrays (event, place,
+    depth, on or behind a cycle) of the events raised."""
     events, at = np.unique(np.concatenate([src, dst]), return_index=True)
     places, rank = np.unique(np.concatenate([sp, dp]), return_inverse=True)
     owner = np.unique(np.concatenate([conv, conv]), return_inverse=True)[1][at]
@@ -319,7 +325,7 @@ def settle(conv: np.ndarray, src: np.ndarray, dst: np.ndarray, sp: np.ndarray, d
 def _raised(edges: DataFrame) -> DataFrame:
     """(eid, p, d, loop) of the events that the order moves. Conversations of at
     most ``LOCAL_EDGES`` edges are settled in memory, blocks of them in a task,
-    whatever the length of their chains; longer ones by distributed rounds."""
+    whatever the length of their chains; longer ones in pieces."""
     e = materialize(edges, "chat-edges")
     wrong = F.count_if(F.expr(VIOLATED)).alias("wrong")
     sizes = materialize(e.groupBy("ck").agg(F.count("*").alias("m"), wrong), "chat-edge-counts")
@@ -336,42 +342,77 @@ def _raised(edges: DataFrame) -> DataFrame:
              .applyInArrow(one, "eid long, p long, d int, loop boolean"))
     large = e.where(F.col("m") > LOCAL_EDGES).drop("m", "wrong")
     if not large.isEmpty():
-        small = small.unionByName(_in_rounds(large))
+        small = small.unionByName(_in_pieces(large))
     return materialize(small, "chat-settled")
 
 
-def _in_rounds(e: DataFrame) -> DataFrame:
-    """(eid, p, d, loop) by joins, a round for each step of the longest chain."""
-    moved = cyclic = None
+def settle_piece(src: np.ndarray, dst: np.ndarray, sp: np.ndarray, sd: np.ndarray,
+                 dp: np.ndarray, dd: np.ndarray):
+    """Settles some edges from the keys they hold: arrays (event, place, depth) of the
+    events raised. Depth ``ENDLESS`` marks a cycle; it is passed on and never exceeded."""
+    events, first = np.unique(np.concatenate([src, dst]), return_index=True)
+    places, rank = np.unique(np.concatenate([sp, dp]), return_inverse=True)
+    s, t = np.searchsorted(events, src), np.searchsorted(events, dst)
+    wide = ENDLESS + 1
+    depth = np.concatenate([sd, dd])[first].astype(np.int64)
+    key = rank[first] * wide + depth               # (place, depth) in one number
+    deepest = depth[depth < ENDLESS].max(initial=0)
+    moved = np.zeros(len(events), dtype=bool)
     while True:
-        up = e.where(VIOLATED).groupBy("ck", "dst").agg(
-            F.max(F.struct(F.col("sp").alias("p"), (F.col("sd") + 1).alias("d"))).alias("to"))
-        up = materialize(up.select("ck", F.col("dst").alias("eid"), "to.p", "to.d"), "chat-raised")
+        behind = key[s] + (key[s] % wide < ENDLESS)
+        up = np.flatnonzero(behind > key[t])
+        if not len(up):
+            break
+        raised = t[up]
+        np.maximum.at(key, raised, behind[up])
+        moved[raised] = True
+        round_again = raised[key[raised] % wide > deepest + moved.sum()]
+        key[round_again] += ENDLESS - key[round_again] % wide
+    out = np.flatnonzero(moved)
+    return events[out], places[key[out] // wide], key[out] % wide
+
+
+def _in_pieces(e: DataFrame) -> DataFrame:
+    """(eid, p, d, loop) of conversations of many edges.
+
+    An event raised in round r has a chain behind it that changed pieces r - 1 times,
+    each time at another event of two pieces unless the chain holds a cycle: more
+    rounds than such events were moved tell a cycle, so the rounds are bounded by them.
+    """
+    e = ordinal(e, ["ck", "at", "dst", "src"])
+    e = e.select("ck", "src", "sp", "sd", "dst", "dp", "dd", F.col("dp").alias("dp0"),
+                 F.floor(F.col("_ix") / F.lit(LOCAL_EDGES)).alias("piece"))
+    shared = (e.select("piece", F.explode(F.array("src", "dst")).alias("dst")).groupBy("dst")
+              .agg((F.min("piece") < F.max("piece")).alias("shared")))
+    e = materialize(e.join(shared, "dst"), "chat-edges")
+    wrong, moved = F.expr(f"({VIOLATED}) and (sp > dp or dd < {ENDLESS})"), F.expr("dp <> dp0 or dd <> 0")
+
+    def one(piece: pa.Table) -> pa.Table:
+        eid, p, d = settle_piece(*(piece.column(c).to_numpy() for c in ("src", "dst", "sp", "sd", "dp", "dd")))
+        return pa.table({"eid": pa.array(eid, pa.int64()), "p": pa.array(p, pa.int64()),
+                         "d": pa.array(d.astype(np.int32))})
+
+    rounds = 0
+    while True:
+        todo = e.where(wrong).select("piece").distinct()
+        up = (e.join(todo, "piece", "left_semi").select("piece", "src", "dst", "sp", "sd", "dp", "dd")
+              .groupBy("piece").applyInArrow(one, "eid long, p long, d int"))
+        up = materialize(up.groupBy("eid").agg(F.max(F.struct("p", "d")).alias("to")), "chat-raised")
         if up.isEmpty():
             break
-        if moved is None:
-            moved = up
-        else:
-            moved = moved.join(up.select("eid"), "eid", "left_anti").unionByName(up)
-        moved = materialize(moved, "chat-moved")
-        many = moved.groupBy("ck").agg(F.count("*").alias("m"))
-        loop = up.join(many, "ck").where("d > m").select("eid")
-        if not loop.isEmpty():
-            loop = materialize(loop if cyclic is None else loop.unionByName(cyclic).distinct(), "chat-cyclic")
-            cyclic = loop
-            e = e.join(cyclic, e["dst"] == cyclic["eid"], "left_anti")
-        s = up.select(F.col("eid").alias("src"), F.col("p").alias("np"), F.col("d").alias("nd"))
-        e = (e.join(s, "src", "left").withColumn("sp", F.coalesce("np", "sp"))
-             .withColumn("sd", F.coalesce("nd", "sd")).drop("np", "nd"))
-        d = s.withColumnRenamed("src", "dst")
-        e = (e.join(d, "dst", "left").withColumn("dp", F.coalesce("np", "dp"))
-             .withColumn("dd", F.coalesce("nd", "dd")).drop("np", "nd"))
-        e = materialize(e, "chat-edges")
-    moved = moved.select("eid", "p", "d")
-    if cyclic is None:
-        return moved.withColumn("loop", F.lit(False))
-    return (moved.join(cyclic.withColumn("loop", F.lit(True)), "eid", "left")
-            .withColumn("loop", F.coalesce("loop", F.lit(False))))
+        handed = e.where(moved & F.col("shared")).groupBy("ck").agg(F.countDistinct("dst").alias("handed"))
+        cyclic = F.lit(rounds) > F.coalesce("handed", F.lit(0))
+        to = up.select("eid", F.col("to.p").alias("np"), F.col("to.d").alias("nd"))
+        e = e.join(handed, "ck", "left")
+        for end in ("s", "d"):
+            nd = F.when(F.col("np").isNotNull() & cyclic, F.lit(ENDLESS)).otherwise(F.col("nd"))
+            e = (e.join(to.withColumnRenamed("eid", "src" if end == "s" else "dst"), "src" if end == "s" else "dst", "left")
+                 .withColumn(f"{end}d", F.coalesce(nd, f"{end}d"))
+                 .withColumn(f"{end}p", F.coalesce("np", f"{end}p")).drop("np", "nd"))
+        e = materialize(e.drop("handed"), "chat-edges")
+        rounds += 1
+    return (e.where(moved).select(F.col("dst").alias("eid"), F.col("dp").alias("p"), F.col("dd").alias("d"))
+            .distinct().withColumn("loop", F.col("d") == ENDLESS))
 
 
 def format_log(log: DataFrame, tools: DataFrame) -> DataFrame:

@@ -266,6 +266,47 @@ def test_long_backward_conversation(spark):
     assert {r["status"] for r in got} == {"ok"}
 
 
+def test_pieces_brute_force(spark, monkeypatch):
+    """Random conversations cut in pieces of three edges, cycles over several pieces included."""
+    import random
+    monkeypatch.setattr(tool_chat, "LOCAL_EDGES", 3)
+    rng, edges = random.Random(11), []
+    for conv in range(60):
+        place = [rng.randrange(8) for _ in range(9)]
+        pairs = {(rng.randrange(9), rng.randrange(9)) for _ in range(rng.randrange(4, 16))}
+        if conv % 3:                                   # no cycle
+            pairs = {(min(x), max(x)) for x in pairs if x[0] != x[1]}
+        edges += [(conv, 9 * conv + s, 9 * conv + t, place[s], place[t]) for s, t in sorted(pairs)]
+    df = spark.createDataFrame([(c, s, p, 0, t, q, 0, q) for c, s, t, p, q in edges],
+                               "ck long, src long, sp long, sd int, dst long, dp long, dd int, at long")
+    got = {r["eid"]: None if r["loop"] else (r["p"], r["d"]) for r in tool_chat._in_pieces(df).collect()}
+    want = {}
+    for conv in range(60):
+        want.update(brute_settle([e[1:] for e in edges if e[0] == conv]) if any(e[0] == conv for e in edges) else {})
+    assert got == want
+    assert None in want.values() and max(k[1] for k in want.values() if k) > 3
+
+
+def test_chain_of_fifty_thousand_events(spark, monkeypatch):
+    """A conversation of 50,000 events logged backwards, with a cycle at its far end, is
+    settled in a few rounds of joins."""
+    n, rounds, keep = 25_000, [], tool_chat.materialize
+
+    def counted(df, name):
+        rounds.append(name)
+        return keep(df, name)
+
+    monkeypatch.setattr(tool_chat, "materialize", counted)
+    rows = [call(1, 2 * (n - i), f"c{i}", after=[f"c{i - 1}"] if i else None) for i in range(n)]
+    rows += [result(1, 2 * (n - i) + 1, f"c{i}") for i in range(n)]
+    rows += [call(1, -9, "x", after=["y"]), result(1, 3 * n, "x"), call(1, 3 * n + 1, "y", after=["x"]), result(1, -8, "y")]
+    got = run_log(spark, rows)
+    chain = [(r["kind"], r["call_id"]) for r in got if r["call_id"] not in ("x", "y")]
+    assert chain == [(k, f"c{i}") for i in range(n) for k in ("call", "result")]
+    assert Counter(r["status"] for r in got) == {"ok": 2 * n, "cyclic": 4}
+    assert rounds.count("chat-raised") < 40
+
+
 def test_arguments_and_lines(spark):
     args = ['{"b": ["x"], "a": 2.0}', '{"a": 6}', '{"b": [1]}', "{bad", None, '[1]', '{"a": true, "z": 0}', '{"a": 1e2}']
     got = run_log(spark, [call(1, i, f"c{i}", a) for i, a in enumerate(args)] + [call(1, 50, "u", "{}", name="other")])
