@@ -142,3 +142,16 @@ def test_automatic_blocks_follow_session_and_input(spark):
     est = als.make_als(als.AlsParams(num_user_blocks=10, num_item_blocks=3), blocks=7)
     assert (est.getNumUserBlocks(), est.getNumItemBlocks()) == (10, 3)
     assert als.AlsParams.for_evaluation().num_user_blocks is None
+
+
+def test_recommend_needs_no_cross_product(spark, trained):
+    """Lists of all users and of some, equal to each other, without Spark ML's cross join."""
+    _, _, model = trained
+    lists = als.recommend_all(model, 6)
+    some = lists.select("user").where("user % 2 = 0")
+    part = als.recommend_subset(model, some, 6)
+    for df in (lists, part):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Cartesian" not in plan and "NestedLoop" not in plan
+        assert df.schema["recommendations"].dataType.simpleString() == "array<struct<item:int,rating:float>>"
+    assert sorted(part.collect()) == sorted(lists.where("user % 2 = 0").collect())
