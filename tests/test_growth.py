@@ -102,3 +102,16 @@ def test_fingerprint_is_of_the_rows_alone(spark):
     for other in (rows[:3], rows + rows[:1], [("a", 1, 2.6), *rows[1:]], [("b", 1, 2.5), *rows[1:]]):
         assert of(other) != of(rows)
     assert of([]) == (0, "0", "0")
+
+
+@pytest.mark.parametrize("most,kind", [(100, "tinyint"), (-129, "smallint"), (1 << 20, "int"), (1 << 40, "bigint")])
+def test_joined_vectors_are_narrow(spark, most, kind):
+    """Vectors that travel with the pairs take their smallest type; products stay exact BIGINT."""
+    from dwellrec.operators import topn
+    fac = spark.createDataFrame([(0, [most, 3, 1]), (1, [2, -1, 0])], "id int, q array<bigint>")
+    assert topn.narrowed(fac).schema["q"].dataType.elementType.simpleString() == kind
+    pairs = spark.createDataFrame([(0, 1), (4, 3), (0, 1), (None, 1)], "user int, item int")
+    got = topn.pair_scores(pairs, fac, fac, 2)
+    assert got.schema["score"].dataType.simpleString() == "bigint"
+    assert sorted(map(tuple, got.collect())) == [(0, 1, 2 * most - 3), (4, 3, 2 * most - 3)]
+    assert topn.narrowed(fac.limit(0)).count() == 0
