@@ -115,3 +115,18 @@ def test_joined_vectors_are_narrow(spark, most, kind):
     assert got.schema["score"].dataType.simpleString() == "bigint"
     assert sorted(map(tuple, got.collect())) == [(0, 1, 2 * most - 3), (4, 3, 2 * most - 3)]
     assert topn.narrowed(fac.limit(0)).count() == 0
+
+
+def test_small_users_are_one_bucket(spark, monkeypatch):
+    """Bucket totals are a row per user, not a row per prediction; nothing stays cached."""
+    seen = []
+    real = M.running_totals
+    monkeypatch.setattr(M, "running_totals", lambda df, part, bucket, *a, **k: (
+        seen.append(df.groupBy(*part, bucket).count().count()), real(df, part, bucket, *a, **k))[1])
+    rows = [(u, float(p), (u + p) % 2, 1 - (u + p) % 2) for u in range(20) for p in range(40)] + [(3, None, 1, 1)]
+    counts = spark.createDataFrame(rows, "user int, pred double, np int, nn int")
+    got = M.auc_from_counts(counts)
+    assert seen == [20]
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, M.auc_from_counts(counts, n_buckets=7).collect()))
+    assert all(r.npos == r.nneg == 20 for r in got.collect())
+    assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == 0
