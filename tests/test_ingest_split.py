@@ -77,3 +77,24 @@ def test_tiny_test_fractions(spark):
     pairs = spark.range(200000).selectExpr("cast(id as int) as user", "cast(id * 7 as int) as item")
     share = split(pairs, 0.0005).where("split = 'test'").count() / 200000
     assert 0.0003 < share < 0.0007
+
+
+def test_split_hash_is_computed_once(spark):
+    """The filter on a side names the hash's parts once each (it stays short enough to
+    compile) and the hash is the documented one."""
+    from dwellrec.functions import exprs
+    rows = [(u, i) for u in (0, 1, 77, 2**31 - 1) for i in (0, 5, 123456, 2**31 - 1)] + [(None, 3), (4, None)]
+    df = spark.createDataFrame(rows, "user int, item int")
+    plan = hash_split(df, 0.1).where("split = 'test'")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("pmod") <= 2 * 4
+
+    def cube(x):
+        return x * x % exprs.MIX_PRIME * x % exprs.MIX_PRIME
+
+    def expect(a, b, seed=42):
+        if a is None or b is None:
+            return None
+        start = cube((a % exprs.MIX_PRIME * 7919 + seed) % exprs.MIX_PRIME)
+        return cube((start + b % exprs.MIX_PRIME * (cube((start + 104729) % exprs.MIX_PRIME) + 1)) % exprs.MIX_PRIME)
+    got = df.select("user", "item", exprs.mix(F.col("user"), F.col("item"), 42).alias("h")).collect()
+    assert all(r.h == expect(r.user, r.item) for r in got)
