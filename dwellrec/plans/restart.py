@@ -81,9 +81,10 @@ def sweep(interactions: DataFrame, grid: Sequence[als.AlsParams], folder: str,
     lab = E.hash_split(prep.scored, test_fraction, seed)
     pairs = stages.table("pairs", lambda: E.pairs_of(prep, lab, neg_seed, mode))
     sizes = stages.table("sizes", lambda: E.sizes_of(pairs))
+    large = stages.table("large-users", lambda: E.large_users(pairs))
     out = None
     for p in grid:
         rows = stages.table("point-" + digest(p.as_dict()),
-                            lambda p=p: E._evaluate_model((lab, pairs, sizes), p, threshold))
+                            lambda p=p: E._evaluate_model((lab, pairs, sizes, large), p, threshold))
         out = rows if out is None else out.unionByName(rows)
     return out
