@@ -130,3 +130,16 @@ def test_small_users_are_one_bucket(spark, monkeypatch):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, M.auc_from_counts(counts, n_buckets=7).collect()))
     assert all(r.npos == r.nneg == 20 for r in got.collect())
     assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == 0
+
+
+def test_fits_leave_nothing_with_the_executors(spark):
+    """However many fits a sweep makes, no factors stay cached; a frozen model is not saved again."""
+    from dwellrec.operators import model as als
+    rows = spark.createDataFrame([(u, i, float((u * i) % 5)) for u in range(9) for i in range(u % 3, 12, 3)],
+                                 "user int, item int, score double")
+    before = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+    models = [als.fit(rows, als.AlsParams(rank=r, max_iter=2)) for r in (2, 3)]
+    assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() <= before
+    assert als.freeze(models[0], spark) is models[0]
+    assert [m.rank for m in models] == [2, 3] and models[1].userFactors.count() == 9
+    assert "DISK_ONLY" in als.make_als(als.AlsParams()).getFinalStorageLevel()
